@@ -130,7 +130,7 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     ends = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).withColumn("w", (F.col("hi") - F.col("lo")) / bins)
     spot = F.when(F.col("w") > 0, F.least(F.floor((x - F.col("lo")) / F.col("w")), F.lit(bins - 1))).otherwise(0)
     counts = one_row(df.filter(x.isNotNull()).select(col), ends).groupBy(spot.cast("long").alias("bin")).agg(F.count("*").alias("n"))
-    frame = ends.select("lo", "w", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).cast("long").alias("bin"))
+    frame = ends.select("lo", "w", F.explode(F.expr(f"sequence(0L, {bins - 1}L)")).alias("bin"))
     out = frame.join(counts, "bin", "left")
     low = F.col("lo") + F.col("bin") * F.col("w")
     return out.select("bin", low.alias("low"), (low + F.col("w")).alias("high"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))

@@ -8,6 +8,7 @@ from itertools import combinations_with_replacement
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.functions import pvalues
 from tarmac.plans.lookup import lookup_join, one_row
@@ -15,17 +16,17 @@ from tarmac.plans.ordering import running_totals
 from tarmac.plans.storage import materialize
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_p_value(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([pvalues.t_two_sided(a, b) for a, b in zip(t, df)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_p_value(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([pvalues.chi2_upper(a, int(b)) for a, b in zip(x, dof)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def fisher_p_value(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
     return pd.Series([pvalues.fisher_two_sided(int(w), int(x), int(y), int(z)) for w, x, y, z in zip(a, b, c, d)])
 
@@ -145,7 +146,7 @@ def _binned(df: DataFrame, col: str, bins: int, extra: dict) -> DataFrame:
 def kde_curve(df: DataFrame, col: str, grid: int = 200, bins: int = 1024) -> DataFrame:
     """Gaussian density on an even grid over the range, Scott bandwidth, from binned values at their bin means."""
     b = _binned(df, col, bins, {})
-    points = b.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).cast("long"))
+    points = b.withColumn("point", F.explode(F.expr(f"sequence(0L, {grid - 1}L)")))
     at = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / (grid - 1)
     width = F.col("sd") * F.pow(F.col("total").cast("double"), F.lit(-0.2))
     z = (at - F.col("sx") / F.col("n")) / width
@@ -162,7 +163,7 @@ def local_trend(df: DataFrame, x: str, y: str, grid: int = 50, bins: int = 200,
     yy = F.col(y).cast("double")
     xx = F.col(x).cast("double")
     b = _binned(df.filter(yy.isNotNull()), x, bins, {"sy": F.sum(yy), "sxx": F.sum(xx * xx), "sxy": F.sum(xx * yy)})
-    points = b.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).cast("long"))
+    points = b.withColumn("point", F.explode(F.expr(f"sequence(0L, {grid - 1}L)")))
     at = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / (grid - 1)
     points = points.withColumns({"x": at, "d": F.abs(F.col("sx") / F.col("n") - at)})
     near = Window.partitionBy("point").orderBy("d", "bin").rowsBetween(Window.unboundedPreceding, 0)

@@ -58,7 +58,7 @@ def lookup_join(
     if fits_broadcast(right, max_bytes):
         return left.join(F.broadcast(right), on, how)
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
-    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    salted_right = right.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
