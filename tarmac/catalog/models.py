@@ -1 +1,192 @@
+"""Training and search on a feature table built from all flights."""
 
+from __future__ import annotations
+
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.sql import functions as F
+
+from tarmac.catalog.base import R, query, r6
+from tarmac.functions import bands
+from tarmac.ml import evaluate as ev
+from tarmac.ml import models as md
+from tarmac.ml import search as se
+from tarmac.operators import encoding as en
+from tarmac.operators import sampling as sp
+from tarmac.plans.storage import materialize, stage_path
+from tarmac.sources import demo
+
+IDS = demo.ROW_ID
+FEATURES = ["ElapsedTime", "Distance", "CRSDepTime", "CRSArrTime", "ArrDelayMinutes", "DayOfWeek", "Month"]
+
+
+def frame(spark, sf):
+    """Scaled features, both targets and the row ids of all flights with a target."""
+    df = demo.flights(spark, sf).filter("DepDel15 IS NOT NULL")
+    elapsed = F.col("AirTime") + F.col("ok") * 13 % 160
+    df = df.withColumns({"DayOfWeek": F.weekday("CalendarDate") + 1, "Month": F.month("CalendarDate"), "ElapsedTime": elapsed})
+    df = df.select(*IDS, *[F.col(c).cast("double") for c in FEATURES], "DepDelayMinutes", "DepDel15")
+    return en.standardize(materialize(df, "features"), FEATURES)
+
+
+def split(spark, sf):
+    return sp.train_test_split(frame(spark, sf), IDS)
+
+
+def evaluated(name, model, features, train, test):
+    """Metrics of a model on the test table beside a baseline that needs no features."""
+    spec = md.MODELS[name]
+    data = md.assemble(test, features, spec.target)
+    preds = md.predictions(model, data, name)
+    if spec.kind == "reg":
+        guess = train.agg(F.avg(spec.target).alias("g"))
+    else:
+        guess = train.agg((F.avg(spec.target) >= 0.5).cast("double").alias("g"))
+    base = data.crossJoin(F.broadcast(guess)).select(
+        F.lit("baseline").alias("model"), "label", F.col("g").alias("prediction"), F.col("g").alias("score")
+    )
+    both = preds.unionByName(base)
+    return r6(ev.reg_metrics(both), "rmse", "mae", "r2") if spec.kind == "reg" else r6(ev.clf_metrics(both), "accuracy", "precision", "recall", "f1")
+
+
+def _register(query_name: str, name: str, base: bool = False, **overrides):
+    @query(query_name)
+    def train(spark, sf):
+        train, test = split(spark, sf)
+        model, features = md.train_model(name, train, IDS, base, overrides)
+        return evaluated(name, model, features, train, test)
+
+
+# Fewer rounds than the tuned parameters, to keep the queries short; rows and features are whole.
+_register("lin_reg", "lin_reg")
+_register("sgd_reg", "sgd_reg", penalty="elasticnet", max_iter=100)
+_register("sgd_reg_epsilon", "sgd_reg", loss="squared_epsilon_insensitive", penalty="l1", max_iter=40, step=4.0)
+_register("hgb_reg", "hgb_reg", max_iter=5, max_depth=4, learning_rate=0.3)
+_register("mlp_reg", "mlp_reg", hidden_layer_sizes=[16], activation="tanh", max_iter=40, alpha=1e-4, step=0.05)
+_register("log_reg", "log_reg")
+_register("sgd_clf", "sgd_clf", max_iter=100)
+_register("sgd_clf_hinge", "sgd_clf", loss="hinge", penalty="l2", max_iter=50)
+_register("sgd_clf_huber", "sgd_clf", loss="modified_huber", max_iter=40)
+_register("hgb_clf", "hgb_clf", max_iter=5, max_depth=4, learning_rate=0.3)
+_register("mlp_clf", "mlp_clf", hidden_layer_sizes=[16, 8], max_iter=40, alpha=1e-4, step=0.05)
+_register("mlp_clf_logistic", "mlp_clf", hidden_layer_sizes=[8], activation="logistic", max_iter=40, alpha=1e-4)
+
+
+@query(
+    "lin_reg_single",
+    f"""
+WITH f AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '42', {', '.join(f'CAST({c} AS VARCHAR)' for c in IDS)}))) <= ceil(count(*) OVER () * 0.2::DOUBLE) AS is_test
+  FROM flights WHERE DepDel15 IS NOT NULL),
+m AS (SELECT regr_slope(DepDelayMinutes, AirTime + ok * 13 % 160) AS b, regr_intercept(DepDelayMinutes, AirTime + ok * 13 % 160) AS a FROM f WHERE NOT is_test),
+e AS (SELECT DepDelayMinutes AS y, DepDelayMinutes - a - b * (AirTime + ok * 13 % 160) AS e FROM f, m WHERE is_test)
+SELECT 'lin_reg' AS model, {R('sqrt(avg(e * e))', 'rmse', 4)}, {R('avg(abs(e))', 'mae', 4)}, {R('1 - sum(e * e) / (count(*) * var_pop(y))', 'r2', 4)} FROM e""",
+)
+def lin_reg_single(spark, sf):
+    train, test = split(spark, sf)
+    model = md.make_estimator("lin_reg", {}).fit(md.assemble(train, ["ElapsedTime"], "DepDelayMinutes"))
+    preds = md.predictions(model, md.assemble(test, ["ElapsedTime"], "DepDelayMinutes"), "lin_reg")
+    return r6(ev.reg_metrics(preds), "rmse", "mae", "r2", digits=4)
+
+
+@query("train_registry")
+def train_registry(spark, sf):
+    """One regression and one classifier by name, with base parameters: target, number of features, test metrics."""
+    train, test = split(spark, sf)
+    out = None
+    for name in ("lin_reg", "log_reg"):
+        spec = md.MODELS[name]
+        model, features = md.train_model(name, train, IDS, base=True)
+        m = ev.residuals(md.predictions(model, md.assemble(test, features, spec.target), name)).groupBy("model")
+        m = m.agg(F.avg(F.abs("residual")).alias("mean_abs_residual")).withColumns(
+            {"kind": F.lit(spec.kind), "target": F.lit(spec.target), "features": F.lit(len(features))}
+        )
+        out = m if out is None else out.unionByName(m)
+    return r6(out, "mean_abs_residual")
+
+
+def _forest(name: str, target: str, kind: str):
+    @query(name)
+    def forest(spark, sf):
+        train, test = split(spark, sf)
+        est = md.make_estimator(name, {"n_estimators": 10, "max_depth": 6})
+        model = est.fit(md.assemble(train, FEATURES, target))
+        preds = md.predictions(model, md.assemble(test, FEATURES, target), name)
+        metrics = ev.clf_metrics(preds) if kind == "clf" else ev.reg_metrics(preds)
+        long = [F.struct(F.lit("metric").alias("part"), F.lit(c).alias("name"), F.col(c).alias("value")) for c in metrics.columns[1:]]
+        weights = [F.struct(F.lit("importance").alias("part"), F.lit(f).alias("name"), F.lit(float(w)).alias("value")) for f, w in zip(FEATURES, model.featureImportances.toArray())]
+        out = metrics.select(F.explode(F.array(*long, *weights)).alias("x")).select("x.*")
+        return r6(out, "value")
+
+
+_forest("rf_clf", "DepDel15", "clf")
+_forest("rf_reg", "DepDelayMinutes", "reg")
+
+
+@query("gbt_log_target")
+def gbt_log_target(spark, sf):
+    """Boosted trees on the plain and on the log1p target, both measured in minutes."""
+    train, test = split(spark, sf)
+    est = md.make_estimator("hgb_reg", {"max_iter": 5, "max_depth": 4, "learning_rate": 0.3})
+    data = md.assemble(test, FEATURES, "DepDelayMinutes")
+    plain = md.predictions(est.fit(md.assemble(train, FEATURES, "DepDelayMinutes")), data, "plain")
+    logged = est.fit(md.assemble(train.withColumn("y", F.log1p("DepDelayMinutes")), FEATURES, "y"))
+    back = md.predictions(logged, data, "log1p").withColumn("prediction", F.expm1("prediction"))
+    return r6(ev.reg_metrics(plain.unionByName(back)), "rmse", "mae", "r2")
+
+
+@query("random_search")
+def random_search(spark, sf):
+    train, _ = split(spark, sf)
+    return r6(se.random_search("sgd_clf", train, IDS, n_iter=3, overrides={"max_iter": 20}), "mean_score")
+
+
+@query("grid_search")
+def grid_search(spark, sf):
+    train, _ = split(spark, sf)
+    folded = materialize(sp.kfold_assign(train, 3, IDS), "folds")
+    data = md.assemble(folded, FEATURES, "DepDelayMinutes", ["fold"])
+    grid = {"regParam": [0.0, 1.0], "elasticNetParam": [0.0, 0.5]}
+    return r6(se.grid_search(LinearRegression(maxIter=20), grid, data, "reg", 3), "mean_score")
+
+
+@query("cv_scores")
+def cv_scores(spark, sf):
+    """Mean cross-validated R2 of a linear model on the raw, log, root and reciprocal target, and on degree-2 features."""
+    folded = sp.kfold_assign(frame(spark, sf), 5, IDS)
+    folded = materialize(bands.target_transforms(folded, "DepDelayMinutes"), "folds")
+    folded = en.standardize(folded, ["y_recip"])
+    targets = {"raw": "DepDelayMinutes", "log": "y_log", "sqrt": "y_sqrt", "recip": "y_recip"}
+    runs = [(n, md.assemble(folded, FEATURES, t, ["fold"])) for n, t in targets.items()]
+    poly = en.poly_features(folded, FEATURES)
+    names = [c for c in poly.columns if c not in folded.columns and c != "bias"]
+    runs.append(("poly", md.assemble(poly, [*FEATURES, *names], "DepDelayMinutes", ["fold"])))
+    found = []
+    for name, data in runs:
+        scores = se.fold_scores(lambda: md.make_estimator("lin_reg", {}), data, "reg", 5)
+        found.append(("lin_reg", name, sum(scores) / len(scores)))
+    return r6(se.results_frame(spark, found).withColumnRenamed("params", "target"), "mean_score")
+
+
+@query("model_roundtrip")
+def model_roundtrip(spark, sf):
+    """Save and reload a model: both give the same predictions on every test row."""
+    train, test = split(spark, sf)
+    model = md.make_estimator("lin_reg", {}).fit(md.assemble(train, FEATURES, "DepDelayMinutes"))
+    path = stage_path(spark, "model")
+    model.write().overwrite().save(path)
+    again = LinearRegressionModel.load(path)
+    data = md.assemble(test, FEATURES, "DepDelayMinutes", IDS)
+    a = model.transform(data).select(*IDS, "features", F.col("prediction").alias("saved"))
+    return r6(again.transform(a).select(*IDS, "saved", F.col("prediction").alias("loaded")), "saved", "loaded")
+
+
+@query("permutation_importance")
+def permutation_importance(spark, sf):
+    """Two models, five repeats, on a tenth of the test rows balanced by class."""
+    train, test = split(spark, sf)
+    parts = []
+    for name in ("log_reg", "sgd_clf"):
+        model, features = md.train_model(name, train, IDS, overrides={"max_iter": 50})
+        sample = materialize(sp.stratified_sample(test, 0.1, IDS, ["DepDel15"]), "sample")
+        data = md.assemble(sample, features, "DepDel15", IDS)
+        parts.append(ev.permutation_importance(model, name, data, features, "clf", IDS))
+    return r6(ev.importance_table(parts), "log_reg", "sgd_clf", "mean_importance")

@@ -145,14 +145,14 @@ def kde_curve(spark, sf):
 WITH f AS (SELECT Distance AS x, DepDelay AS y FROM flights WHERE Distance IS NOT NULL AND DepDelay IS NOT NULL),
 e AS (SELECT min(x) AS lo, max(x) AS hi, count(*) AS total FROM f),
 b AS (SELECT least(floor((x - lo) / (hi - lo) * 200), 199) AS bin, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy FROM f, e GROUP BY bin),
-g AS (SELECT k::BIGINT AS point, lo + k * (hi - lo) / 49 AS at, total FROM e, range(50) t(k)),
-d AS (SELECT *, abs(sx / n - at) AS d FROM g, b),
+g AS (SELECT k::BIGINT AS point, lo + k * (hi - lo) / 49 AS gx, total FROM e, range(50) t(k)),
+d AS (SELECT *, abs(sx / n - gx) AS d FROM g, b),
 s AS (SELECT *, sum(n) OVER (PARTITION BY point ORDER BY d, bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS before FROM d),
 h AS (SELECT *, max(d) OVER (PARTITION BY point) * 1.0001::DOUBLE AS h FROM s WHERE before < 2.0::DOUBLE / 3 * total),
 w AS (SELECT *, pow(1 - pow(d / h, 3), 3) AS w FROM h),
-t AS (SELECT point, at, sum(w * n) AS W, sum(w * sx) AS X, sum(w * sy) AS Y, sum(w * sxx) AS XX, sum(w * sxy) AS XY FROM w GROUP BY point, at),
+t AS (SELECT point, gx, sum(w * n) AS W, sum(w * sx) AS X, sum(w * sy) AS Y, sum(w * sxx) AS XX, sum(w * sxy) AS XY FROM w GROUP BY point, gx),
 l AS (SELECT *, (W * XY - X * Y) / (W * XX - X * X) AS slope FROM t)
-SELECT point, {R('at', 'x')}, {R('(Y - slope * X) / W + slope * at', 'trend', 5)} FROM l""",
+SELECT point, {R("gx", "x")}, {R('(Y - slope * X) / W + slope * gx', 'trend', 5)} FROM l""",
 )
 def local_trend(spark, sf):
     return r6(r6(st.local_trend(demo.flights(spark, sf), "Distance", "DepDelay"), "x"), "trend", digits=5)

@@ -70,7 +70,7 @@ def training_tables(
     df = materialize(df, "split")
     kept = {*ENCODED, *CYCLICAL, *FLAGS, *TARGETS, *ids, "_test"}
     scaled = [c for c in df.columns if c not in kept]
-    df = df.withColumns({c: F.col(c).cast("double") for c in scaled})
+    df = df.withColumns({c: F.col(c).try_cast("double") for c in scaled})
     basis = df if fit_on == "all" else df.filter(~F.col("_test"))
     df = encoding.standardize(df, scaled, basis)
     train, test = df.filter(~F.col("_test")).drop("_test"), df.filter("_test").drop("_test")

@@ -90,7 +90,7 @@ def main():
             else:
                 rows = df.collect()
                 note = None if rows else "no rows"
-                print("   ", rows[:3])
+                print("   ", str(rows[:2])[:300])
         except Exception as e:  # noqa: BLE001
             note = f"{type(e).__name__}: {str(e)[:1500]}"
         print(f"{'ok  ' if note is None else 'FAIL'} {name} {time.time() - start:.1f}s {note or ''}", flush=True)
