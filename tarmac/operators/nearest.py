@@ -8,7 +8,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.plans.lookup import lookup_join
+from tarmac.plans.lookup import fits_broadcast, lookup_join
 from tarmac.plans.storage import materialize
 
 EARTH_KM = 6371.0
@@ -61,21 +61,26 @@ def nearest(
         return F.struct(*numbers)
 
     depth = 0
-    if box["n"]:
-        while depth < MAX_DEPTH and places.groupBy(cell(depth)).count().agg(F.max("count")).first()[0] > leaf:
-            depth += 1
-    tagged = places.withColumns({f"_l{d}": cell(d) for d in range(depth + 1)})
-
-    root = F.struct(*[F.lit(0).cast("long").alias(f"c{i}") for i in dims])
-    todo = a.withColumn("_cell", root)
+    if box["n"] and box["n"] > leaf:
+        every = F.array(*[F.struct(F.lit(d).alias("d"), cell(d).alias("c")) for d in range(1, MAX_DEPTH + 1)])
+        fullest = places.select(F.explode(every).alias("x")).groupBy("x.d", "x.c").count().groupBy("d").agg(F.max("count").alias("n"))
+        fits = [r["d"] for r in fullest.filter(F.col("n") <= leaf).collect()]
+        depth = min(fits, default=MAX_DEPTH)
+
+    # one table for all levels: cell -> its (four or eight) children with the extent of their places
+    bounds = [f(f"_s{i}").alias(f"{n}{i}") for i in dims for n, f in (("lo", F.min), ("hi", F.max))]
+    coords = [f"_s{i}" for i in dims]
+    links = F.array(*[F.struct(F.lit(d).alias("level"), cell(d - 1).alias("_cell"), cell(d).alias("child")) for d in range(1, depth + 1)])
+    todo = a.withColumn("_cell", F.struct(*[F.lit(0).cast("long").alias(f"c{i}") for i in dims]))
     per_airport = Window.partitionBy("_a")
-    for d in range(1, depth + 1):
-        bounds = [f(f"_s{i}").alias(f"{n}{i}") for i in dims for n, f in (("lo", F.min), ("hi", F.max))]
-        below = tagged.groupBy(F.col(f"_l{d - 1}").alias("_cell"), F.col(f"_l{d}").alias("child")).agg(*bounds)
-        # at most four (or eight) children per cell
+    if depth:
+        below = places.select(*coords, F.explode(links).alias("x")).groupBy("x.level", "x._cell", "x.child").agg(*bounds)
         child = F.struct("child", *[f"{n}{i}" for i in dims for n in ("lo", "hi")])
-        children = materialize(below.groupBy("_cell").agg(F.collect_list(child).alias("_below")), "cells")
-        open_ = lookup_join(todo, children, ["_cell"], "inner").withColumn("_b", F.explode("_below"))
+        tree = materialize(below.groupBy("level", "_cell").agg(F.collect_list(child).alias("_below")), "cells", ["level"])
+        small = fits_broadcast(tree)
+    for d in range(1, depth + 1):
+        children = tree.filter(F.col("level") == d).drop("level")
+        open_ = lookup_join(todo, children, ["_cell"], "inner", small=small).withColumn("_b", F.explode("_below"))
         gaps, reach = [], []
         for i in dims:
             low, high, here = F.col(f"_b.lo{i}"), F.col(f"_b.hi{i}"), F.col(f"_a{i}")
@@ -88,7 +93,7 @@ def nearest(
         todo = open_.filter(keep).select(*a.columns, F.col("_b.child").alias("_cell"))
 
     place = F.struct("_s", *[f"_s{i}" for i in dims])
-    leaves = materialize(tagged.groupBy(F.col(f"_l{depth}").alias("_cell")).agg(F.collect_list(place).alias("_in")), "leaves")
+    leaves = materialize(places.groupBy(cell(depth).alias("_cell")).agg(F.collect_list(place).alias("_in")), "leaves")
     pairs = lookup_join(todo, leaves, ["_cell"], "inner").withColumn("_p", F.explode("_in"))
     away = _length([F.col(f"_a{i}") - F.col(f"_p._s{i}") for i in dims])
     best = pairs.groupBy("_a").agg(F.min(F.struct(away.alias("d"), F.col("_p._s").alias("s"))).alias("_best"))

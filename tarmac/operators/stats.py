@@ -56,12 +56,14 @@ def spearman_target(df: DataFrame, features: list[str], target: str) -> DataFram
     pairs = df.select(F.col(target).cast("double").alias("y"), F.explode(cells).alias("c")).select("c.feature", "c.x", "y")
     pairs = pairs.filter("x IS NOT NULL AND y IS NOT NULL").groupBy("feature", "x", "y").agg(F.count("*").alias("n"))
     pairs = materialize(pairs, "pairs")
+    sides = F.array(*[F.struct(F.lit(v).alias("side"), F.col(v).alias("v")) for v in ("x", "y")])
+    values = pairs.select("feature", "n", F.explode(sides).alias("s")).groupBy("feature", "s.side", "s.v").agg(F.sum("n").alias("m"))
+    ranks = running_totals(values, [F.col("v")], {"run": "m"}, ["feature", "side"])
+    ranks = materialize(ranks.withColumn("r", F.col("run") - (F.col("m") - 1) / 2), "ranks")
     out = pairs
     for v in ("x", "y"):
-        values = pairs.groupBy("feature", v).agg(F.sum("n").alias("m"))
-        ranks = running_totals(values, [F.col(v)], {"run": "m"}, ["feature"])
-        ranks = ranks.select("feature", v, (F.col("run") - (F.col("m") - 1) / 2).alias(f"r{v}"))
-        out = lookup_join(out, materialize(ranks, "ranks"), ["feature", v])
+        one = ranks.filter(F.col("side") == v).select("feature", F.col("v").alias(v), F.col("r").alias(f"r{v}"))
+        out = lookup_join(out, one, ["feature", v])
     totals = pairs.groupBy("feature").agg(((F.sum("n") + 1) / 2).alias("mid"))
     out = out.join(F.broadcast(totals), "feature")
     dx, dy = F.col("rx") - F.col("mid"), F.col("ry") - F.col("mid")

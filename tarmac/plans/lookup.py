@@ -46,16 +46,17 @@ def lookup_join(
     how: str = "left",
     max_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, which holds at most one row per ``on`` (give it cheap to count).
 
     A right side whose size was checked is broadcast, so ``left`` is not shuffled. Beyond the bound each right row is
     copied to ``salts`` salted keys and left rows pick one by content, so that a key with a third of all rows is spread
-    over ``salts`` tasks; adaptive skew handling splits what is still too large.
+    over ``salts`` tasks; adaptive skew handling splits what is still too large. ``small`` passes on a check made before.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported lookup join: {how}")
-    if fits_broadcast(right, max_bytes):
+    if fits_broadcast(right, max_bytes) if small is None else small:
         return left.join(F.broadcast(right), on, how)
     salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
     salted_right = right.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))

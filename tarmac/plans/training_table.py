@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tarmac.functions import bands, calendar
 from tarmac.operators import encoding, history, sampling, weather
-from tarmac.plans.lookup import lookup_join
+from tarmac.plans.lookup import fits_broadcast, lookup_join
 from tarmac.plans.storage import materialize
+from tarmac.sources.readers import ELEMENTS
 
 TARGETS = ("DepDelayMinutes", "DepDel15")
 # Columns that are target-encoded, and those left as they are when the rest is standardised.
@@ -27,18 +28,43 @@ def clean_flights(flights: DataFrame, years: tuple[int, int] = calendar.HOLIDAY_
 def with_history(flights: DataFrame, daily: DataFrame, tie_break: list[str], boundary: str = "key", fill: str = "none") -> DataFrame:
     """Weather at both ends and all trailing history.
 
-    The merged table is written once because the daily means and the flight history both read it. The three daily
-    tables (origin weather, origin delay, destination weather) are tiny next to it; the two of the origin are joined to
-    each other first, so flights meet two lookups, not three.
+    Same result as ``merge_weather``, ``merge_rolling_weather``, ``merge_rolling_delay`` and ``flight_history`` in a row,
+    without carrying the weather columns through the sort: all flights of an airport and day share one weather row, so
+    the daily tables come from one narrow aggregation over both sides, and flights meet the finished daily tables last.
     """
-    merged = materialize(weather.merge_weather(flights, daily), "merged")
-    past = history.flight_history(merged, tie_break, fill=fill)
-    origin = history.rolling_weather(merged, "Origin", boundary).join(
-        history.rolling_delay(merged, boundary=boundary), ["Origin", "FlightDate"], "left"
+    stations = daily.select(F.col("STATION").alias("_airport"), F.col("DATE").alias("FlightDate"), F.lit(True).alias("_has"))
+    small = fits_broadcast(stations)
+    kept = flights
+    for side in ("Origin", "Dest"):
+        seen = stations.withColumnsRenamed({"_airport": side, "_has": f"_has_{side}"})
+        kept = lookup_join(kept, seen, [side, "FlightDate"], small=small)
+    kept = kept.filter("_has_Origin IS NOT NULL OR _has_Dest IS NOT NULL").select(*flights.columns)
+
+    ends = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("airport")) for s in ("Origin", "Dest")])
+    days = (
+        kept.select("FlightDate", "DepDelayMinutes", F.explode(ends).alias("e"))
+        .groupBy("e.side", "e.airport", "FlightDate")
+        .agg(F.avg("DepDelayMinutes").alias("DepDelayMinutes"), F.count("*").alias("_n"))
     )
-    out = lookup_join(past, materialize(origin, "rolling-origin"), ["Origin", "FlightDate"])
-    dest = materialize(history.rolling_weather(merged, "Dest", boundary), "rolling-dest")
-    return lookup_join(out, dest, ["Dest", "FlightDate"])
+    days = materialize(days, "days")
+    busiest = days.filter("side = 'Origin'").groupBy("airport").agg(F.sum("_n").alias("n")).agg(F.max("n")).first()[0] or 0
+    layout = "blocks" if busiest > history.HOT_ROWS else "keyed"
+    out = history.flight_history(kept, tie_break, fill=fill, layout=layout)
+    for side in ("Origin", "Dest"):
+        today = daily.select(
+            F.col("STATION").alias(side), F.col("DATE").alias("FlightDate"), *[F.col(e).alias(f"{side}_{e}") for e in ELEMENTS]
+        )
+        mine = days.filter(F.col("side") == side).select(F.col("airport").alias(side), "FlightDate", "DepDelayMinutes")
+        mine = mine.join(today, [side, "FlightDate"], "left")
+        names = {f"{side}_{e}": f"{side.lower()}_{e.lower()}" for e in ELEMENTS}
+        if side == "Origin":
+            names["DepDelayMinutes"] = "origin_depdelayminutes"
+        rolled = history.rolling_means(mine, side, "FlightDate", names, boundary=boundary)
+        table = rolled.join(mine.drop("DepDelayMinutes"), [side, "FlightDate"], "left")
+        out = lookup_join(out, materialize(table, f"days-{side.lower()}"), [side, "FlightDate"])
+    measures = [f"{s}_{e}" for s in ("Origin", "Dest") for e in ELEMENTS]
+    rest = [c for c in out.columns if c not in measures and c not in flights.columns]
+    return out.select(*flights.columns, *measures, *rest)
 
 
 def training_tables(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.sources.readers import scan_parquet
+from tarmac.sources.readers import scan_parquet, spread
 
 CALENDAR_YEARS = (1995, 2001)
 ROW_ID = ["ok", "ln", "pk", "sk"]
@@ -19,6 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flight per order line. Line 7 stands for cancelled flights, whose measures are null."""
     line = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
+    line = spread(line, "l_orderkey")
     order = table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority")
     ok, ln, pk, sk = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     qty = F.col("l_quantity")
@@ -53,7 +54,7 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long weather: one station reading per event."""
-    ev = table(spark, sf_dir, "events", "user_id", "ts", "event_type", "value")
+    ev = spread(table(spark, sf_dir, "events", "user_id", "ts", "event_type", "value"), "user_id")
     element = F
     for event, name in ELEMENT_OF_EVENT.items():
         element = element.when(F.col("event_type") == event, name)

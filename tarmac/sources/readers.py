@@ -45,6 +45,17 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.nanvl(c, F.lit(None)) for c in floats}) if floats else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a scan that has fewer splits than there are cores (few files, or one huge row group).
+
+    Large inputs already have enough splits and are left alone.
+    """
+    spark = df.sparkSession
+    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def scan_parquet(spark: SparkSession, path: str | list[str], columns: list[str] | None = None) -> DataFrame:
     """Parquet scan of one or more paths, limited to ``columns``."""
     df = spark.read.parquet(*([path] if isinstance(path, str) else path))
