@@ -7,6 +7,7 @@ import os
 import time
 
 from tarmac.catalog import QUERIES
+from tarmac.plans.storage import drop_stages
 from tarmac.session import build_session
 
 HEADLINE = [
@@ -42,6 +43,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+        drop_stages(spark)
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
     spark.stop()

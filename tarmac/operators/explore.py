@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tarmac.operators.quantiles import exact_quantiles, medians, quantile_map
 from tarmac.plans.lookup import lookup_join, one_row
+from tarmac.plans.ordering import running_totals
 from tarmac.plans.storage import materialize
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
@@ -155,11 +156,14 @@ def box_stats(df: DataFrame, col: str, whisker: float = 1.5) -> DataFrame:
 
 
 def rank_average(df: DataFrame, value: str, per: list[str], name: str = "rank") -> DataFrame:
-    """Descending rank within a (small) group, ties share their average rank."""
-    group = Window.partitionBy(*per)
-    order = group.orderBy(F.col(value).desc_nulls_last())
-    ties = F.count("*").over(Window.partitionBy(*per, value))
-    return df.withColumn(name, F.rank().over(order) + (ties - 1) / 2)
+    """Descending rank per group, ties share their average rank; a null value has none.
+
+    Ranks come from running counts over distinct values in even blocks, so a group may be of any size.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*per, value).agg(F.count("*").alias("_m"))
+    run = running_totals(counts, [F.col(value).desc()], {"_run": "_m"}, per)
+    ranks = run.select(*per, value, (F.col("_run") - (F.col("_m") - 1) / 2).alias(name))
+    return lookup_join(df, materialize(ranks, "ranks"), [*per, value])
 
 
 def top_per_group(df: DataFrame, per: list[str], value: str, tie: list[str], k: int = 5) -> DataFrame:

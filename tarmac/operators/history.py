@@ -112,8 +112,10 @@ def flight_history(
     large share of all rows; ``'auto'`` counts rows per origin and chooses. ``fill='reference'`` also fills missing means
     from the next row, else the row before, across origins; on the first flight this reveals its own delay.
     """
-    by_time = [F.col(c).asc_nulls_last() for c in ("FlightDate", "CRSDepTime", *tie_break)]
-    order = [F.col("Origin").asc_nulls_last(), *by_time]
+    in_day = [F.col(c).asc_nulls_last() for c in ("CRSDepTime", *tie_break)]
+    # plain ascending keys: the day window then needs no second sort (flights without a day have no order to keep)
+    by_time = [F.col("FlightDate").asc(), *in_day]
+    order = [F.col("Origin").asc(), *by_time]
     if layout == "auto":
         layout = "blocks" if has_hot_key(df, ["Origin"]) else "keyed"
     names = {k: f"past_{k}_avg_delay" for k in frames}
@@ -124,7 +126,7 @@ def flight_history(
 
     if layout == "keyed":
         window = Window.partitionBy("Origin").orderBy(*by_time)
-        same_day = Window.partitionBy("Origin", "FlightDate").orderBy(*by_time)
+        same_day = Window.partitionBy("Origin", "FlightDate").orderBy(*in_day)
         seen = [(F.row_number().over(same_day) - 1).cast("long").alias(c) for c in counts]
         out = df.select(*df.columns, *means(window), *seen)
         if fill == "reference":

@@ -29,6 +29,11 @@ def _length(parts: list[Column]) -> Column:
     return F.sqrt(reduce(add, [p * p for p in parts]))
 
 
+def _constant(row) -> Column:
+    """A (nested) row as a constant struct."""
+    return F.struct(*[(_constant(v) if isinstance(v, tuple) else F.lit(v).cast("long" if isinstance(v, int) else "double")).alias(n) for n, v in row.asDict().items()])
+
+
 def nearest(
     airports: DataFrame, stations: DataFrame, airport: str, station: str, metric: str = "radian", leaf: int = 16
 ) -> DataFrame:
@@ -80,7 +85,11 @@ def nearest(
         small = fits_broadcast(tree)
     for d in range(1, depth + 1):
         children = tree.filter(F.col("level") == d).drop("level")
-        open_ = lookup_join(todo, children, ["_cell"], "inner", small=small).withColumn("_b", F.explode("_below"))
+        if d == 1:  # the one top cell: its few children are constants
+            cells = F.array(*[_constant(b) for b in children.first()["_below"]])
+            open_ = a.withColumn("_b", F.explode(cells))
+        else:
+            open_ = lookup_join(todo, children, ["_cell"], "inner", small=small).withColumn("_b", F.explode("_below"))
         gaps, reach = [], []
         for i in dims:
             low, high, here = F.col(f"_b.lo{i}"), F.col(f"_b.hi{i}"), F.col(f"_a{i}")

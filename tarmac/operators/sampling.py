@@ -2,7 +2,7 @@
 
 Rows are ordered by the md5 of a seed and their id columns, so the same rows are taken on any cluster and in any
 partitioning. A class is never sorted as a whole: counts per leading hash digits find the bucket where the quota ends,
-and only that bucket is ranked. Equal rows are counted first and handed out as copies.
+and only the hashes of that bucket are ranked.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from tarmac.plans.storage import materialize
 
 SEED = 42
 _DIGITS = 4
+HOT_BUCKET = 5_000_000
 
 
 def hash_key(ids: list[str], seed: int = SEED) -> Column:
@@ -40,29 +41,44 @@ def _bucket_counts(tagged: DataFrame) -> DataFrame:
 def _copies_in_order(tagged: DataFrame, keep: list[str], within: list[str]) -> DataFrame:
     """Collapse equal rows and number them by hash then content: ``_before`` rows precede the ``_copies``."""
     distinct = tagged.groupBy(*keep, *[c for c in tagged.columns if c not in keep]).agg(F.count("*").alias("_copies"))
-    order = [F.col("_h"), *[F.col(c).asc_nulls_last() for c in keep]]
-    running = F.sum("_copies").over(Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    running = F.sum("_copies").over(Window.partitionBy(*within).orderBy(*_content(keep)).rowsBetween(Window.unboundedPreceding, 0))
     return distinct.withColumn("_before", running - F.col("_copies"))
 
 
+def _content(keep: list[str]) -> list[Column]:
+    return [F.col("_h"), *[F.col(c).asc_nulls_last() for c in keep]]
+
+
 def mark_exact(
     df: DataFrame, quota: DataFrame, ids: list[str], per: list[str] | None = None, seed: int = SEED, flag: str = "picked"
 ) -> DataFrame:
-    """Flag exactly ``_k`` rows of each class ``_cls`` (see ``class_key``) listed in ``quota``; other rows are false."""
+    """Flag exactly ``_k`` rows of each class ``_cls`` (see ``class_key``) listed in ``quota``; other rows are false.
+
+    Two narrow passes (ids and class only) find the hash at which each class reaches its quota; the full table is then
+    flagged in place, without a shuffle when the thresholds fit a broadcast. Only when several rows share the threshold
+    hash and not all of them are wanted are those rows ordered by content.
+    """
     tagged = _tag(df, ids, per or [], seed)
-    hist = _bucket_counts(tagged).join(quota, "_cls")
+    narrow = tagged.select("_cls", "_bucket", "_h")
     ends = (F.col("_run") >= F.col("_k")) & (F.col("_run") - F.col("_n") < F.col("_k"))
-    cut = hist.filter(ends).select(
-        "_cls", F.col("_bucket").alias("_cut"), (F.col("_k") - F.col("_run") + F.col("_n")).alias("_need")
-    )
-    joined = lookup_join(tagged, materialize(cut, "cut"), ["_cls"])
-
-    on_edge = F.coalesce(F.col("_bucket") == F.col("_cut"), F.lit(False))
-    sure = joined.filter(~on_edge).withColumn(flag, F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False)))
+    left_over = (F.col("_k") - F.col("_run") + F.col("_n")).alias("_need")
+    bucket = _bucket_counts(narrow).join(quota, "_cls").filter(ends).select("_cls", "_bucket", left_over)
+    bucket = materialize(bucket, "cut-bucket")
+    hashes = lookup_join(narrow, bucket, ["_cls", "_bucket"], "inner").groupBy("_cls", "_h", F.col("_need").alias("_k"))
+    by_hash = Window.partitionBy("_cls").orderBy("_h")
+    hashes = hashes.agg(F.count("*").alias("_n")).withColumn("_run", F.sum("_n").over(by_hash)).filter(ends)
+    cut = hashes.select("_cls", F.col("_h").alias("_cut"), left_over, (F.col("_run") != F.col("_k")).alias("_split"))
+    cut = materialize(cut, "cut")
+
+    joined = lookup_join(tagged.drop("_bucket"), cut, ["_cls"])
+    sure = joined.withColumn(flag, F.coalesce(F.col("_h") <= F.col("_cut"), F.lit(False)))
+    if not cut.filter("_split").limit(1).count():
+        return sure.select(*df.columns, flag)
+    on_edge = F.coalesce(F.col("_split") & (F.col("_h") == F.col("_cut")), F.lit(False))
     edge = _copies_in_order(joined.filter(on_edge), df.columns, ["_cls"])
     edge = edge.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
     edge = edge.withColumn(flag, F.col("_before") + F.col("_i") <= F.col("_need"))
-    return sure.select(*df.columns, flag).unionByName(edge.select(*df.columns, flag))
+    return sure.filter(~on_edge).select(*df.columns, flag).unionByName(edge.select(*df.columns, flag))
 
 
 def mark_fraction(
@@ -114,16 +130,32 @@ def undersample_all(df: DataFrame, target: str, ids: list[str], seed: int = SEED
 
 
 def kfold_assign(
-    df: DataFrame, k: int, ids: list[str], per: list[str] | None = None, seed: int = SEED, name: str = "fold"
+    df: DataFrame,
+    k: int,
+    ids: list[str],
+    per: list[str] | None = None,
+    seed: int = SEED,
+    name: str = "fold",
+    hot_rows: int = HOT_BUCKET,
 ) -> DataFrame:
-    """Fold 0..k-1 of each row by its hash rank (within its class): fold sizes differ by one at most."""
+    """Fold 0..k-1 of each row by its hash rank (within its class): fold sizes differ by one at most.
+
+    Rows are ranked inside hash buckets, which are even unless many rows are equal. When a bucket holds more than
+    ``hot_rows``, equal rows are collapsed before the shuffle and handed out again after ranking.
+    """
     tagged = _tag(df, ids, per or [], seed)
-    starts = _bucket_counts(tagged).select("_cls", "_bucket", (F.col("_run") - F.col("_n")).alias("_start"))
-    ranked = _copies_in_order(tagged, df.columns, ["_cls", "_bucket"])
-    ranked = lookup_join(ranked, materialize(starts, "fold-starts"), ["_cls", "_bucket"])
-    ranked = ranked.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
-    rank = F.col("_start") + F.col("_before") + F.col("_i")
-    return ranked.select(*df.columns, (rank % k).cast("int").alias(name))
+    starts = _bucket_counts(tagged.select("_cls", "_bucket")).withColumn("_start", F.col("_run") - F.col("_n"))
+    starts = materialize(starts.drop("_run"), "fold-starts")
+    if (starts.agg(F.max("_n")).first()[0] or 0) > hot_rows:
+        ranked = _copies_in_order(tagged, df.columns, ["_cls", "_bucket"])
+        ranked = ranked.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+        place = F.col("_before") + F.col("_i")
+    else:
+        window = Window.partitionBy("_cls", "_bucket").orderBy(*_content(df.columns))
+        ranked = tagged.withColumn("_i", F.row_number().over(window) - 1)
+        place = F.col("_i")
+    ranked = lookup_join(ranked, starts.drop("_n"), ["_cls", "_bucket"])
+    return ranked.select(*df.columns, ((F.col("_start") + place) % k).cast("int").alias(name))
 
 
 def shuffle_position(df: DataFrame, ids: list[str], seed: int = SEED, name: str = "position") -> DataFrame:

@@ -20,8 +20,24 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_made: list[str] = []
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, remembered for ``drop_stages``."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stage tables this process made. Call it once the results that read them are written."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    count = len(_made)
+    while _made:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        target.getFileSystem(conf).delete(target, True)
+    return count
 
 
 def materialize(df: DataFrame, label: str = "stage", partition_by: list[str] | None = None) -> DataFrame:

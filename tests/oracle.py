@@ -70,6 +70,7 @@ def compare(spark_df, con, sql) -> str | None:
 
 def main():
     from tarmac.catalog import ORACLES, QUERIES
+    from tarmac.plans.storage import drop_stages
     from tarmac.session import build_session
 
     args = sys.argv[1:]
@@ -93,6 +94,7 @@ def main():
                 print("   ", str(rows[:2])[:300])
         except Exception as e:  # noqa: BLE001
             note = f"{type(e).__name__}: {str(e)[:1500]}"
+        drop_stages(spark)
         print(f"{'ok  ' if note is None else 'FAIL'} {name} {time.time() - start:.1f}s {note or ''}", flush=True)
         if note:
             failed.append(name)
