@@ -23,7 +23,7 @@ _zeroed = ", ".join(f"coalesce({e}, 0.0::DOUBLE) AS {e}" if e in ("PRCP", "SNOW"
 _sides = ", ".join(f"{p}.{e} AS {s}_{e}" for s, p in (("Origin", "wo"), ("Dest", "wd")) for e in ELEMENTS)
 
 
-def _rolling_sql(source: str, key: str, cols: dict[str, str], boundary: str) -> str:
+def rolling_sql(source: str, key: str, cols: dict[str, str], boundary: str) -> str:
     """Checking SQL of the rolling means of a daily table (key, FlightDate, columns)."""
     part = f"PARTITION BY {key} " if boundary == "key" else ""
     day = "ORDER BY FlightDate"
@@ -40,7 +40,7 @@ FROM (SELECT {key}, FlightDate, {back}
       FROM (SELECT {key}, FlightDate, {ahead} FROM ({source})))"""
 
 
-def _daily(key: str, cols: list[str], source: str) -> str:
+def daily_sql(key: str, cols: list[str], source: str) -> str:
     return f"SELECT {key}, FlightDate, {', '.join(f'avg({c}) AS {c}' for c in cols)} FROM {source} GROUP BY ALL"
 
 
@@ -67,12 +67,12 @@ WHERE wo.STATION IS NOT NULL OR wd.STATION IS NOT NULL""",
 }
 for _side in ("Origin", "Dest"):
     for _mode in ("key", "global"):
-        VIEWS[f"roll_{_side.lower()}_{_mode}"] = _rolling_sql(
-            _daily(_side, list(side_columns(_side)), "merged"), _side, side_columns(_side), _mode
+        VIEWS[f"roll_{_side.lower()}_{_mode}"] = rolling_sql(
+            daily_sql(_side, list(side_columns(_side)), "merged"), _side, side_columns(_side), _mode
         )
 for _mode in ("key", "global"):
-    VIEWS[f"roll_delays_{_mode}"] = _rolling_sql(
-        _daily("Origin", ["DepDelayMinutes"], "flights"), "Origin", {"DepDelayMinutes": "origin_depdelayminutes"}, _mode
+    VIEWS[f"roll_delays_{_mode}"] = rolling_sql(
+        daily_sql("Origin", ["DepDelayMinutes"], "flights"), "Origin", {"DepDelayMinutes": "origin_depdelayminutes"}, _mode
     )
 
 

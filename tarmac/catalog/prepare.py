@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tarmac.catalog.base import R, query, r6
+from tarmac.catalog.base import VIEWS, R, daily_sql, query, r6, rolling_sql, side_columns
 from tarmac.operators import encoding as en
 from tarmac.operators import sampling as sp
+from tarmac.plans import training_table as tt
 from tarmac.sources import demo
 
 ID = ", ".join(demo.ROW_ID)
@@ -111,9 +112,9 @@ def _fixed(n, s, ss, N, S, SS):
     return f"({s} + 5 * ({S} / {N})) / ({n} + 5)"
 
 
-def _encode_sql(part: str, formula) -> str:
+def _encode_sql(part: str, formula, names=_ENC, parts: str = _PARTS, keep: str = "y AS DepDel15", digits: int = 6) -> str:
     ctes, joins, cols = [], [], []
-    for c in _ENC:
+    for c in names:
         if part == "train":
             ctes.append(
                 f"s_{c} AS (SELECT {c}, fold, count(*) AS n, sum(y) AS s, sum(y * y) AS ss FROM train GROUP BY ALL),\n"
@@ -121,18 +122,18 @@ def _encode_sql(part: str, formula) -> str:
                 f"e_{c} AS (SELECT {c}, o.fold, {formula('o.n::DOUBLE', 'o.s', 'o.ss', 'g.n', 'g.s', 'g.ss')} AS e FROM o_{c} o JOIN g ON o.fold = g.fold)"
             )
             joins.append(f"JOIN e_{c} ON t.{c} = e_{c}.{c} AND t.fold = e_{c}.fold")
-            cols.append(R(f"e_{c}.e", c))
+            cols.append(R(f"e_{c}.e", c, digits))
         else:
             ctes.append(
                 f"e_{c} AS (SELECT {c}, {formula('count(*)::DOUBLE', 'sum(y)', 'sum(y * y)', 'any_value(g.n)', 'any_value(g.s)', 'any_value(g.ss)')} AS e FROM train, g GROUP BY {c})"
             )
             joins.append(f"LEFT JOIN e_{c} ON t.{c} = e_{c}.{c}")
-            cols.append(R(f"coalesce(e_{c}.e, (SELECT s / n FROM g))", c))
+            cols.append(R(f"coalesce(e_{c}.e, (SELECT s / n FROM g))", c, digits))
     if part == "train":
         g = "g AS (SELECT fold, sum(count(*)) OVER () - count(*) AS n, sum(sum(y)) OVER () - sum(y) AS s, sum(sum(y * y)) OVER () - sum(y * y) AS ss FROM train GROUP BY fold)"
     else:
         g = "g AS (SELECT count(*) AS n, sum(y) AS s, sum(y * y) AS ss FROM train)"
-    return f"WITH {_PARTS.strip()},\n{g},\n" + ",\n".join(ctes) + f"\nSELECT {ID}, y AS DepDel15, {', '.join(cols)} FROM {part} t " + "\n".join(joins)
+    return f"WITH {parts.strip()},\n{g},\n" + ",\n".join(ctes) + f"\nSELECT {ID}, {keep}, {', '.join(cols)} FROM {part} t " + "\n".join(joins)
 
 
 def _encoded(spark, sf, smooth):
@@ -209,20 +210,71 @@ def plot_sample(spark, sf):
 
 
 def _final(spark, sf):
-    from tarmac.plans.training_table import training_tables
-
     flights = demo.flights(spark, sf).select(
         *IDS, "FlightDate", F.month("CalendarDate").alias("Month"), (F.weekday("CalendarDate") + 1).alias("DayOfWeek"),
         "Airline", "Origin", "Dest", "CRSDepTime", "CRSArrTime", "AirTime", "Distance", "DepDelayMinutes", "DepDel15",
     )
-    return training_tables(flights, demo.observations(spark, sf), demo.station_key(spark, sf), IDS, years=(2024, 2024))
-
-
-@query("final_train")
+    return tt.training_tables(flights, demo.observations(spark, sf), demo.station_key(spark, sf), IDS, years=(2024, 2024))
+
+
+# Checking SQL of the whole way from raw tables to the train and test tables
+VIEWS["balanced"] = f"""
+SELECT * EXCLUDE (r, k) FROM (SELECT *, {_rank('year(FlightDate), DepDel15')} AS r, count(*) FILTER (WHERE DepDel15 = 1) OVER (PARTITION BY year(FlightDate)) AS k
+  FROM flights WHERE DepDel15 IS NOT NULL) WHERE DepDel15 = 1 OR r <= k"""
+VIEWS["bal_merged"] = VIEWS["merged"].replace("FROM flights f", "FROM bal_minutes f")
+VIEWS["bal_minutes"] = f"""
+SELECT {ID}, FlightDate, CAST(month(CalendarDate) AS INT) AS Month, CAST(isodow(CalendarDate) AS INT) AS DayOfWeek, Airline, Origin, Dest,
+  CASE WHEN CRSDepTime % 100 < 60 AND CRSDepTime < 2400 THEN CRSDepTime // 100 * 60 + CRSDepTime % 100 END AS CRSDepTime,
+  CASE WHEN CRSArrTime % 100 < 60 AND CRSArrTime < 2400 THEN CRSArrTime // 100 * 60 + CRSArrTime % 100 END AS CRSArrTime,
+  AirTime, Distance, DepDelayMinutes, DepDel15,
+  CASE WHEN AirTime IS NULL THEN 'Unknown' WHEN AirTime < 120 THEN '0' WHEN AirTime < 360 THEN '1' ELSE '2' END AS AirTimeCategory,
+  CASE WHEN Distance < 500 THEN '0' WHEN Distance < 2500 THEN '1' ELSE '2' END AS DistanceCategory,
+  CASE WHEN CRSDepTime < 600 THEN 0 WHEN CRSDepTime < 1200 THEN 1 WHEN CRSDepTime < 1800 THEN 2 ELSE 3 END AS TimeofDay,
+  CAST(dayofyear(FlightDate) AS INT) AS DayOfYear,
+  CAST(FlightDate IN (DATE '2024-01-01', DATE '2024-01-15') AS INT) AS Holiday_Indicator,
+  CAST(FlightDate <= DATE '2024-01-04' OR FlightDate BETWEEN DATE '2024-01-12' AND DATE '2024-01-18' AS INT) AS Near_Holiday,
+  CAST(isodow(CalendarDate) IN (1, 7) AS INT) AS Weekend_Indicator
+FROM balanced"""
+for _side in ("Origin", "Dest"):
+    VIEWS[f"bal_roll_{_side.lower()}"] = rolling_sql(daily_sql(_side, list(side_columns(_side)), "bal_merged"), _side, side_columns(_side), "key")
+VIEWS["bal_roll_delays"] = rolling_sql(
+    daily_sql("Origin", ["DepDelayMinutes"], "bal_merged"), "Origin", {"DepDelayMinutes": "origin_depdelayminutes"}, "key"
+)
+_ROLLED = [f"{p}_avg_{n}" for s in ("Origin", "Dest") for p in ("weekly", "monthly") for n in side_columns(s).values()]
+_ROLLED += ["weekly_avg_origin_depdelayminutes", "monthly_avg_origin_depdelayminutes"]
+_PAST = [f"past_{k}_avg_delay" for k in (10, 50, 100)]
+_SIDES = [f"{s}_{e}" for s in ("Origin", "Dest") for e in ("PRCP", "SNOW", "SNWD", "TMAX", "TMIN")]
+_FINAL_SCALED = ["Month", "DayOfWeek", "CRSDepTime", "CRSArrTime", "AirTime", "Distance", "TimeofDay", "DayOfYear", *_SIDES, *_PAST, "cumulative_flights_before", *_ROLLED]
+_FINAL_CYCLES = [f"{c}_{fn}" for c in tt.calendar.PERIODS for fn in ("sin", "cos")]
+_WINDOW = f"ORDER BY FlightDate, CRSDepTime NULLS LAST, {ID}"
+_FINAL_PARTS = f"""
+history AS (SELECT {ID}, {', '.join(f"avg(DepDelayMinutes) OVER (PARTITION BY Origin {_WINDOW} ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING) AS past_{k}_avg_delay" for k in (10, 50, 100))},
+  row_number() OVER (PARTITION BY Origin, FlightDate {_WINDOW}) - 1 AS cumulative_flights_before FROM bal_merged),
+wide AS (SELECT m.*, h.* EXCLUDE ({ID}), o.* EXCLUDE (Origin, FlightDate), d.* EXCLUDE (Dest, FlightDate), r.* EXCLUDE (Origin, FlightDate)
+  FROM bal_merged m JOIN history h USING ({ID})
+  LEFT JOIN bal_roll_origin o ON m.Origin = o.Origin AND m.FlightDate = o.FlightDate
+  LEFT JOIN bal_roll_dest d ON m.Dest = d.Dest AND m.FlightDate = d.FlightDate
+  LEFT JOIN bal_roll_delays r ON m.Origin = r.Origin AND m.FlightDate = r.FlightDate),
+complete AS (SELECT *, CASE WHEN Weekend_Indicator = 1 OR Holiday_Indicator = 1 THEN 0 ELSE 1 END AS Working_Day,
+  {', '.join(f"{fn}(2 * pi() * {c} / {p}) AS {c}_{fn}" for c, p in tt.calendar.PERIODS.items() for fn in ("sin", "cos"))}
+  FROM wide WHERE {' AND '.join(f"{c} IS NOT NULL" for c in _FINAL_SCALED)}),
+scaled AS (SELECT {ID}, Airline, Origin, Dest, AirTimeCategory, DistanceCategory, DepDelayMinutes, DepDel15 AS y, {', '.join(tt.FLAGS + _FINAL_CYCLES)},
+  {', '.join(f"({c} - avg({c}) OVER ()) / (CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END) AS {c}" for c in _FINAL_SCALED)},
+  {_rank()} <= ceil(count(*) OVER () * 0.2::DOUBLE) AS is_test FROM complete),
+train AS (SELECT *, ({_rank('y')} - 1) % 5 AS fold FROM scaled WHERE NOT is_test),
+test AS (SELECT * FROM scaled WHERE is_test)"""
+_FINAL_KEEP = f"DepDelayMinutes, y AS DepDel15, {', '.join(tt.FLAGS)}, " + ", ".join(R(f"t.{c}", c, 4) for c in _FINAL_CYCLES + _FINAL_SCALED)
+
+
+def _rounded(df):
+    return r6(df, *tt.ENCODED, *_FINAL_CYCLES, *_FINAL_SCALED, digits=4)
+
+
+@query("final_train", _encode_sql("train", _auto, tt.ENCODED, _FINAL_PARTS, _FINAL_KEEP, 4))
 def final_train(spark, sf):
-    return _final(spark, sf)[0]
+    return _rounded(_final(spark, sf)[0])
 
 
-@query("final_test")
+@query("final_test", _encode_sql("test", _auto, tt.ENCODED, _FINAL_PARTS, _FINAL_KEEP, 4))
 def final_test(spark, sf):
-    return _final(spark, sf)[1]
+    return _rounded(_final(spark, sf)[1])
