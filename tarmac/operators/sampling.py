@@ -7,14 +7,18 @@ and only the hashes of that bucket are ranked.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.plans.lookup import lookup_join
+from tarmac.plans.lookup import fits_broadcast, lookup_join
 from tarmac.plans.ordering import global_index
 from tarmac.plans.storage import materialize
 
 SEED = 42
+# leading hash digits: few for a threshold, whose bucket is only counted; more for folds, whose buckets are sorted
+_CUT_DIGITS = 3
 _DIGITS = 4
 HOT_BUCKET = 5_000_000
 
@@ -32,10 +36,9 @@ def _tag(df: DataFrame, ids: list[str], per: list[str], seed: int) -> DataFrame:
     return df.withColumn("_bucket", F.substring("_h", 1, _DIGITS))
 
 
-def _bucket_counts(tagged: DataFrame) -> DataFrame:
-    """Rows per class and bucket, with the running count; at most 65,536 buckets per class."""
-    counts = tagged.groupBy("_cls", "_bucket").agg(F.count("*").alias("_n"))
-    return counts.withColumn("_run", F.sum("_n").over(Window.partitionBy("_cls").orderBy("_bucket")))
+def _with_run(hist: DataFrame) -> DataFrame:
+    """Running count over the buckets of a class (at most 65,536 rows per class)."""
+    return hist.withColumn("_run", F.sum("_n").over(Window.partitionBy("_cls").orderBy("_bucket")))
 
 
 def _copies_in_order(tagged: DataFrame, keep: list[str], within: list[str]) -> DataFrame:
@@ -50,27 +53,37 @@ def _content(keep: list[str]) -> list[Column]:
 
 
 def mark_exact(
-    df: DataFrame, quota: DataFrame, ids: list[str], per: list[str] | None = None, seed: int = SEED, flag: str = "picked"
+    df: DataFrame,
+    quota: Callable[[DataFrame], DataFrame],
+    ids: list[str],
+    per: list[str] | None = None,
+    seed: int = SEED,
+    flag: str = "picked",
 ) -> DataFrame:
-    """Flag exactly ``_k`` rows of each class ``_cls`` (see ``class_key``) listed in ``quota``; other rows are false.
+    """Flag exactly ``_k`` rows of each class; classes without a quota are all false.
 
-    Two narrow passes (ids and class only) find the hash at which each class reaches its quota; the full table is then
-    flagged in place, without a shuffle when the thresholds fit a broadcast. Only when several rows share the threshold
-    hash and not all of them are wanted are those rows ordered by content.
+    ``quota`` gets the class sizes (columns ``per``, ``_cls``, ``_size``) and returns ``_cls`` and ``_k``. Two narrow passes
+    (ids and class only) find the hash at which each class reaches its quota; the full table is then flagged in place,
+    without a shuffle when the thresholds fit a broadcast. Only when several rows share the threshold hash and not all of
+    them are wanted are those rows ordered by content.
     """
-    tagged = _tag(df, ids, per or [], seed)
+    per = per or []
+    tagged = _tag(df, ids, per, seed).withColumn("_bucket", F.substring("_h", 1, _CUT_DIGITS))
     narrow = tagged.select("_cls", "_bucket", "_h")
+    hist = materialize(narrow.groupBy("_cls", "_bucket").agg(F.count("*").alias("_n")), "buckets")
+    sizes = hist.groupBy("_cls").agg(F.sum("_n").alias("_size")).select(*[F.col("_cls")[c].alias(c) for c in per], "_cls", "_size")
     ends = (F.col("_run") >= F.col("_k")) & (F.col("_run") - F.col("_n") < F.col("_k"))
     left_over = (F.col("_k") - F.col("_run") + F.col("_n")).alias("_need")
-    bucket = _bucket_counts(narrow).join(quota, "_cls").filter(ends).select("_cls", "_bucket", left_over)
+    bucket = _with_run(hist).join(quota(sizes).select("_cls", "_k"), "_cls").filter(ends).select("_cls", "_bucket", left_over)
     bucket = materialize(bucket, "cut-bucket")
-    hashes = lookup_join(narrow, bucket, ["_cls", "_bucket"], "inner").groupBy("_cls", "_h", F.col("_need").alias("_k"))
+    small = fits_broadcast(bucket)
+    hashes = lookup_join(narrow, bucket, ["_cls", "_bucket"], "inner", small=small).groupBy("_cls", "_h", F.col("_need").alias("_k"))
     by_hash = Window.partitionBy("_cls").orderBy("_h")
     hashes = hashes.agg(F.count("*").alias("_n")).withColumn("_run", F.sum("_n").over(by_hash)).filter(ends)
     cut = hashes.select("_cls", F.col("_h").alias("_cut"), left_over, (F.col("_run") != F.col("_k")).alias("_split"))
     cut = materialize(cut, "cut")
 
-    joined = lookup_join(tagged.drop("_bucket"), cut, ["_cls"])
+    joined = lookup_join(tagged.drop("_bucket"), cut, ["_cls"], small=small)
     sure = joined.withColumn(flag, F.coalesce(F.col("_h") <= F.col("_cut"), F.lit(False)))
     if not cut.filter("_split").limit(1).count():
         return sure.select(*df.columns, flag)
@@ -91,10 +104,9 @@ def mark_fraction(
     rounding: str = "ceil",
 ) -> DataFrame:
     """Flag a fraction of all rows, or of each class: rounded up, or to the nearest (halves up)."""
-    wanted = F.count("*") * F.lit(float(fraction))
+    wanted = F.col("_size") * F.lit(float(fraction))
     k = F.ceil(wanted) if rounding == "ceil" else F.floor(wanted + 0.5)
-    quota = df.groupBy(class_key(per or []).alias("_cls")).agg(k.cast("long").alias("_k"))
-    return mark_exact(df, quota, ids, per, seed, flag)
+    return mark_exact(df, lambda sizes: sizes.select("_cls", k.cast("long").alias("_k")), ids, per, seed, flag)
 
 
 def train_test_split(df: DataFrame, ids: list[str], fraction: float = 0.2, per: list[str] | None = None, seed: int = SEED):
@@ -110,22 +122,28 @@ def stratified_sample(df: DataFrame, fraction: float, ids: list[str], per: list[
 def undersample(df: DataFrame, target: str, ids: list[str], per: list[str] | None = None, seed: int = SEED) -> DataFrame:
     """All rows of class 1 and as many of class 0, per ``per`` (a year). Rows with a null class are dropped."""
     per = per or []
-    sizes = df.groupBy(class_key(per).alias("_cls")).agg(
-        F.count_if(F.col(target) == 1).alias("_k"), F.count_if(F.col(target) == 0).alias("_have")
-    )
-    sizes = materialize(sizes, "class-sizes")
-    short = sizes.filter("_have < _k").limit(5).collect()
-    if short:
-        raise ValueError(f"fewer on-time than delayed rows in: {[r['_cls'].asDict() for r in short]}")
-    on_time = mark_exact(df.filter(F.col(target) == 0), sizes.drop("_have"), ids, per, seed, "_in")
-    return df.filter(F.col(target) == 1).unionByName(on_time.filter("_in").drop("_in"))
+
+    def quota(sizes: DataFrame) -> DataFrame:
+        late = F.max(F.when(F.col(target) == 1, F.col("_size"))).over(Window.partitionBy(*per) if per else Window.partitionBy(F.lit(0)))
+        out = sizes.withColumn("_k", F.coalesce(late, F.lit(0)))
+        short = out.filter((F.col(target) == 0) & (F.col("_size") < F.col("_k"))).limit(5).collect()
+        # a group with late rows but no class 0 at all has no row to compare, so count its classes
+        late_only = sizes.groupBy(*per).agg(F.count_if(F.col(target) == 0).alias("_zero")).filter("_zero = 0").limit(5).collect()
+        if short or late_only:
+            raise ValueError(f"fewer on-time than delayed rows in: {[[r[c] for c in per] or 'all' for r in [*short, *late_only]]}")
+        return out
+
+    known = df.filter(F.col(target).isin(0, 1))
+    return mark_exact(known, quota, ids, [*per, target], seed, "_in").filter("_in").drop("_in")
 
 
 def undersample_all(df: DataFrame, target: str, ids: list[str], seed: int = SEED) -> DataFrame:
     """Every class cut to the size of the smallest one; each distinct value of the target is a class."""
+
+    def quota(sizes: DataFrame) -> DataFrame:
+        return sizes.crossJoin(F.broadcast(sizes.agg(F.min("_size").alias("_k"))))
+
     known = df.filter(F.col(target).isNotNull())
-    sizes = materialize(known.groupBy(class_key([target]).alias("_cls")).agg(F.count("*").alias("_n")), "class-sizes")
-    quota = sizes.crossJoin(F.broadcast(sizes.agg(F.min("_n").alias("_k")))).drop("_n")
     return mark_exact(known, quota, ids, [target], seed, "_in").filter("_in").drop("_in")
 
 
@@ -144,7 +162,8 @@ def kfold_assign(
     ``hot_rows``, equal rows are collapsed before the shuffle and handed out again after ranking.
     """
     tagged = _tag(df, ids, per or [], seed)
-    starts = _bucket_counts(tagged.select("_cls", "_bucket")).withColumn("_start", F.col("_run") - F.col("_n"))
+    hist = tagged.select("_cls", "_bucket").groupBy("_cls", "_bucket").agg(F.count("*").alias("_n"))
+    starts = _with_run(hist).withColumn("_start", F.col("_run") - F.col("_n"))
     starts = materialize(starts.drop("_run"), "fold-starts")
     if (starts.agg(F.max("_n")).first()[0] or 0) > hot_rows:
         ranked = _copies_in_order(tagged, df.columns, ["_cls", "_bucket"])
@@ -166,5 +185,8 @@ def shuffle_position(df: DataFrame, ids: list[str], seed: int = SEED, name: str
 
 def bounded_sample(df: DataFrame, rows: int, ids: list[str], seed: int = SEED) -> DataFrame:
     """Exactly ``rows`` rows (all when there are fewer), for plots."""
-    quota = df.groupBy(class_key([]).alias("_cls")).agg(F.least(F.count("*"), F.lit(rows)).alias("_k"))
+
+    def quota(sizes: DataFrame) -> DataFrame:
+        return sizes.select("_cls", F.least("_size", F.lit(rows).cast("long")).alias("_k"))
+
     return mark_exact(df, quota, ids, [], seed, "_in").filter("_in").drop("_in")

@@ -62,8 +62,7 @@ def test_global_index_is_dense_and_sorted(spark, skewed):
 
 @pytest.mark.parametrize("k", [0, 1, 1999, 2000, 2001, 3500, 6000])
 def test_exact_size_with_equal_rows(spark, skewed, k):
-    quota = spark.range(1).select(sp.class_key([]).alias("_cls"), F.lit(k).cast("long").alias("_k"))
-    out = sp.mark_exact(skewed, quota, ["id"])
+    out = sp.mark_exact(skewed, lambda sizes: sizes.withColumn("_k", F.lit(k).cast("long")), ["id"])
     assert out.count() == 6000
     assert out.filter("picked").count() == k
     assert rows(out.drop("picked")) == rows(skewed)
