@@ -7,6 +7,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.operators.explore import top_per_group
 from tarmac.operators.sampling import hash_key
 from tarmac.plans.lookup import one_row
 from tarmac.plans.ordering import global_index, running_totals
@@ -153,3 +154,10 @@ def importance_table(importances: list[DataFrame]) -> DataFrame:
     order = Window.orderBy(F.desc("mean_importance"))
     ties = F.count("*").over(Window.partitionBy("mean_importance"))
     return wide.withColumn("rank", F.rank().over(order) + (ties - 1) / 2).orderBy("rank", "feature")
+
+
+def top_features(importances: DataFrame, k: int = 5) -> DataFrame:
+    """The k most important features per model, side by side: one row per place, one column per model."""
+    best = top_per_group(importances, ["model"], "importance", ["feature"], k)
+    models = [r[0] for r in importances.select("model").distinct().orderBy("model").collect()]
+    return best.groupBy("place").agg(*[F.max(F.when(F.col("model") == m, F.col("feature"))).alias(m) for m in models]).orderBy("place")

@@ -19,24 +19,30 @@ _FIXED_WIDTH = {
 }
 
 
-def row_width(df: DataFrame) -> int:
-    """Rough bytes of one row in memory."""
-    width = 16
+def _type_width(kind: T.DataType) -> int:
+    """Bytes of a value of the type in a row; texts and arrays without their contents."""
+    if isinstance(kind, T.StructType):
+        return 16 + sum(_type_width(f.dataType) for f in kind.fields)
+    return 8 + _FIXED_WIDTH.get(type(kind), 8)
+
+
+def memory_bytes(df: DataFrame) -> int:
+    """Size of a table in memory, measured in one pass: rows times fixed width, plus text lengths and array contents."""
+    fixed = _type_width(df.schema)
+    measures = [F.count("*").alias("n")]
     for field in df.schema.fields:
-        width += 8
         if isinstance(field.dataType, T.StringType):
-            width += 32
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            width += 256
-        else:
-            width += _FIXED_WIDTH.get(type(field.dataType), 8)
-    return width
+            measures.append(F.sum(F.octet_length(field.name)).alias(field.name))
+        elif isinstance(field.dataType, T.ArrayType):
+            each = _type_width(field.dataType.elementType)
+            measures.append(F.sum(F.size(field.name) * each).alias(field.name))
+    rows, *contents = df.agg(*measures).first()
+    return rows * fixed + sum(c or 0 for c in contents)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Count rows up to the bound only; true when the whole table stays below it."""
-    bound = max(1, max_bytes // row_width(df))
-    return df.limit(bound + 1).count() <= bound
+    """True when the measured size of the whole table is within the bound."""
+    return memory_bytes(df) <= max_bytes
 
 
 def lookup_join(
@@ -48,7 +54,7 @@ def lookup_join(
     salts: int = SALTS,
     small: bool | None = None,
 ) -> DataFrame:
-    """Join ``left`` to ``right``, which holds at most one row per ``on`` (give it cheap to count).
+    """Join ``left`` to ``right``, which holds at most one row per ``on`` (give it written, as it is measured).
 
     A right side whose size was checked is broadcast, so ``left`` is not shuffled. Beyond the bound each right row is
     copied to ``salts`` salted keys and left rows pick one by content, so that a key with a third of all rows is spread

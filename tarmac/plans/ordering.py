@@ -18,10 +18,8 @@ _POSITION_BITS = 33
 
 def global_index(df: DataFrame, order: list[Column], name: str = "gidx") -> DataFrame:
     """Add the 0-based position of each row in ``order`` (which should be total) as a long column."""
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tagged = (
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )

@@ -50,10 +50,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
     Large inputs already have enough splits and are left alone.
     """
-    spark = df.sparkSession
-    if df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
-        return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
 def scan_parquet(spark: SparkSession, path: str | list[str], columns: list[str] | None = None) -> DataFrame:
@@ -73,6 +71,13 @@ def year_from_name(name: Column, years: tuple[int, int] = NAME_YEARS) -> Column:
     return F.coalesce(F.array_min(F.filter(wanted, lambda y: F.contains(name, y))), F.lit("unknown"))
 
 
+def scan_years(spark: SparkSession, path: str | list[str], columns: list[str] | None = None) -> DataFrame:
+    """Parquet scan with a ``year`` column taken from each file's name."""
+    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    names = columns or df.columns
+    return nan_to_null(df.select(*names, year_from_name(F.col("_metadata.file_name")).alias("year")))
+
+
 def scan_observations(
     spark: SparkSession,
     path: str | list[str],

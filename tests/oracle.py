@@ -74,10 +74,12 @@ def main():
     from tarmac.session import build_session
 
     args = sys.argv[1:]
-    sf = "0.01"
+    sf, parts = "0.01", "8"
+    if args[:1] == ["-p"]:
+        parts, args = args[1], args[2:]
     if args[:1] == ["-s"]:
         sf, args = args[1], args[2:]
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
+    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": parts, "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     sf_dir = f"/root/testdata/sf{sf}"
     con = connect(sf_dir)

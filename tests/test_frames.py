@@ -146,6 +146,22 @@ def test_year_from_name(spark):
     assert [r[0] for r in df.select(rd.year_from_name(F.col("n"))).collect()] == ["2019", "unknown", "2022", "unknown"]
 
 
+def test_year_of_files(spark, tmp_path):
+    for y in ("2019", "2021"):
+        spark.range(2).coalesce(1).toPandas().to_parquet(tmp_path / f"flight_{y}.parquet")
+    got = rd.scan_years(spark, str(tmp_path)).groupBy("year").count().collect()
+    assert {r["year"]: r["count"] for r in got} == {"2019": 2, "2021": 2}
+
+
+def test_broadcast_bound_is_measured(spark):
+    from tarmac.plans.lookup import fits_broadcast
+
+    long_text = spark.range(100).select(F.repeat(F.lit("x"), 10_000).alias("t"))
+    assert fits_broadcast(spark.range(100), 10_000)
+    assert not fits_broadcast(long_text, 100_000)
+    assert not fits_broadcast(spark.range(10).select(F.sequence(F.lit(1), F.lit(1000)).alias("a")), 50_000)
+
+
 def test_numeric_text_columns(spark):
     df = spark.createDataFrame([("1", "x", None), ("2.5", "3", None)], "a string, b string, c string")
     assert dict(ex.to_numeric_columns(df).dtypes) == {"a": "double", "b": "string", "c": "double"}

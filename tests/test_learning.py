@@ -101,6 +101,14 @@ def test_undefined_metrics_are_zero(spark):
     assert {(r["actual"], r["predicted"]): r["n"] for r in ev.confusion_matrix(preds).collect()} == {(0, 0): 1, (0, 1): 0, (1, 0): 1, (1, 1): 0}
 
 
+def test_importance_tables(spark):
+    a = spark.createDataFrame([("a", "x", 0.5), ("a", "y", 0.1), ("a", "z", 0.1)], "model string, feature string, importance double")
+    b = spark.createDataFrame([("b", "x", 0.2), ("b", "y", 0.6), ("b", "z", 0.6)], "model string, feature string, importance double")
+    table = ev.importance_table([a, b]).collect()
+    assert [(r["feature"], r["rank"]) for r in table] == [("x", 2.0), ("y", 2.0), ("z", 2.0)]
+    assert [tuple(r) for r in ev.top_features(a.unionByName(b), 2).collect()] == [(1, "x", "y"), (2, "y", "z")]
+
+
 def test_training_tables(spark):
     sf = "/root/testdata/sf0.01"
     flights = demo.flights(spark, sf).select(
