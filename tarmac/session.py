@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from tarmac.plans.shipping import ship_package
+
 
 def build_session(app: str = "tarmac", master: str | None = None, **conf: str) -> SparkSession:
     """Start (or reuse) a session. Cluster settings given by the launcher win over these defaults."""
@@ -19,4 +21,6 @@ def build_session(app: str = "tarmac", master: str | None = None, **conf: str) -
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
