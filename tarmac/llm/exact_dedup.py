@@ -52,7 +52,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     rows = materialize(hashed.withColumn("_row", F.monotonically_increasing_id()), "hashed")
     best = F.min(F.struct((-F.col("_chars")).alias("c"), F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_row").alias("r")))
-    winners = rows.groupBy("_sha", "_len").agg(best.alias("_best"), F.count("*").alias("_size"))
+    # written, so that adaptive execution may split the join with a large group
+    winners = materialize(rows.groupBy("_sha", "_len").agg(best.alias("_best"), F.count("*").alias("_size")), "winners")
     judged = rows.join(winners, ["_sha", "_len"]).select("_id", F.col("_best.i").alias("_keep"), "_size", (F.col("_row") == F.col("_best.r")).alias("_kept"), "_sha")
     out = judged.unionByName(alone) if alone is not None else judged
     return out.select(

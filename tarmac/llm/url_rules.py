@@ -87,9 +87,9 @@ def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     canonical = F.when(F.array_contains(F.split(F.lower(_attribute(F.col("_tag"), "rel")), r"\s+"), "canonical"), _attribute(F.col("_tag"), "href"))
     refresh = F.when(F.lower(_attribute(F.col("_tag"), "http-equiv")) == "refresh", F.regexp_extract(_attribute(F.col("_tag"), "content"), r"""(?is)^\s*[\d.]*\s*[;,]\s*url\s*=\s*['"]?([^'"]*)""", 1))
     found = linked.select("_url", F.coalesce(canonical, refresh).alias("_link")).where("_link <> ''")
-    # written, so that the long expressions below do not meet those above in one generated method
-    found = materialize(found, "links").select("_url", _absolute(F.col("_link"), F.col("_url")).alias("_target"))
-    return found.select(node_name(F.col("_url")).alias("src"), node_name(F.col("_target")).alias("dst")).where("src is not null and dst is not null and src <> dst")
+    # each step is written, so that its long expressions do not meet the next ones in a single generated method
+    found = materialize(materialize(found, "links").select("_url", _absolute(F.col("_link"), F.col("_url")).alias("_target")), "links")
+    return materialize(found.select(node_name(F.col("_url")).alias("src"), node_name(F.col("_target")).alias("dst")), "links")
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, redirects: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
