@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tarmac.llm import exact_dedup, mixing, order_minhash, pieces, simhash, token_counts, url_rules
+from tarmac.llm import exact_dedup, html_text, mixing, order_minhash, pieces, simhash, token_counts, toxicity, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,17 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score_documents(docs, model)
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"))
 
@@ -46,6 +58,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_fingerprints": op2_fingerprints,
+    "op3_toxicity": op3_toxicity,
+    "op4_html_text": op4_html_text,
     "op6_url_filters": op6_url_filters,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_simhash": op8_simhash,
