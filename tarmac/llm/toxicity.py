@@ -1,6 +1,6 @@
 """Toxic passages by maximum-scoring segments over token log-odds.
 
-*Model.* Words and word beginnings of labelled training rows are counted per label; log-odds between toxic and other rows use
+*Model.* Words and word beginnings of labelled training rows are counted per label, once for each text that has them; log-odds between toxic and other rows use
 an informative Dirichlet prior (pseudo-counts in proportion to the frequency over both labels) and are kept where they are
 above chance by ``Z_LEAST`` standard deviations. A token scores the largest log-odds among its features, less a drift; tokens without one score
 the drift alone, so the expected score of clean text is negative.
@@ -37,17 +37,22 @@ MOST_TRAINING_ROWS = 20_000
 MOST_FEATURES = 50_000
 PREFIXES = (3, 4, 5, 6)
 PRIOR_STRENGTH = 1_000.0
-Z_LEAST = 4.0
-LEAST_COUNT = 8
+Z_LEAST = 3.0
+#: Toxic texts that must have a feature: this many, and this share of all toxic training rows.
+LEAST_COUNT = 3
+LEAST_SHARE = 0.02
+LEAST_ODDS = 4.0
 DRIFT = 0.5
-SIGNIFICANT = 0.05
+SIGNIFICANT = 0.001
 THRESHOLD = 0.7
-_EDGES = ".,;:!?\"'()[]{}<>*_-–—…«»„“”‚‘’¿¡"
+_EDGES = ".,;:!?#$%&@+=|/\\~^\"'()[]{}<>*_-–—…«»„“”‚‘’¿¡"
 
 
 def features(token: str) -> list[str]:
-    """Features of one lower-cased token: the word, marked by a leading blank, and its beginnings."""
-    word = token.strip(_EDGES) or token
+    """Features of one lower-cased token: the word, marked by a leading blank, and its beginnings; none for punctuation."""
+    word = token.strip(_EDGES)
+    if not word or word == "#":
+        return []
     return [" " + word, *[word[:k] for k in PREFIXES if len(word) > k]]
 
 
@@ -137,14 +142,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for toxic, texts in batch.groupby("_toxic")["_text"]:
-            tokens: Counter[str] = Counter()
-            for text in texts:
-                tokens.update(text.lower().split())
+            # a text counts once for each feature: repeats within a text are one author's habit
             found: Counter[str] = Counter()
-            for token, n in tokens.items():
-                for feature in features(token):
-                    found[feature] += n
-            found[""] = sum(tokens.values())
+            total = 0
+            for text in texts:
+                own = {f for token in set(text.lower().split()) for f in features(token)}
+                found.update(own)
+                total += len(own)
+            found[""], found["#"] = total, len(texts)
             yield pd.DataFrame({"feature": list(found), "_toxic": int(toxic), "n": list(found.values())})
 
 
@@ -152,11 +157,13 @@ def feature_weights(training: DataFrame) -> dict[str, float]:
     """Log-odds of the features that tell toxic rows, at most ``MOST_FEATURES``."""
     counted = training.mapInPandas(_counts, "feature string, _toxic int, n long")
     toxic, clean = F.sum(F.when(F.col("_toxic") == 1, F.col("n")).otherwise(0)), F.sum(F.when(F.col("_toxic") == 1, 0).otherwise(F.col("n")))
-    counted = materialize(counted.groupBy("feature").agg(toxic.alias("t"), clean.alias("c")).where(F.col("t") + F.col("c") >= LEAST_COUNT), "feature-counts")
+    counted = materialize(counted.groupBy("feature").agg(toxic.alias("t"), clean.alias("c")).where(F.col("t") > 0), "feature-counts")
     total = counted.where("feature = ''").first()
     if total is None or not total.t or not total.c:
         return {}
     t_all, c_all = float(total.t), float(total.c)
+    least = max(LEAST_COUNT, LEAST_SHARE * counted.where("feature = '#'").first().t)
+    words = counted.where(~F.col("feature").isin("", "#")).where(F.col("t") >= least)
     both = F.col("t") + F.col("c")
     prior = PRIOR_STRENGTH * both / (t_all + c_all)
     t, c = F.col("t") + prior, F.col("c") + prior
@@ -164,8 +171,8 @@ def feature_weights(training: DataFrame) -> dict[str, float]:
     # certainty: toxic count against its expectation, in standard deviations, as log-odds of unseen words have no normal error
     share = t_all / (t_all + c_all)
     z = (F.col("t") - both * share) / F.sqrt(both * share * (1 - share))
-    sure = counted.where("feature <> ''").select("feature", odds.alias("odds"), z.alias("z"))
-    best = sure.where(F.col("z") >= Z_LEAST).where(F.col("odds") > DRIFT).orderBy(F.col("z").desc(), "feature").limit(MOST_FEATURES)
+    sure = words.select("feature", odds.alias("odds"), z.alias("z"))
+    best = sure.where(F.col("z") >= Z_LEAST).where(F.col("odds") >= LEAST_ODDS).orderBy(F.col("z").desc(), "feature").limit(MOST_FEATURES)
     return {r.feature: r.odds for r in best.collect()}
 
 
