@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.llm.joins import KEYS, key_columns, repeated_by, sized
 from tarmac.plans.ordering import running_totals
 from tarmac.plans.storage import materialize
 
@@ -81,7 +82,7 @@ def document_demand(docs: DataFrame, schedule: list[list[int]] = CONSTANT, most_
     ids come last inside a source; repeated rows each count; an empty table or one without words takes nothing; other columns
     are not read.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_words"))
+    rows = docs.select(*key_columns(id_col, text_col), F.col(source_col).alias("_source"), word_count(F.col(text_col)).alias("_words"))
     rows = materialize(rows.withColumn("_hash", F.md5(F.col("_id").cast("string"))), "sizes")
     targets = materialize(source_targets(rows.groupBy("_source").agg(F.sum("_words").alias("_total")), schedule, most_passes), "targets")
     order = [F.col("_hash").asc_nulls_last(), F.col("_id").asc_nulls_last(), F.col("_words")]
@@ -96,7 +97,7 @@ def document_demand(docs: DataFrame, schedule: list[list[int]] = CONSTANT, most_
     position = F.when(F.col("_taken") > 0, _position(F.col("_before").cast("double"), F.col("_demand")))
     return placed.select(
         F.col("_id").alias(id_col), F.col("_source").alias(source_col), F.col("_words").alias("size"), F.col("_total").alias("source_size"), F.col("_target").alias("target"),
-        F.col("_taken").alias("taken"), position.alias("position"), "_before", "_whole", "_part", "_demand",
+        F.col("_taken").alias("taken"), position.alias("position"), *KEYS, "_before", "_whole", "_part", "_demand",
     )
 
 
@@ -109,8 +110,25 @@ def training_order(demand: DataFrame) -> DataFrame:
     rows = demand.withColumn("_pass", F.explode(passes))
     begin = (F.col("_before") + F.col("_pass.no") * F.col("source_size")).cast("double")
     rows = rows.withColumns({"pass": F.col("_pass.no"), "words": F.col("_pass.words"), "position": _position(begin, F.col("_demand"))})
+    order = ["position", "_h1", "_h2", "pass"]
     ids = [c for c in demand.columns if not c.startswith("_") and c not in ("taken", "position", "target", "source_size")]
-    return rows.select(*ids, "pass", "words", "position").repartitionByRange("position").sortWithinPartitions("position")
+    return rows.select(*ids, *KEYS, "pass", "words", "position").repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def mixed_rows(docs: DataFrame, schedule: list[list[int]] = CONSTANT, most_passes: int = MOST_PASSES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Whole rows of ``docs``, each as often as the mix takes it, range-sorted by position. A pass that takes only a part of a
+    document counts if it takes at least half, so a source gives its target to within half a document."""
+    demand = document_demand(docs, schedule, most_passes, id_col, text_col, source_col)
+    demand = materialize(demand, "demand")
+    several = demand.groupBy(*KEYS).agg(F.count("*").alias("_n")).where("_n > 1").select(*KEYS)
+    taken = training_order(demand).where("2 * words >= size").select(*KEYS, "pass", "position")
+    # keys that several rows share; there are none unless rows repeat
+    named = materialize(several.select(*[F.col(c).alias(f"_s{c}") for c in KEYS]), "repeats")
+    same = F.col("_id").eqNullSafe(F.col("_s_id")) & (F.col("_h1") == F.col("_s_h1")) & (F.col("_h2") == F.col("_s_h2"))
+    taken = taken.join(sized(named, 32), same, "left").withColumn("_repeats", F.col("_s_h1").isNotNull())
+    order = materialize(taken.select(*KEYS, "pass", "position", "_repeats"), "passes")
+    rows = repeated_by(docs, order, id_col, text_col).repartitionByRange("position", "_h1", "_h2", "pass").sortWithinPartitions("position", "_h1", "_h2", "pass")
+    return rows.select("_row.*")
 
 
 def range_sorted(demand: DataFrame) -> DataFrame:

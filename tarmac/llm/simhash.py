@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.components import connected_components
-from tarmac.llm.joins import keep_or_drop
+from tarmac.llm.joins import keep_or_drop, kept_rows, key_columns
 from tarmac.plans.storage import materialize
 
 SHINGLE = 3
@@ -59,7 +59,7 @@ def with_fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             yield pd.Series([fingerprint(t) for t in batch], dtype="int64")
 
-    return docs.select(F.col(id_col).alias("_id"), fingerprints(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("_fp"))
+    return docs.select(*key_columns(id_col, text_col), fingerprints(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("_fp"))
 
 
 def _block_keys(fp: str) -> list:
@@ -99,6 +99,18 @@ def fingerprint_links(fps: DataFrame, hot: int = HOT_KEY) -> DataFrame:
     return links.union(stars)
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, hot: int) -> DataFrame:
+    """Keys and ``_fp`` of every row with ``_group`` (a fingerprint of its component) and ``_component`` (its smallest id)."""
+    rows = materialize(with_fingerprints(docs, id_col, text_col), "fingerprints")
+    fps = materialize(rows.groupBy("_fp").agg(F.min("_id").alias("_least")), "distinct-fingerprints")
+    found = materialize(connected_components(fingerprint_links(fps.select("_fp"), hot)), "components")
+    members = found.join(fps, F.col("node") == F.col("_fp")).select("_fp", "component", "_least")
+    least = members.groupBy("component").agg(F.min("_least").alias("_component"))
+    linked = materialize(members.join(least, "component").select("_fp", F.col("component").alias("_group"), "_component"), "linked")
+    single = keep_or_drop(fps, linked, ["_fp"], keep=False, row_bytes=16).select("_fp", F.col("_fp").alias("_group"), F.col("_least").alias("_component"))
+    return rows.join(linked.union(single), "_fp")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT_KEY) -> DataFrame:
     """``id_col``, fingerprint (16 hexadecimal digits) and component_id (smallest id reachable) of every row.
 
@@ -106,13 +118,14 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     together; repeated rows stay, each with the same result; a null id is never a component id unless all ids of its component
     are null; other columns are not read; an empty table gives an empty result. ``hot`` changes the plan, never the result.
     """
-    rows = materialize(with_fingerprints(docs, id_col, text_col), "fingerprints")
-    fps = materialize(rows.groupBy("_fp").agg(F.min("_id").alias("_least")), "distinct-fingerprints")
-    found = materialize(connected_components(fingerprint_links(fps.select("_fp"), hot)), "components")
-    members = found.join(fps, F.col("node") == F.col("_fp")).select("_fp", "component", "_least")
-    least = members.groupBy("component").agg(F.min("_least").alias("_component"))
-    linked = materialize(members.join(least, "component").select("_fp", "_component"), "linked")
-    single = keep_or_drop(fps, linked, ["_fp"], keep=False, row_bytes=16).select("_fp", F.col("_least").alias("_component"))
-    of_fp = linked.union(single)
-    named = rows.join(of_fp, "_fp", "left")
+    named = _grouped(docs, id_col, text_col, hot)
     return named.select(F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), F.col("_component").alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT_KEY) -> DataFrame:
+    """Whole rows of ``docs``: of each component the one with the smallest id (null last)."""
+    rows = materialize(_grouped(docs, id_col, text_col, hot).drop("_fp", "_component"), "grouped")
+    key = F.struct(F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_h1").alias("a"), F.col("_h2").alias("b"))
+    best = materialize(rows.groupBy("_group").agg(F.min(key).alias("_best"), F.count("*").alias("_n")).where("_n > 1"), "representatives")
+    judged = rows.join(best, "_group").withColumn("_kept", key.eqNullSafe(F.col("_best")))
+    return kept_rows(docs, judged, id_col, text_col)

@@ -237,15 +237,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-def score_documents(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``id_col``, held_out, score, predicted and passages (first and last token, excess over chance) of every row.
-
-    Null and empty texts hold no passage and get the score of a text without evidence; a null id stays null and is not held
-    out; repeated rows get equal scores; other columns are not read; an empty table gives an empty result. Texts are read whole.
-    """
-    schema = "score double, passages array<struct<first:int,last:int,excess:double>>"
-
-    @F.pandas_udf(schema)
+def _judge(model: ToxicityModel):
+    @F.pandas_udf("score double, passages array<struct<first:int,last:int,excess:double>>")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scores = model.scorer()
         for batch in batches:
@@ -256,6 +249,21 @@ def score_documents(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id
                 rows.append((model.score(sum(e for _, _, e in found)), [{"first": a, "last": b, "excess": e} for a, b, e in found]))
             yield pd.DataFrame(rows, columns=["score", "passages"])
 
-    out = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), judge(_text(text_col)).alias("_o"))
+    return judge
+
+
+def without_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """Whole rows that score below ``threshold``; edge cases as in ``score_documents``."""
+    judged = docs.select(F.struct(*docs.columns).alias("_row"), _judge(model)(_text(text_col)).alias("_o"))
+    return judged.where(F.col("_o.score") < threshold).select("_row.*")
+
+
+def score_documents(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``id_col``, held_out, score, predicted and passages (first and last token, excess over chance) of every row.
+
+    Null and empty texts hold no passage and get the score of a text without evidence; a null id stays null and is not held
+    out; repeated rows get equal scores; other columns are not read; an empty table gives an empty result. Texts are read whole.
+    """
+    out = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), _judge(model)(_text(text_col)).alias("_o"))
     score = F.col("_o.score")
     return out.select(id_col, "held_out", score.alias("score"), F.when(score >= threshold, 1).otherwise(0).alias("predicted"), F.col("_o.passages").alias("passages"))
