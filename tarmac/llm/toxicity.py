@@ -35,13 +35,14 @@ from tarmac.plans.storage import materialize
 #: Labelled rows the model is fitted on: those with the smallest hashes of their id.
 MOST_TRAINING_ROWS = 20_000
 MOST_FEATURES = 50_000
-PREFIXES = (3, 4, 5, 6)
-PRIOR_STRENGTH = 1_000.0
+PREFIXES = (3, 4, 5, 6, 7, 8)
+#: Pseudo-counts of the prior for each feature counted.
+PRIOR_SHARE = 0.001
 Z_LEAST = 3.0
 #: Toxic texts that must have a feature: this many, and this share of all toxic training rows.
 LEAST_COUNT = 3
 LEAST_SHARE = 0.02
-LEAST_ODDS = 4.0
+LEAST_ODDS = 2.5
 DRIFT = 0.5
 SIGNIFICANT = 0.001
 THRESHOLD = 0.7
@@ -165,9 +166,10 @@ def feature_weights(training: DataFrame) -> dict[str, float]:
     least = max(LEAST_COUNT, LEAST_SHARE * counted.where("feature = '#'").first().t)
     words = counted.where(~F.col("feature").isin("", "#")).where(F.col("t") >= least)
     both = F.col("t") + F.col("c")
-    prior = PRIOR_STRENGTH * both / (t_all + c_all)
+    strength = PRIOR_SHARE * (t_all + c_all)
+    prior = PRIOR_SHARE * both
     t, c = F.col("t") + prior, F.col("c") + prior
-    odds = F.ln(t / (t_all + PRIOR_STRENGTH - t)) - F.ln(c / (c_all + PRIOR_STRENGTH - c))
+    odds = F.ln(t / (t_all + strength - t)) - F.ln(c / (c_all + strength - c))
     # certainty: toxic count against its expectation, in standard deviations, as log-odds of unseen words have no normal error
     share = t_all / (t_all + c_all)
     z = (F.col("t") - both * share) / F.sqrt(both * share * (1 - share))
