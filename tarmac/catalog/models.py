@@ -61,14 +61,14 @@ _register("lin_reg", "lin_reg")
 _register("sgd_reg", "sgd_reg", penalty="elasticnet", max_iter=100)
 _register("sgd_reg_epsilon", "sgd_reg", loss="squared_epsilon_insensitive", penalty="l1", max_iter=40, step=4.0)
 _register("hgb_reg", "hgb_reg", max_iter=5, max_depth=4, learning_rate=0.3)
-_register("mlp_reg", "mlp_reg", hidden_layer_sizes=[16], activation="tanh", max_iter=40, alpha=1e-4, step=0.05)
+_register("mlp_reg", "mlp_reg", hidden_layer_sizes=[16], activation="tanh", max_iter=40, step=0.05)
 _register("log_reg", "log_reg")
 _register("sgd_clf", "sgd_clf", max_iter=100)
 _register("sgd_clf_hinge", "sgd_clf", loss="hinge", penalty="l2", max_iter=50)
 _register("sgd_clf_huber", "sgd_clf", loss="modified_huber", max_iter=40)
 _register("hgb_clf", "hgb_clf", max_iter=5, max_depth=4, learning_rate=0.3)
-_register("mlp_clf", "mlp_clf", hidden_layer_sizes=[16, 8], max_iter=40, alpha=1e-4, step=0.05)
-_register("mlp_clf_logistic", "mlp_clf", hidden_layer_sizes=[8], activation="logistic", max_iter=40, alpha=1e-4)
+_register("mlp_clf", "mlp_clf", hidden_layer_sizes=[16, 8], max_iter=40, step=0.05)
+_register("mlp_clf_logistic", "mlp_clf", hidden_layer_sizes=[8], activation="logistic", max_iter=40, trainer="layers")
 
 
 @query(

@@ -75,9 +75,10 @@ def _score_counts(preds: DataFrame) -> DataFrame:
 
 
 def roc_curve(preds: DataFrame) -> DataFrame:
-    """One point per distinct score (ties together), from the largest down, and the start (0, 0) with a null score."""
+    """One point per distinct score (ties together), from the largest down, and the start (0, 0) with a null score. A rate whose
+    class is absent is null."""
     pts = _score_counts(preds)
-    pts = pts.select("model", "score", (F.col("fp") / F.col("all_neg")).alias("fpr"), (F.col("tp") / F.col("all_pos")).alias("tpr"))
+    pts = pts.select("model", "score", (F.col("fp") / F.nullif(F.col("all_neg"), F.lit(0))).alias("fpr"), (F.col("tp") / F.nullif(F.col("all_pos"), F.lit(0))).alias("tpr"))
     start = preds.select("model").distinct().select("model", F.lit(None).cast("double").alias("score"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return start.unionByName(pts)
 
@@ -85,7 +86,7 @@ def roc_curve(preds: DataFrame) -> DataFrame:
 def roc_auc(preds: DataFrame) -> DataFrame:
     """Area under the curve: negatives of each score times the positives above it, ties counted half."""
     area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2))
-    return _score_counts(preds).groupBy("model").agg((area / (F.max("all_pos") * F.max("all_neg").cast("double"))).alias("auc"))
+    return _score_counts(preds).groupBy("model").agg((area / F.nullif(F.max("all_pos") * F.max("all_neg").cast("double"), F.lit(0.0))).alias("auc"))
 
 
 def reg_metrics(preds: DataFrame) -> DataFrame:

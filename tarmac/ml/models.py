@@ -130,7 +130,8 @@ def assemble(df: DataFrame, features: list[str], label: str, keep: list[str] | N
 def make_estimator(name: str, params: dict, rows: int = 1, width: int = 0) -> Estimator:
     """Spark estimator for a model name and its parameters.
 
-    ``rows`` sets the penalty of the logistic regression (C = 1 is 1/n here); ``width`` the input layer of a perceptron.
+    ``rows`` sets the penalty of the logistic regression (C = 1 is 1/n here); and of the perceptrons; ``width`` is the input layer of a perceptron
+    fitted by ``trainer='layers'``, which has no penalty.
     Parameters of the solvers that Spark does not have (step schedules, tree L2) are accepted and not used.
     """
     p = params.get
@@ -159,8 +160,11 @@ def make_estimator(name: str, params: dict, rows: int = 1, width: int = 0) -> Es
         return GradientEstimator(kind="clf", loss=loss, alpha=alpha, l1Ratio=l1, maxIter=p("max_iter", 1000), seed=seed)
     if name in ("mlp_reg", "mlp_clf"):
         hidden, activation = p("hidden_layer_sizes", [100]), p("activation", "relu")
-        alpha = p("alpha", 1e-4)
-        if name == "mlp_clf" and activation == "logistic" and alpha <= 1e-4 and width:
+        # the penalty of a step is shared by the rows of a batch of at most 200
+        alpha = p("alpha", 1e-4) / min(200, max(rows, 1))
+        if p("trainer", "gradient") == "layers":
+            if name != "mlp_clf" or activation != "logistic" or not width:
+                raise ValueError("the layered trainer fits logistic classifiers only, and has no penalty")
             return MultilayerPerceptronClassifier(layers=[width, *hidden, 2], maxIter=p("max_iter", 200), seed=seed)
         return GradientEstimator(
             kind=name[4:], loss="squared_error" if name == "mlp_reg" else "log_loss", hidden=hidden, activation=activation,

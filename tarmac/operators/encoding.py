@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tarmac.operators.quantiles import medians
 from tarmac.operators.sampling import SEED, kfold_assign
+from tarmac.operators.stats import correlation
 from tarmac.plans.lookup import lookup_join
 from tarmac.plans.ordering import global_index
 from tarmac.plans.storage import materialize
@@ -115,11 +116,12 @@ def median_impute(train: DataFrame, test: DataFrame, cols: list[str]) -> tuple[D
 
 
 def select_k_best(df: DataFrame, features: list[str], target: str, k: int = 10) -> DataFrame:
-    """The k features with the largest univariate F score, and the scores."""
-    stats = df.agg(F.count(target).alias("_n"), *[F.corr(c, target).alias(c) for c in features])
-    long = stats.select("_n", F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("r")) for c in features])).alias("x"))
+    """The k features with the largest univariate F score over their complete pairs; null for constants, infinite for r = 1."""
+    pairs = {c: F.count_if(F.col(c).isNotNull() & F.col(target).isNotNull()) for c in features}
+    stats = df.agg(*[F.struct(correlation(F.col(c), F.col(target)).alias("r"), n.alias("n")).alias(c) for c, n in pairs.items()])
+    long = stats.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`.r").alias("r"), F.col(f"`{c}`.n").alias("n")) for c in features])).alias("x"))
     r2 = F.col("x.r") * F.col("x.r")
-    score = long.select("x.feature", (r2 / (1 - r2) * (F.col("_n") - 2)).alias("f_score"))
+    score = long.select("x.feature", F.when(r2 == 1, F.lit(float("inf"))).otherwise(r2 / F.nullif(1 - r2, F.lit(0.0)) * (F.col("x.n") - 2)).alias("f_score"))
     return score.orderBy(F.col("f_score").desc_nulls_last(), "feature").limit(k)
 
 

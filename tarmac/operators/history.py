@@ -139,7 +139,7 @@ def flight_history(
         out = halo.select(*df.columns, "gidx", "_own", *means(window)).filter("_own").drop("_own")
         if counts:
             starts = materialize(indexed.groupBy("Origin", "FlightDate").agg(F.min("gidx").alias("_first")), "day-start")
-            out = lookup_join(out, starts, ["Origin", "FlightDate"]).withColumn(counts[0], F.col("gidx") - F.col("_first"))
+            out = lookup_join(out, starts, ["Origin", "FlightDate"], null_safe=True).withColumn(counts[0], F.col("gidx") - F.col("_first"))
         if fill == "reference":
             out = materialize(out, "past-means")
     else:

@@ -40,7 +40,8 @@ def nearest(
     """One row per airport: id, nearest station id, distance_km. Equal distances go to the smaller station id.
 
     ``metric='radian'`` is the straight distance between (lat, lon) in radians times the earth radius, without a
-    cos(lat) factor or wrap at 180 degrees; ``'haversine'`` is the great circle.
+    cos(lat) factor or wrap at 180 degrees; ``'haversine'`` is the great circle. An airport without coordinates, or without any
+    station, keeps null station and distance.
 
     The stations are laid in nested cells, halved per level until a cell holds at most ``leaf`` places. Airports go down
     level by level and keep only the cells that can still hold their nearest station, so an airport meets a handful of
@@ -49,6 +50,7 @@ def nearest(
     axes = _axes(metric)
     dims = range(len(axes))
     a = airports.select(F.col(airport).alias("_a"), *[x.alias(f"_a{i}") for i, x in enumerate(axes)])
+    a = a.na.drop("any")
     places = stations.select(F.col(station).alias("_s"), *[x.alias(f"_s{i}") for i, x in enumerate(axes)])
     places = places.na.drop("any").groupBy(*[f"_s{i}" for i in dims]).agg(F.min("_s").alias("_s"))
     places = materialize(places, "stations")
@@ -60,7 +62,8 @@ def nearest(
         side = 2**depth
         numbers = []
         for i in dims:
-            low, span = box[f"lo{i}"], max(box[f"hi{i}"] - box[f"lo{i}"], 1e-12)
+            low, high = (box[f"lo{i}"], box[f"hi{i}"]) if box["n"] else (0.0, 1.0)
+            span = max(high - low, 1e-12)
             spot = F.floor((F.col(f"_s{i}") - low) / span * side)
             numbers.append(F.least(F.greatest(spot, F.lit(0)), F.lit(side - 1)).alias(f"c{i}"))
         return F.struct(*numbers)
@@ -105,7 +108,8 @@ def nearest(
     leaves = materialize(places.groupBy(cell(depth).alias("_cell")).agg(F.collect_list(place).alias("_in")), "leaves")
     pairs = lookup_join(todo, leaves, ["_cell"], "inner").withColumn("_p", F.explode("_in"))
     away = _length([F.col(f"_a{i}") - F.col(f"_p._s{i}") for i in dims])
-    best = pairs.groupBy("_a").agg(F.min(F.struct(away.alias("d"), F.col("_p._s").alias("s"))).alias("_best"))
+    found = pairs.groupBy("_a").agg(F.min(F.struct(away.alias("d"), F.col("_p._s").alias("s"))).alias("_best"))
+    best = airports.select(F.col(airport).alias("_a")).distinct().join(found, "_a", "left")
     d = F.col("_best.d")
     angle = d if metric == "radian" else 2 * F.asin(F.least(d / 2, F.lit(1.0)))
     return best.select(

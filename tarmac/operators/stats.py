@@ -6,7 +6,7 @@ import math
 from itertools import combinations_with_replacement
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,12 +31,20 @@ def fisher_p_value(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd
     return pd.Series([pvalues.fisher_two_sided(int(w), int(x), int(y), int(z)) for w, x, y, z in zip(a, b, c, d)])
 
 
+def correlation(a: Column, b: Column) -> Column:
+    """Aggregate: correlation over the rows where both are present; null if one of them is constant there."""
+    x, y = a.cast("double"), b.cast("double")
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    r = F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
+    return F.when(r > 1, 1.0).when(r < -1, -1.0).otherwise(r)
+
+
 def pearson_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     """Correlation of each pair of columns over the rows where both are present, as (a, b, r)."""
     pairs = list(combinations_with_replacement(cols, 2))
-    both = {p: F.col(p[0]).isNotNull() & F.col(p[1]).isNotNull() for p in pairs}
     row = df.agg(
-        *[F.corr(F.when(both[p], F.col(p[0]).cast("double")), F.when(both[p], F.col(p[1]).cast("double"))).alias(f"{p[0]}|{p[1]}") for p in pairs]
+        *[correlation(F.col(p[0]), F.col(p[1])).alias(f"{p[0]}|{p[1]}") for p in pairs]
     )
     cells = []
     for a, b in pairs:
@@ -81,10 +89,12 @@ def welch_t(df: DataFrame, group: str, value: str, first: str, second: str, p_va
         x = F.when(F.col(group) == g, F.col(value))
         sums.update({f"n{tag}": F.count(x), f"m{tag}": F.avg(x), f"v{tag}": F.var_samp(x)})
     row = df.filter(F.col(group).isin(first, second)).agg(*[e.alias(n) for n, e in sums.items()])
-    row = row.withColumns({"ea": F.col("va") / F.col("na"), "eb": F.col("vb") / F.col("nb")})
+    row = row.withColumns({g: F.col(f"v{g[1]}") / F.nullif(F.col(f"n{g[1]}"), F.lit(0)) for g in ("ea", "eb")})
     both = F.col("ea") + F.col("eb")
-    df_ = both * both / (F.col("ea") * F.col("ea") / (F.col("na") - 1) + F.col("eb") * F.col("eb") / (F.col("nb") - 1))
-    out = row.select(((F.col("ma") - F.col("mb")) / F.sqrt(both)).alias("t"), df_.alias("dof"))
+    zero = F.lit(0.0)
+    parts = [F.col(f"e{g}") * F.col(f"e{g}") / F.nullif((F.col(f"n{g}") - 1).cast("double"), zero) for g in "ab"]
+    df_ = both * both / F.nullif(parts[0] + parts[1], zero)
+    out = row.select(((F.col("ma") - F.col("mb")) / F.nullif(F.sqrt(both), zero)).alias("t"), df_.alias("dof"))
     return out.withColumn("p_value", t_p_value("t", "dof")) if p_value else out
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
 
 _FIXED_WIDTH = {
     T.BooleanType: 1,
@@ -51,22 +52,22 @@ def lookup_join(
     on: list[str],
     how: str = "left",
     max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
     small: bool | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join ``left`` to ``right``, which holds at most one row per ``on`` (give it written, as it is measured).
 
-    A right side whose size was checked is broadcast, so ``left`` is not shuffled. Beyond the bound each right row is
-    copied to ``salts`` salted keys and left rows pick one by content, so that a key with a third of all rows is spread
-    over ``salts`` tasks; adaptive skew handling splits what is still too large. ``small`` passes on a check made before.
+    A right side whose size was checked is broadcast, so ``left`` is not shuffled. Beyond the bound it is a plain join, whose
+    hot keys adaptive execution splits. ``small`` passes on a check made before; with ``null_safe`` null keys meet null keys.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported lookup join: {how}")
-    if fits_broadcast(right, max_bytes) if small is None else small:
-        return left.join(F.broadcast(right), on, how)
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
-    salted_right = right.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    side = F.broadcast(right) if (fits_broadcast(right, max_bytes) if small is None else small) else right
+    if not null_safe:
+        return left.join(side, on, how)
+    side = side.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    equal = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
+    return left.join(side, equal, how).drop(*[f"_on_{c}" for c in on])
 
 
 def one_row(df: DataFrame, stats: DataFrame) -> DataFrame:
