@@ -7,9 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Characters handled at once inside a batch, whatever the batch holds; a single longer text is handled alone.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 #: Distinct words whose result a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
