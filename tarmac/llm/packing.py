@@ -22,11 +22,12 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.arrays import REMEMBERED, slices
 from tarmac.llm.token_counts import split_words
 
 ROW_TOKENS = 2048
 SHARD_TOKENS = 4_000_000
+#: Characters up to which the library cuts a text into words itself; its pattern runs out of stack on runs of some million.
+WHOLE_CHARS = 1 << 18
 
 
 class CapacityTree:
@@ -90,28 +91,25 @@ def _encoding(ranks: bytes, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
+def text_ids(encoding: tiktoken.Encoding, text: str) -> bytes:
+    """Ids of one text as little-endian 16-bit numbers."""
+    if len(text) <= WHOLE_CHARS:
+        return encoding.encode_to_numpy(text, disallowed_special=()).astype("<u2").tobytes()
+    words, _ = split_words([text])
+    known = {w: np.array(encoding._encode_single_piece(w), "<u2").tobytes() for w in set(words)}
+    return b"".join(map(known.__getitem__, words))
+
+
 def token_ids(text: Column, ranks_path: str, pattern: str) -> Column:
-    """Ids of a text as little-endian 16-bit numbers. The file of ranks is read on the driver and sent to the workers."""
+    """Ids of each text. The file of ranks is read on the driver and sent to the workers."""
     with open(ranks_path, "rb") as file:
         ranks = file.read()
 
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoding, known = _encoding(ranks, pattern), {}
+        encoding = _encoding(ranks, pattern)
         for batch in batches:
-            texts, out = batch.tolist(), []
-            for begin, end in slices(texts):
-                words, per_text = split_words(texts[begin:end])
-                new = set(words) - known.keys()
-                if len(known) + len(new) > REMEMBERED:
-                    known.clear()
-                    new = set(words)
-                known.update((w, np.array(encoding.encode_ordinary(w), "<u2").tobytes()) for w in new)
-                at = 0
-                for n in per_text.tolist():
-                    out.append(b"".join(map(known.__getitem__, words[at : at + n])))
-                    at += n
-            yield pd.Series(out, dtype=object)
+            yield pd.Series([text_ids(encoding, t) for t in batch], dtype=object)
 
     return encode(F.coalesce(text.cast("string"), F.lit("")))
 
@@ -158,9 +156,9 @@ def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     total = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
     shards = max(1, total // (2 * shard_tokens))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), token_ids(F.col(text_col), ranks_path, pattern).alias("ids"))
-    shard = F.pmod(F.xxhash64("doc", F.when(F.col("doc").isNull(), F.substring("ids", 1, 64))), F.lit(shards))
-    rows = rows.where(F.length("ids") > 0).withColumn("shard", shard)
+    # texts without tokens travel as well: a filter on the ids would make Spark encode each text twice
+    shard = F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.when(F.col(id_col).isNull(), text)), F.lit(shards))
+    rows = docs.select(shard.alias("shard"), F.col(id_col).cast("long").alias("doc"), token_ids(F.col(text_col), ranks_path, pattern).alias("ids"))
     return rows.groupBy("shard").applyInPandas(_pack_shard(row_tokens), PACKED)
 
 

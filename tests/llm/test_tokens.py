@@ -149,6 +149,16 @@ def test_packing_loses_nothing(odd, none, shard_tokens):
     assert packing.pack_documents(none, RANKS, PATTERN).count() == 0
 
 
+def test_ids_of_long_texts(monkeypatch):
+    encoding = packing._encoding(open(RANKS, "rb").read(), PATTERN)
+    text = "It's  the\n\n  end, isn't it?\t42 ünïcode " * 50 + " " * 3000 + "x"
+    whole = packing.text_ids(encoding, text)
+    assert np.frombuffer(whole, "<u2").tolist() == encoding.encode_ordinary(text)
+    monkeypatch.setattr(packing, "WHOLE_CHARS", 10)
+    assert packing.text_ids(encoding, text) == whole
+    assert len(packing.text_ids(encoding, " " * 3_000_000 + "x")) > 0
+
+
 def test_packed_files_and_matrix(spark, plain_odd, tmp_path):
     packed = packing.pack_documents(plain_odd, RANKS, PATTERN, row_tokens=64)
     packing.write_packed(packed, str(tmp_path / "packed"))
