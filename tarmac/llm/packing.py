@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -116,7 +117,7 @@ def token_ids(text: Column, ranks_path: str, pattern: str) -> Column:
 
 def _pack_shard(row_tokens: int):
     def pack(shard: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc", "ids"], kind="stable", na_position="last")
+        rows = rows[rows["ids"].str.len() > 0].sort_values(["doc", "ids"], kind="stable", na_position="last")
         step, pieces, owner, part = 2 * row_tokens, [], [], []
         for doc, ids in zip(rows["doc"], rows["ids"], strict=True):
             for number, at in enumerate(range(0, len(ids), step)):
@@ -125,9 +126,9 @@ def _pack_shard(row_tokens: int):
                 part.append(number)
         place = best_fit_decreasing(np.array([len(p) // 2 for p in pieces], np.int64), row_tokens)
         order = np.argsort(place, kind="stable")
-        cuts = np.flatnonzero(np.diff(place[order], prepend=-1)).tolist()
+        cuts = [*np.flatnonzero(np.diff(place[order], prepend=-1)).tolist(), len(order)]
         out = []
-        for number, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(order)], strict=True)):
+        for number, (a, b) in enumerate(pairwise(cuts)):
             own = order[a:b].tolist()
             sizes = np.array([len(pieces[p]) // 2 for p in own])
             ends = np.cumsum(sizes)
