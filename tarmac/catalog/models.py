@@ -103,6 +103,19 @@ def train_registry(spark, sf):
     return r6(out, "mean_abs_residual")
 
 
+@query("base_beside_tuned")
+def base_beside_tuned(spark, sf):
+    """Test metrics of two classifiers with base and with tuned parameters, one row per model and mode."""
+    train, test = split(spark, sf)
+    out = None
+    for name in ("log_reg", "sgd_clf"):
+        for mode in ("base", "tuned"):
+            model, features = md.train_model(name, train, IDS, base=mode == "base")
+            m = ev.clf_metrics(md.predictions(model, md.assemble(test, features, md.MODELS[name].target), name)).withColumn("mode", F.lit(mode))
+            out = m if out is None else out.unionByName(m)
+    return r6(out, "accuracy", "precision", "recall", "f1")
+
+
 def _forest(name: str, target: str, kind: str):
     @query(name)
     def forest(spark, sf):

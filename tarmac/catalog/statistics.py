@@ -46,17 +46,30 @@ def _labelled(spark, sf):
     )
 
 
+# composite Simpson rule over 2,000 steps of the tail formulas
+_SIMPSON = "CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END"
+
+
+def _chi2_sql(dof: int) -> str:
+    """Upper tail of chi2 (``x``), by its density in the root of the value."""
+    u = "(sqrt(x) * k / 2000)"
+    area = f"(SELECT sum({_SIMPSON} * pow({u}, {dof - 1}) * exp(-{u} * {u} / 2)) * any_value(sqrt(x)) / 6000 FROM stat, range(2001) r(k))"
+    return f"SELECT {R('x', 'chi2')}, {dof}::BIGINT AS dof, {R(f'1 - {area} * 2 / (pow(2::DOUBLE, {dof} / 2.0::DOUBLE) * exp(lgamma({dof} / 2.0::DOUBLE)))', 'p_value')} FROM stat"
+
+
 @query(
     "welch_t",
     f"""
 WITH g AS (SELECT {_LABEL} AS label, DepDelayMinutes AS y FROM flights),
-s AS (SELECT label, count(y) AS n, avg(y) AS m, var_samp(y) / count(y) AS e FROM g GROUP BY label)
-SELECT {R('(a.m - b.m) / sqrt(a.e + b.e)', 't')}, {R('(a.e + b.e) * (a.e + b.e) / (a.e * a.e / (a.n - 1) + b.e * b.e / (b.n - 1))', 'dof', 4)}
-FROM s a, s b WHERE a.label = 'Morning' AND b.label = 'Evening'""",
+s AS (SELECT label, count(y) AS n, avg(y) AS m, var_samp(y) / count(y) AS e FROM g GROUP BY label),
+stat AS (SELECT (a.m - b.m) / sqrt(a.e + b.e) AS t, (a.e + b.e) * (a.e + b.e) / (a.e * a.e / (a.n - 1) + b.e * b.e / (b.n - 1)) AS v
+  FROM s a, s b WHERE a.label = 'Morning' AND b.label = 'Evening'),
+area AS (SELECT sum({_SIMPSON} * pow(1 + (t * k / 2000) * (t * k / 2000) / v, -(v + 1) / 2)) * any_value(abs(t)) / 6000 AS h FROM stat, range(2001) r(k))
+SELECT {R('t')}, {R('v', 'dof', 4)}, {R('1 - 2 * h * exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(v * pi())', 'p_value')} FROM stat, area""",
 )
 def welch_t(spark, sf):
-    out = st.welch_t(_labelled(spark, sf), "label", "DepDelayMinutes", "Morning", "Evening", p_value=False)
-    return r6(r6(out, "t"), "dof", digits=4)
+    out = st.welch_t(_labelled(spark, sf), "label", "DepDelayMinutes", "Morning", "Evening")
+    return r6(r6(out, "t", "p_value"), "dof", digits=4)
 
 
 @query(
@@ -64,11 +77,12 @@ def welch_t(spark, sf):
     f"""
 WITH g AS (SELECT {_LABEL} AS a, CASE WHEN DepDelayMinutes > 60 THEN 1 ELSE 0 END AS b FROM flights),
 c AS (SELECT a, b, count(*)::DOUBLE AS o FROM g GROUP BY a, b),
-e AS (SELECT o, sum(o) OVER (PARTITION BY a) * sum(o) OVER (PARTITION BY b) / sum(o) OVER () AS e FROM c)
-SELECT {R('sum((o - e) * (o - e) / e)', 'chi2')}, (SELECT (count(DISTINCT a) - 1) * (count(DISTINCT b) - 1) FROM c)::BIGINT AS dof FROM e""",
+e AS (SELECT o, sum(o) OVER (PARTITION BY a) * sum(o) OVER (PARTITION BY b) / sum(o) OVER () AS e FROM c),
+stat AS (SELECT sum((o - e) * (o - e) / e) AS x FROM e)
+{_chi2_sql(3)}""",
 )
 def chi_square(spark, sf):
-    return r6(st.chi_square(_labelled(spark, sf), "label", "severe", p_value=False), "chi2")
+    return r6(st.chi_square(_labelled(spark, sf), "label", "severe"), "chi2", "p_value")
 
 
 @query(
@@ -76,12 +90,13 @@ def chi_square(spark, sf):
     f"""
 WITH g AS (SELECT ln <= 3 AS a, DepDel15 AS b FROM flights WHERE DepDel15 IS NOT NULL),
 c AS (SELECT a, b, count(*)::DOUBLE AS o FROM g GROUP BY a, b),
-e AS (SELECT o, sum(o) OVER (PARTITION BY a) * sum(o) OVER (PARTITION BY b) / sum(o) OVER () AS e FROM c)
-SELECT {R('sum((abs(o - e) - least(abs(o - e), 0.5)) * (abs(o - e) - least(abs(o - e), 0.5)) / e)', 'chi2')}, 1::BIGINT AS dof FROM e""",
+e AS (SELECT o, sum(o) OVER (PARTITION BY a) * sum(o) OVER (PARTITION BY b) / sum(o) OVER () AS e FROM c),
+stat AS (SELECT sum((abs(o - e) - least(abs(o - e), 0.5)) * (abs(o - e) - least(abs(o - e), 0.5)) / e) AS x FROM e)
+{_chi2_sql(1)}""",
 )
 def chi_square_2x2(spark, sf):
     df = demo.flights(spark, sf).select((F.col("ln") <= 3).alias("a"), F.col("DepDel15").alias("b"))
-    return r6(st.chi_square(df, "a", "b", p_value=False), "chi2")
+    return r6(st.chi_square(df, "a", "b"), "chi2", "p_value")
 
 
 @query(

@@ -104,6 +104,13 @@ MODELS: dict[str, ModelSpec] = {
 # Share of the absolute penalty per penalty name.
 _L1_SHARE = {"l2": 0.0, "l1": 1.0, "elasticnet": 0.15, None: 0.0}
 
+#: Per model, parameters of solvers that Spark does not have: accepted, without effect.
+UNUSED = {
+    **dict.fromkeys(("hgb_reg", "hgb_clf"), {"l2_regularization"}),
+    **dict.fromkeys(("sgd_reg", "sgd_clf"), {"learning_rate", "eta0"}),
+    **dict.fromkeys(("mlp_reg", "mlp_clf"), {"learning_rate", "solver"}),
+}
+
 
 def select_models(selection: str) -> list[str]:
     """A model name, or ``all``, ``clf``, ``reg``."""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.ml.models import MODELS, SEED, assemble, features_of, make_estimator
+from tarmac.ml.models import MODELS, SEED, UNUSED, assemble, features_of, make_estimator
 from tarmac.operators.sampling import kfold_assign, stratified_sample
 from tarmac.plans.storage import materialize
 
@@ -60,8 +60,9 @@ def random_search(
     overrides: dict | None = None,
     seed: int = SEED,
 ) -> DataFrame:
-    """One row per drawn parameter set: parameters as JSON text, mean score and its place.
+    """One row per drawn parameter set: the parameters as fitted as JSON text, mean score and its place.
 
+    Sets that differ only in parameters without effect (``models.UNUSED``) are fitted once and share a score.
     Runs on a class-balanced sample of the train table. The drawn sets are bounded by ``n_iter``, so the result is small.
     """
     spec = MODELS[name]
@@ -70,11 +71,13 @@ def random_search(
     features = [f for f in features_of(sample.columns, name, ids) if f != "fold"]
     data = assemble(sample, features, spec.target, ["fold"]).persist()
     try:
-        rows, found = data.count(), []
+        rows, found, known = data.count(), [], {}
         for params in draw(spec.grid, n_iter or spec.n_iter, seed):
             used = {**params, **(overrides or {})}
-            scores = fold_scores(lambda: make_estimator(name, used, rows, len(features)), data, spec.kind, folds)
-            found.append((name, json.dumps(params, sort_keys=True), float(sum(scores) / folds)))
+            effective = json.dumps({k: v for k, v in used.items() if k not in UNUSED.get(name, ())}, sort_keys=True)
+            if effective not in known:
+                known[effective] = sum(fold_scores(lambda: make_estimator(name, used, rows, len(features)), data, spec.kind, folds)) / folds
+            found.append((name, json.dumps(used, sort_keys=True), float(known[effective])))
     finally:
         data.unpersist()
     return results_frame(train.sparkSession, found)

@@ -62,14 +62,14 @@ def mark_exact(
 ) -> DataFrame:
     """Flag exactly ``_k`` rows of each class; classes without a quota are all false.
 
-    ``quota`` gets the class sizes (columns ``per``, ``_cls``, ``_size``) and returns ``_cls`` and ``_k``. Two narrow passes
-    (ids and class only) find the hash at which each class reaches its quota; the full table is then flagged in place,
+    ``quota`` gets the class sizes (columns ``per``, ``_cls``, ``_size``) and returns ``_cls`` and ``_k``. A narrow table
+    (hash and class only) is written and read to find the hash at which each class reaches its quota; the full table is then flagged in place,
     without a shuffle when the thresholds fit a broadcast. Only when several rows share the threshold hash and not all of
     them are wanted are those rows ordered by content.
     """
     per = per or []
     tagged = _tag(df, ids, per, seed).withColumn("_bucket", F.substring("_h", 1, _CUT_DIGITS))
-    narrow = tagged.select("_cls", "_bucket", "_h")
+    narrow = materialize(tagged.select("_cls", "_bucket", "_h"), "hashes")
     hist = materialize(narrow.groupBy("_cls", "_bucket").agg(F.count("*").alias("_n")), "buckets")
     sizes = hist.groupBy("_cls").agg(F.sum("_n").alias("_size")).select(*[F.col("_cls")[c].alias(c) for c in per], "_cls", "_size")
     ends = (F.col("_run") >= F.col("_k")) & (F.col("_run") - F.col("_n") < F.col("_k"))
@@ -77,7 +77,12 @@ def mark_exact(
     bucket = _with_run(hist).join(quota(sizes).select("_cls", "_k"), "_cls").filter(ends).select("_cls", "_bucket", left_over)
     bucket = materialize(bucket, "cut-bucket")
     small = fits_broadcast(bucket)
-    hashes = lookup_join(narrow, bucket, ["_cls", "_bucket"], "inner", small=small).groupBy("_cls", "_h", F.col("_need").alias("_k"))
+    # the same again inside that bucket, so that only about one row in 16 million of a class is ranked
+    finer = F.substring("_h", 1, 2 * _CUT_DIGITS).alias("_bucket")
+    inside = lookup_join(narrow, bucket, ["_cls", "_bucket"], "inner", small=small).groupBy("_cls", finer, F.col("_need").alias("_k"))
+    bucket = _with_run(inside.agg(F.count("*").alias("_n"))).filter(ends).select("_cls", "_bucket", left_over)
+    bucket = materialize(bucket, "cut-bucket")
+    hashes = lookup_join(narrow.select("_cls", finer, "_h"), bucket, ["_cls", "_bucket"], "inner", small=small).groupBy("_cls", "_h", F.col("_need").alias("_k"))
     by_hash = Window.partitionBy("_cls").orderBy("_h")
     hashes = hashes.agg(F.count("*").alias("_n")).withColumn("_run", F.sum("_n").over(by_hash)).filter(ends)
     cut = hashes.select("_cls", F.col("_h").alias("_cut"), left_over, (F.col("_run") != F.col("_k")).alias("_split"))
