@@ -70,18 +70,17 @@ def _block_keys(fp: str) -> list:
     return keys
 
 
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
-
-
-def _flips() -> list[tuple[int, int]]:
-    single = [1 << b for b in range(64)]
-    return [(0, 0), *[(_signed(s), 1) for s in single], *[(_signed(a | b), 2) for a, b in combinations(single, 2)]]
+def _flipped(fps: DataFrame) -> DataFrame:
+    """(_fp, _v, _flips): each fingerprint and its values within 2 flipped bits, always 2,081 rows. Bit 64 stands for none."""
+    first = fps.select("_fp", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("_a"))
+    pairs = first.select("_fp", "_a", F.explode(F.sequence("_a", F.lit(64))).alias("_b")).where("_a < _b or _a = 64")
+    masks = [F.expr(f"if({c} < 64, shiftleft(1L, {c}), 0L)") for c in ("_a", "_b")]
+    value = F.col("_fp").bitwiseXOR(masks[0]).bitwiseXOR(masks[1])
+    return pairs.select("_fp", value.alias("_v"), F.expr("int(_a < 64) + int(_b < 64)").alias("_flips"))
 
 
 def fingerprint_links(fps: DataFrame, hot: int = HOT_KEY) -> DataFrame:
     """Links (src, dst) between different fingerprints (column ``_fp``, distinct) that give the components of distance 3."""
-    spark = fps.sparkSession
     blocks = fps.select("_fp", F.explode(F.array(*_block_keys("_fp"))).alias("_key"))
     shared = materialize(blocks.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1"), "keys")
     busy = materialize(blocks.join(shared, "_key"), "busy")
@@ -92,8 +91,7 @@ def fingerprint_links(fps: DataFrame, hot: int = HOT_KEY) -> DataFrame:
     crowded = busy.where(F.col("_n") > hot).select("_fp").distinct()
     if crowded.isEmpty():
         return links
-    flips = F.broadcast(spark.createDataFrame(_flips(), "_mask long, _flips int"))  # 2,081 rows, always
-    emitted = crowded.crossJoin(flips).select("_fp", F.col("_fp").bitwiseXOR(F.col("_mask")).alias("_v"), "_flips")
+    emitted = _flipped(crowded)
     centres = emitted.where("_flips <= 1").groupBy("_v").agg(F.min("_fp").alias("_centre"))
     stars = emitted.join(centres, "_v").where("_fp <> _centre").select(F.col("_centre").alias("src"), F.col("_fp").alias("dst"))
     return links.union(stars)

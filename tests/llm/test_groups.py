@@ -79,6 +79,12 @@ def test_near_groups_of_variants(spark, hot):
     assert {r.doc_id for r in kept} == groups and len(kept) == len(groups)
 
 
+def test_flipped_values(spark):
+    found = simhash._flipped(spark.createDataFrame([(0,), (-1,), (1 << 62,)], "_fp long")).collect()
+    assert len({(r._fp, r._v) for r in found}) == len(found) == 3 * (1 + 64 + 64 * 63 // 2)
+    assert all(((r._fp ^ r._v) & (1 << 64) - 1).bit_count() == r._flips for r in found)
+
+
 @pytest.mark.parametrize("hot", [1000, 1])
 def test_links_of_planted_fingerprints(spark, hot):
     rng = random.Random(5)
