@@ -12,7 +12,7 @@ from tarmac.ml import models as md
 from tarmac.ml import search as se
 from tarmac.operators import encoding as en
 from tarmac.operators import sampling as sp
-from tarmac.plans.storage import materialize, stage_path
+from tarmac.plans.storage import keep_rounds, materialize, stage_path
 from tarmac.sources import demo
 
 IDS = demo.ROW_ID
@@ -56,19 +56,19 @@ def _register(query_name: str, name: str, base: bool = False, **overrides):
         return evaluated(name, model, features, train, test)
 
 
-# Fewer rounds than the tuned parameters, to keep the queries short; rows and features are whole.
+# Tuned parameters and all rows; the variants only name another loss, penalty, activation or trainer.
 _register("lin_reg", "lin_reg")
-_register("sgd_reg", "sgd_reg", penalty="elasticnet", max_iter=100)
-_register("sgd_reg_epsilon", "sgd_reg", loss="squared_epsilon_insensitive", penalty="l1", max_iter=40, step=4.0)
-_register("hgb_reg", "hgb_reg", max_iter=5, max_depth=4, learning_rate=0.3)
-_register("mlp_reg", "mlp_reg", hidden_layer_sizes=[16], activation="tanh", max_iter=40, step=0.05)
+_register("sgd_reg", "sgd_reg")
+_register("sgd_reg_epsilon", "sgd_reg", loss="squared_epsilon_insensitive", penalty="l1")
+_register("hgb_reg", "hgb_reg")
+_register("mlp_reg", "mlp_reg")
 _register("log_reg", "log_reg")
-_register("sgd_clf", "sgd_clf", max_iter=100)
-_register("sgd_clf_hinge", "sgd_clf", loss="hinge", penalty="l2", max_iter=50)
-_register("sgd_clf_huber", "sgd_clf", loss="modified_huber", max_iter=40)
-_register("hgb_clf", "hgb_clf", max_iter=5, max_depth=4, learning_rate=0.3)
-_register("mlp_clf", "mlp_clf", hidden_layer_sizes=[16, 8], max_iter=40, step=0.05)
-_register("mlp_clf_logistic", "mlp_clf", hidden_layer_sizes=[8], activation="logistic", max_iter=40, trainer="layers")
+_register("sgd_clf", "sgd_clf")
+_register("sgd_clf_hinge", "sgd_clf", loss="hinge", penalty="l2")
+_register("sgd_clf_huber", "sgd_clf", loss="modified_huber")
+_register("hgb_clf", "hgb_clf")
+_register("mlp_clf", "mlp_clf")
+_register("mlp_clf_logistic", "mlp_clf", activation="logistic", trainer="layers")
 
 
 @query(
@@ -120,7 +120,7 @@ def _forest(name: str, target: str, kind: str):
     @query(name)
     def forest(spark, sf):
         train, test = split(spark, sf)
-        est = md.make_estimator(name, {"n_estimators": 10, "max_depth": 6})
+        est = md.make_estimator(name, {})
         model = est.fit(md.assemble(train, FEATURES, target))
         preds = md.predictions(model, md.assemble(test, FEATURES, target), name)
         metrics = ev.clf_metrics(preds) if kind == "clf" else ev.reg_metrics(preds)
@@ -138,7 +138,8 @@ _forest("rf_reg", "DepDelayMinutes", "reg")
 def gbt_log_target(spark, sf):
     """Boosted trees on the plain and on the log1p target, both measured in minutes."""
     train, test = split(spark, sf)
-    est = md.make_estimator("hgb_reg", {"max_iter": 5, "max_depth": 4, "learning_rate": 0.3})
+    keep_rounds(spark)
+    est = md.make_estimator("hgb_reg", md.model_params("hgb_reg"))
     data = md.assemble(test, FEATURES, "DepDelayMinutes")
     plain = md.predictions(est.fit(md.assemble(train, FEATURES, "DepDelayMinutes")), data, "plain")
     logged = est.fit(md.assemble(train.withColumn("y", F.log1p("DepDelayMinutes")), FEATURES, "y"))
@@ -149,7 +150,7 @@ def gbt_log_target(spark, sf):
 @query("random_search")
 def random_search(spark, sf):
     train, _ = split(spark, sf)
-    return r6(se.random_search("sgd_clf", train, IDS, n_iter=3, overrides={"max_iter": 20}), "mean_score")
+    return r6(se.random_search("sgd_clf", train, IDS), "mean_score")
 
 
 @query("grid_search")
@@ -198,7 +199,7 @@ def permutation_importance(spark, sf):
     train, test = split(spark, sf)
     parts = []
     for name in ("log_reg", "sgd_clf"):
-        model, features = md.train_model(name, train, IDS, overrides={"max_iter": 50})
+        model, features = md.train_model(name, train, IDS)
         sample = materialize(sp.stratified_sample(test, 0.1, IDS, ["DepDel15"]), "sample")
         data = md.assemble(sample, features, "DepDel15", IDS)
         parts.append(ev.permutation_importance(model, name, data, features, "clf", IDS))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tarmac.ml.gradient import GradientEstimator
 from tarmac.operators.shape import feature_names
+from tarmac.plans.storage import keep_rounds
 
 SEED = 42
 
@@ -193,6 +194,8 @@ def train_model(name: str, train: DataFrame, ids: list[str], base: bool = False,
     """Fit a registered model on a train table; returns the model and its feature list."""
     spec = MODELS[name]
     features = features_of(train.columns, name, ids)
+    if name in ("hgb_reg", "hgb_clf"):
+        keep_rounds(train.sparkSession)
     data = assemble(train, features, spec.target).persist()
     try:
         params = {**model_params(name, base), **(overrides or {})}

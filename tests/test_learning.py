@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from tarmac.catalog import QUERIES
 from tarmac.catalog import models as cm
 from tarmac.ml import evaluate as ev
 from tarmac.ml import models as md
@@ -136,3 +137,28 @@ def test_same_model_for_same_seed(spark):
         data = md.assemble(test, features, "DepDel15", demo.ROW_ID)
         runs.append(model.transform(data).agg(F.sum("prediction")).first()[0])
     assert runs[0] == runs[1]
+
+
+@pytest.mark.parametrize("name", ["sgd_reg", "sgd_reg_epsilon", "hgb_reg", "mlp_reg", "sgd_clf", "sgd_clf_hinge", "sgd_clf_huber", "hgb_clf", "mlp_clf", "mlp_clf_logistic", "gbt_log_target", "rf_clf", "rf_reg", "permutation_importance"])
+def test_queries_train_with_tuned_parameters(spark, monkeypatch, name):
+    class Asked(Exception):
+        pass
+
+    def stop(model, params, *_):
+        raise Asked(model, params)
+
+    one = spark.range(1).select(*[F.lit(0.0).alias(c) for c in [*cm.FEATURES, "DepDelayMinutes", "DepDel15"]], *[F.lit(0).alias(c) for c in demo.ROW_ID])
+    monkeypatch.setattr(cm, "split", lambda *_: (one, one))
+    monkeypatch.setattr(md, "make_estimator", stop)
+    with pytest.raises(Asked) as asked:
+        QUERIES[name](spark, "")
+    model, params = asked.value.args
+    named = {"loss", "penalty", "activation", "trainer"}
+    tuned = md.MODELS[model].params if model in md.MODELS else {}
+    assert {k: v for k, v in params.items() if k not in named} == {k: v for k, v in tuned.items() if k not in named}
+
+
+def test_search_query_draws_the_whole_number(spark, monkeypatch):
+    monkeypatch.setattr(cm, "split", lambda *_: (None, None))
+    monkeypatch.setattr(cm.se, "random_search", lambda *a, **k: spark.createDataFrame([(0.0, str(k))], "mean_score double, asked string"))
+    assert QUERIES["random_search"](spark, "").first()["asked"] == "{}"
