@@ -142,12 +142,24 @@ def fisher_exact(df: DataFrame, a: str, b: str, p_value: bool = True) -> DataFra
     return out.withColumn("p_value", fisher_p_value("n00", "n01", "n10", "n11")) if p_value else out
 
 
-def _binned(df: DataFrame, col: str, bins: int, extra: dict) -> DataFrame:
-    """Sums per equal-width bin of ``col`` with the range of the column on each row (at most ``bins`` rows)."""
+# Bins per bandwidth at least; bandwidths beyond which a kernel is zero in double precision.
+_KDE_FINE = 8
+_KDE_REACH = 39.0
+
+
+def _binned(df: DataFrame, col: str, bins: int, extra: dict, fine: int = 0) -> DataFrame:
+    """Sums per equal-width bin of ``col`` with the range of the column on each row.
+
+    At most ``bins`` rows; with ``fine``, at most so many more that each Scott bandwidth holds ``fine`` bins.
+    """
     x = F.col(col).cast("double")
     known = df.filter(x.isNotNull())
     ends = known.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count("*").alias("total"), F.stddev_samp(x).alias("sd"))
-    spot = F.least(F.floor((x - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)) * bins), F.lit(bins - 1))
+    bins = F.lit(bins)
+    if fine:
+        width = F.nullif(F.col("sd") * F.pow(F.col("total").cast("double"), F.lit(-0.2)), F.lit(0.0))
+        bins = F.greatest(bins, F.ceil((F.col("hi") - F.col("lo")) / width * fine))
+    spot = F.least(F.floor((x - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0)) * bins), bins - 1)
     return (
         one_row(known, ends)
         .groupBy(F.coalesce(spot, F.lit(0)).cast("long").alias("bin"), "lo", "hi", "total", "sd")
@@ -156,14 +168,28 @@ def _binned(df: DataFrame, col: str, bins: int, extra: dict) -> DataFrame:
 
 
 def kde_curve(df: DataFrame, col: str, grid: int = 200, bins: int = 1024) -> DataFrame:
-    """Gaussian density on an even grid over the range, Scott bandwidth, from binned values at their bin means."""
-    b = _binned(df, col, bins, {})
-    points = b.withColumn("point", F.explode(F.expr(f"sequence(0L, {grid - 1}L)")))
+    """Gaussian density on an even grid over the range, Scott bandwidth, from binned values at their bin means.
+
+    There are at least ``bins`` bins, and as many as keep a bin within an eighth of the bandwidth. A bin meets the grid points
+    at which its term is not zero in double precision.
+    """
+    b = materialize(_binned(df, col, bins, {}, _KDE_FINE), "bins")
+    width = F.nullif(F.col("sd") * F.pow(F.col("total").cast("double"), F.lit(-0.2)), F.lit(0.0))
+    step = (F.col("hi") - F.col("lo")) / (grid - 1)
+    mean = F.col("sx") / F.col("n")
+    reach = F.when(step > 0, _KDE_REACH * width / F.nullif(step, F.lit(0.0)))
+    spot = F.when(step > 0, (mean - F.col("lo")) / F.nullif(step, F.lit(0.0)))
+    first = F.coalesce(F.greatest(F.floor(spot - reach) - 1, F.lit(0)), F.lit(0)).cast("long")
+    last = F.coalesce(F.least(F.ceil(spot + reach) + 1, F.lit(grid - 1)), F.lit(grid - 1)).cast("long")
+    points = b.withColumn("point", F.explode(F.sequence(first, last)))
     at = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / (grid - 1)
-    width = F.col("sd") * F.pow(F.col("total").cast("double"), F.lit(-0.2))
-    z = (at - F.col("sx") / F.col("n")) / width
+    z = (at - mean) / width
     term = F.col("n") * F.exp(-z * z / 2) / (F.col("total") * width * math.sqrt(2 * math.pi))
-    return points.groupBy("point").agg(F.max(at).alias("x"), F.sum(term).alias("density"))
+    points = points.select("point", at.alias("x"), term.alias("term"))
+    # grid points out of reach of every row keep a density of zero
+    every = b.select("lo", "hi", "sd", "total").distinct().withColumn("point", F.explode(F.expr(f"sequence(0L, {grid - 1}L)")))
+    every = every.select("point", at.alias("x"), (width * 0.0).alias("term"))
+    return points.unionByName(every).groupBy("point").agg(F.max("x").alias("x"), F.sum("term").alias("density"))
 
 
 def local_trend(df: DataFrame, x: str, y: str, grid: int = 50, bins: int = 200, span: float = 2 / 3) -> DataFrame:

@@ -3,12 +3,14 @@
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tarmac.functions import bands, calendar, pvalues
 from tarmac.operators import explore as ex
 from tarmac.operators import history as hx
+from tarmac.operators import stats as st
 from tarmac.operators import weather as wx
 from tarmac.operators.quantiles import exact_quantiles, quantile_map
 from tarmac.sources import readers as rd
@@ -182,3 +184,24 @@ def test_known_tail_probabilities():
     assert pvalues.fisher_two_sided(3, 1, 1, 3) == pytest.approx(0.4857142857)
     assert pvalues.fisher_two_sided(8, 2, 1, 5) == pytest.approx(0.0349650350)
     assert pvalues.fisher_two_sided(0, 5, 5, 0) == pytest.approx(2 / math.comb(10, 5))
+
+
+@pytest.mark.parametrize("spread, far", [(30.0, 1e4), (1.0, 0.0)])
+def test_density_is_the_sum_over_rows(spark, spread, far):
+    n = 200_000
+    u = F.log((F.col("id") + 1) / F.lit(n + 1.0)) * -spread
+    df = spark.range(n).select(F.when(F.col("id") == n - 1, F.lit(far)).otherwise(u).alias("x"))
+    x = np.array(df.toPandas()["x"])
+    h = x.std(ddof=1) * n**-0.2
+    rows = sorted(st.kde_curve(df, "x").collect())
+    at = np.linspace(x.min(), x.max(), 200)
+    exact = np.array([np.exp(-(((a - x) / h) ** 2) / 2).sum() for a in at]) / (n * h * math.sqrt(2 * math.pi))
+    assert [r["point"] for r in rows] == list(range(200))
+    assert [r["density"] for r in rows] == pytest.approx(list(exact), rel=5e-3, abs=1e-6 * exact.max())
+
+
+def test_density_of_odd_columns(spark):
+    assert st.kde_curve(spark.createDataFrame([(None,)], "x double"), "x").count() == 0
+    for values in ([1.0], [2.0, 2.0, None]):
+        rows = st.kde_curve(spark.createDataFrame([(v,) for v in values], "x double"), "x").collect()
+        assert len(rows) == 200 and {r["density"] for r in rows} == {None}
