@@ -6,6 +6,10 @@ element; the rest is undecided. Pass 2 gives each undecided block the label of i
 container: the same if both sides agree, else that of the nearer side; inside an article element without any decided block
 they are good, elsewhere bad.
 
+Furniture is known by its element or hidden for certain, or only by a name in its class, id or role. An article or main
+element begins afresh inside a named wrapper, unless its own name says furniture too or it stands in another article. What a class says a page has or lacks
+(has-sidebar) names nothing. If names leave a page without a good block, it is read again without them.
+
 Nothing shuffles: each page is handled where it is read.
 """
 
@@ -56,6 +60,8 @@ _NAMES = re.compile(
     r"cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|login|search|share|sharing|social|related|recommended|comments?|commentlist|disqus|respond|replies|reply|"
     r"pagination|pager|toolbar|copyright|disclaimer|complementary|contentinfo|dialog|hidden)(?:$|[\s_-])"
 )
+# Tokens that say what a page has or lacks, or what stands beside its content, and name nothing.
+_STATES = re.compile(r"(?:^|(?<=\s))(?:(?:has|no|with|without)[_-]\S*|content[_-](?:with[_-])?(?:sidebar|menu|nav)(?:[_-]\S*)?(?=\s|$))")
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none""", re.I)
@@ -63,26 +69,27 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 class _Block:
-    __slots__ = ("text", "linked", "furniture", "main", "label")
+    __slots__ = ("text", "linked", "certain", "furniture", "main", "label")
 
-    def __init__(self, text: str, linked: int, furniture: bool, main: int):
-        self.text, self.linked, self.furniture, self.main, self.label = text, linked, furniture, main, UNDECIDED
+    def __init__(self, text: str, linked: int, certain: bool, named: bool, main: int):
+        self.text, self.linked, self.certain, self.furniture, self.main, self.label = text, linked, certain, certain or named, main, UNDECIDED
 
 
 def page_blocks(page: str) -> list[_Block]:
     """Text blocks in page order, each with its linked characters and its place."""
     blocks: list[_Block] = []
-    open_elements: list[tuple[str, bool, int]] = []  # name, inside furniture, number of the article element or 0
+    # name, inside certain furniture, inside furniture by name, number of the article or main element or 0, inside an article
+    open_elements: list[tuple[str, bool, bool, int, bool]] = []
     pieces: list[str] = []
     linked, link_depth, articles = 0, 0, 0
-    furniture, main = False, 0
+    certain, named, main, within = outside = False, False, 0, False
 
     def flush() -> None:
         nonlocal linked
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                blocks.append(_Block(text, linked, furniture, main))
+                blocks.append(_Block(text, linked, certain, named, main))
             pieces.clear()
         linked = 0
 
@@ -123,7 +130,7 @@ def page_blocks(page: str) -> list[_Block]:
                     flush()
                     while open_elements and open_elements.pop()[0] != name:
                         pass
-                    furniture, main = open_elements[-1][1:] if open_elements else (False, 0)
+                    certain, named, main, within = open_elements[-1][1:] if open_elements else outside
                 continue
             if not (_furniture(attributes) or _HIDDEN.search(attributes)):
                 continue
@@ -136,20 +143,26 @@ def page_blocks(page: str) -> list[_Block]:
             if open_elements and name in _SIBLING and open_elements[-1][0] in _SIBLING[name]:
                 open_elements.pop()
             if name not in _VOID:
-                outer_furniture, outer_main = open_elements[-1][1:] if open_elements else (False, 0)
-                if name in _MAIN and not outer_main:
-                    articles += 1
-                    outer_main = articles
-                named = name not in ("html", "body", "article", "main") and _furniture(attributes)
-                is_furniture = outer_furniture or name in _FURNITURE or named or bool(_HIDDEN.search(attributes)) or (name == "header" and not outer_main)
-                open_elements.append((name, is_furniture, outer_main))
-        furniture, main = open_elements[-1][1:] if open_elements else (False, 0)
+                inside, inside_named, number, article = open_elements[-1][1:] if open_elements else outside
+                own_name = name not in ("html", "body") and _furniture(attributes)
+                if name in _MAIN:
+                    # what stands by name inside an article stays furniture
+                    inside_named = inside_named and (own_name or article)
+                    article = article or name == "article"
+                    if not number:
+                        articles += 1
+                        number = articles
+                else:
+                    inside_named = inside_named or own_name
+                is_furniture = inside or name in _FURNITURE or bool(_HIDDEN.search(attributes)) or (name == "header" and not number)
+                open_elements.append((name, is_furniture, inside_named, number, article))
+        certain, named, main, within = open_elements[-1][1:] if open_elements else outside
     flush()
     return blocks
 
 
 def _furniture(attributes: str) -> bool:
-    return any(_NAMES.search(value.strip("\"'").lower()) for value in _NAMED.findall(attributes))
+    return any(_NAMES.search(_STATES.sub(" ", value.strip("\"'").lower())) for value in _NAMED.findall(attributes))
 
 
 def classify(blocks: list[_Block]) -> None:
@@ -208,6 +221,11 @@ def main_text(page: str) -> str:
     blocks = page_blocks(page)
     classify(blocks)
     inherit(blocks)
+    if not any(b.label == GOOD for b in blocks) and any(b.furniture and not b.certain for b in blocks):
+        for block in blocks:
+            block.furniture, block.label = block.certain, UNDECIDED
+        classify(blocks)
+        inherit(blocks)
     return "\n\n".join(b.text for b in blocks if b.label == GOOD)
 
 

@@ -82,6 +82,28 @@ def test_main_text():
     assert html_text.main_text("<article><p>x &am &quot; &lt;b&gt;</article>") == 'x &am " <b>'
 
 
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "has-sidebar", "no-sidebar", "with-header", "page has-sidebar", "menu-page"])
+def test_main_text_inside_named_wrappers(name):
+    nav = "<nav><a href=x>Menu</a></nav>"
+    side = f"<div class=sidebar><p>{ARTICLE}</p></div>"
+    text = f"<p>{ARTICLE} {ARTICLE}</p><p>Short.</p><p>{ARTICLE}</p>"
+    want = f"{ARTICLE} {ARTICLE}\n\nShort.\n\n{ARTICLE}"
+    for page in (f"<main><article>{text}</article></main>{side}", f"<article class='post has-menu'>{text}</article>{side}", text):
+        assert html_text.main_text(f"<body>{nav}<div class='{name}'>{page}</div></body>") == want
+    assert html_text.main_text(f"<main>{nav}<div id='{name}'><article>{text}</article>{side}</div></main>") == want
+    if name != "menu-page":
+        assert html_text.main_text(f"<p>{ARTICLE}</p><div class='{name}'>{text}{side}</div>") == f"{ARTICLE}\n\n{want}"
+
+
+def test_main_text_leaves_comments_and_hidden_articles_out():
+    text = f"<article><p>{ARTICLE}</p><div class=comments><article><p>{ARTICLE}</p></article></div></article>"
+    comment = f"<div id=comments><article class='comment even'><p>{ARTICLE}</p></article></div>"
+    assert html_text.main_text(text + comment) == ARTICLE
+    for certain in ("<nav>", "<form>", "<div hidden>", "<div style='display:none'>"):
+        assert html_text.main_text(f"{certain}<div class=menu><article><p>{ARTICLE}</p></article></div>") == ""
+    assert html_text.main_text(f"<div class=ad>{ARTICLE}</div><article><p>Short.</p></article>") == "Short."
+
+
 def test_main_text_of_real_pages_and_odd_rows(spark):
     import html
 
