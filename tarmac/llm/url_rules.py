@@ -9,6 +9,9 @@ Pages are judged where they are read. Only edges, and the decisions of urls that
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,10 @@ RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 MOST_RULES = 10_000
 
 _TAG = r"(?is)<(?:link|meta)\b[^>]*>"
+_BASE = r"(?is)<base\b[^>]*>"
+# Pieces of an attribute value: references and what stands between them.
+_PIECE = r"(?s)&(?:#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z][a-zA-Z0-9]*);|&|[^&]+"
+_NAMED = json.dumps({f"&{k}": v for k, v in html5.items() if k.endswith(";")})
 _ATTRIBUTE = r"""(?is)\b{}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
@@ -55,40 +62,82 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
 
 
+def _code_point(digits: Column, base: int) -> Column:
+    digits = F.regexp_replace(digits, "^0+", "")
+    code = F.when(F.length(digits).between(1, 7), F.conv(digits, base, 10).cast("long"))
+    known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(known, F.decode(F.unhex(F.lpad(F.hex(F.when(known, code)), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+
+def _unescaped(value: Column) -> Column:
+    """Attribute value with its character references decoded; those without a semicolon stay."""
+
+    def decoded(piece: Column) -> Column:
+        named = F.try_element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), piece)
+        return (
+            F.when(piece.rlike("^&#[xX]"), _code_point(F.regexp_extract(piece, "^&#[xX]([0-9a-fA-F]+);$", 1), 16))
+            .when(piece.startswith("&#"), _code_point(F.regexp_extract(piece, "^&#([0-9]+);$", 1), 10))
+            .when(piece.startswith("&"), F.coalesce(named, piece))
+            .otherwise(piece)
+        )
+
+    pieces = F.regexp_extract_all(value, F.lit(_PIECE), F.lit(0))
+    return F.when(value.contains("&"), F.array_join(F.transform(pieces, decoded), "")).otherwise(value)
+
+
 def _absolute(target: Column, url: Column) -> Column:
-    """Link target as an absolute url without fragment; null if it names no page."""
-    target = F.trim(F.regexp_replace(F.regexp_replace(target, "(?i)&amp;", "&"), r"(?s)#.*$", ""))
+    """Decoded link target as an absolute url without fragment, dot segments left in; null if it names no page."""
+    target = F.trim(F.regexp_replace(F.regexp_replace(target, r"[\t\n\r]", ""), r"(?s)#.*$", ""))
     scheme = F.regexp_extract(url, r"(?s)^(.*?)://", 1)
     site = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    document = F.regexp_extract(url, r"(?s)^(.*?://[^?#]*)", 1)
     folder = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
     return (
         F.when(target == "", None)
-        .when(target.contains("://"), target)
+        .when(target.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://"), target)
         .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
         .when(target.startswith("/"), F.concat(site, target))
+        .when(target.startswith("?"), F.concat(document, target))
         .when(target.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), None)
         .otherwise(F.concat(folder, F.when(folder.endswith("/"), "").otherwise("/"), target))
     )
 
 
+def _without_dots(path: Column) -> Column:
+    """Path with its ``.`` and ``..`` segments resolved."""
+    segments = F.transform(F.split(F.substr(path, F.lit(2)), "/"), lambda s: F.when(s.rlike(r"(?i)^(?:\.|%2e){1,2}$"), F.regexp_replace(s, "(?i)%2e", ".")).otherwise(s))
+    kept = F.aggregate(
+        segments,
+        F.array().cast("array<string>"),
+        lambda seen, s: F.when(s == ".", seen).when(s == "..", F.slice(seen, F.lit(1), F.greatest(F.size(seen) - 1, F.lit(0)))).otherwise(F.concat(seen, F.array(s))),
+    )
+    kept = F.when(F.element_at(segments, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path.rlike(r"(?i)/(?:\.|%2e){1,2}(?:/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
+
+
 def node_name(url: Column) -> Column:
-    """Urls that differ in nothing but the fragment, the default file mark of an empty path, or capitals of the host are one."""
+    """Urls that differ in nothing but the fragment, dot segments, the default file mark of an empty path, or capitals of the host are one."""
     scheme = F.lower(F.regexp_extract(url, r"(?s)^(.*?)://", 1))
     query = F.regexp_extract(url, r"(?s)^[^?#]*(\?[^#]*)", 1)
     path = url_path(url)
-    named = F.concat(scheme, F.lit("://"), url_host(url), F.when(path == "", "/").otherwise(path), query)
+    named = F.concat(scheme, F.lit("://"), url_host(url), F.when(path == "", "/").otherwise(_without_dots(path)), query)
     return F.when(url.contains("://"), named)
 
 
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(src, dst) for each canonical link and each immediate redirect of a page, by node name."""
     html, url = F.col(html_col).cast("string"), F.col(url_col).cast("string")
-    linked = pages.where(html.rlike("(?i)canonical|http-equiv")).select(url.alias("_url"), F.explode(F.regexp_extract_all(html, F.lit(_TAG), F.lit(0))).alias("_tag"))
+    bases = F.filter(F.transform(F.regexp_extract_all(html, F.lit(_BASE), F.lit(0)), lambda t: _attribute(t, "href")), lambda h: h != "")
+    tags = F.regexp_extract_all(html, F.lit(_TAG), F.lit(0))
+    linked = pages.where(html.rlike("(?i)canonical|http-equiv")).select(url.alias("_url"), F.get(bases, 0).alias("_base"), F.explode(tags).alias("_tag"))
     canonical = F.when(F.array_contains(F.split(F.lower(_attribute(F.col("_tag"), "rel")), r"\s+"), "canonical"), _attribute(F.col("_tag"), "href"))
     refresh = F.when(F.lower(_attribute(F.col("_tag"), "http-equiv")) == "refresh", F.regexp_extract(_attribute(F.col("_tag"), "content"), r"""(?is)^\s*[\d.]*\s*[;,]\s*url\s*=\s*['"]?([^'"]*)""", 1))
-    found = linked.select("_url", F.coalesce(canonical, refresh).alias("_link")).where("_link <> ''")
+    found = linked.select("_url", "_base", F.coalesce(canonical, refresh).alias("_link")).where("_link <> ''")
     # each step is written, so that its long expressions do not meet the next ones in a single generated method
-    found = materialize(materialize(found, "links").select("_url", _absolute(F.col("_link"), F.col("_url")).alias("_target")), "links")
+    found = materialize(found, "links")
+    found = materialize(found.select("_url", _unescaped(F.col("_base")).alias("_base"), _unescaped(F.col("_link")).alias("_link")), "links")
+    found = materialize(found.select("_url", F.coalesce(_absolute(F.col("_base"), F.col("_url")), F.col("_url")).alias("_base"), "_link"), "links")
+    found = materialize(found.select("_url", _absolute(F.col("_link"), F.col("_base")).alias("_target")), "links")
     return materialize(found.select(node_name(F.col("_url")).alias("src"), node_name(F.col("_target")).alias("dst")), "links")
 
 

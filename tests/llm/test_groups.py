@@ -221,3 +221,26 @@ def test_urls_explicit_allow_and_crawl_log(spark):
     assert {r.page_id: r.verdict for r in url_rules.judge_urls(frame, redirects=log).collect()} == {1: "allow", 2: "block"}
     with pytest.raises(ValueError):
         url_rules.judge_urls(frame, rules=[("a", "/", "maybe")])
+
+
+@pytest.mark.parametrize(
+    "url, base, link, src, dst",
+    [
+        ("http://a.net/p/q/r", "", "../x", "http://a.net/p/q/r", "http://a.net/p/x"),
+        ("http://a.net/p/q", "", "./x", "http://a.net/p/q", "http://a.net/p/x"),
+        ("http://a.net/p/q", "", "../../%2E%2e/x/./y/..", "http://a.net/p/q", "http://a.net/x/"),
+        ("http://a.net/p/q?old=1", "", "?id=5", "http://a.net/p/q?old=1", "http://a.net/p/q?id=5"),
+        ("http://a.net", "", "?id=5", "http://a.net/", "http://a.net/?id=5"),
+        ("http://a.net/p/q", "/b/c/", "x", "http://a.net/p/q", "http://a.net/b/c/x"),
+        ("http://a.net/p/q", "http://b.net/d/e", "../x", "http://a.net/p/q", "http://b.net/x"),
+        ("http://a.net/p/q", "", "/x?a=1&#38;b&#x3d;2&amp;c=3&d&#0;", "http://a.net/p/q", "http://a.net/x?a=1&b=2&c=3&d\ufffd"),
+        ("http://a.net/p/q", "", "/caf&eacute;&#x1F642;&no;", "http://a.net/p/q", "http://a.net/café🙂&no;"),
+        ("http://a.net/p/q", "", "/in?next=http://b.net/z", "http://a.net/p/q", "http://a.net/in?next=http://b.net/z"),
+        ("http://a.net/a/../b", "", "/c", "http://a.net/b", "http://a.net/c"),
+    ],
+)
+def test_link_targets(spark, url, base, link, src, dst):
+    head = f'<base href="{base}">' if base else ""
+    for tag in (f'<link rel="canonical" href="{link}">', f'<meta http-equiv="refresh" content="0; url={link}">'):
+        pages = spark.createDataFrame([(1, url, head + tag)], "page_id long, url string, html string")
+        assert [tuple(r) for r in url_rules.alias_edges(pages).select("src", "dst").collect()] == [(src, dst)]
