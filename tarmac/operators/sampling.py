@@ -11,15 +11,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.plans.lookup import fits_broadcast, lookup_join
 from tarmac.plans.ordering import global_index
 from tarmac.plans.storage import materialize
 
 SEED = 42
-# leading hash digits: few for a threshold, whose bucket is only counted; more for folds, whose buckets are sorted
+# leading hash digits of a threshold, whose bucket is only counted
 _CUT_DIGITS = 3
-_DIGITS = 4
 HOT_BUCKET = 5_000_000
 
 
@@ -32,8 +32,7 @@ def class_key(per: list[str]) -> Column:
 
 
 def _tag(df: DataFrame, ids: list[str], per: list[str], seed: int) -> DataFrame:
-    df = df.withColumns({"_cls": class_key(per), "_h": hash_key(ids, seed)})
-    return df.withColumn("_bucket", F.substring("_h", 1, _DIGITS))
+    return df.withColumns({"_cls": class_key(per), "_h": hash_key(ids, seed), "_bucket": F.substring(hash_key(ids, seed), 1, _CUT_DIGITS)})
 
 
 def _with_run(hist: DataFrame) -> DataFrame:
@@ -68,7 +67,7 @@ def mark_exact(
     them are wanted are those rows ordered by content.
     """
     per = per or []
-    tagged = _tag(df, ids, per, seed).withColumn("_bucket", F.substring("_h", 1, _CUT_DIGITS))
+    tagged = _tag(df, ids, per, seed)
     narrow = materialize(tagged.select("_cls", "_bucket", "_h"), "hashes")
     hist = materialize(narrow.groupBy("_cls", "_bucket").agg(F.count("*").alias("_n")), "buckets")
     sizes = hist.groupBy("_cls").agg(F.sum("_n").alias("_size")).select(*[F.col("_cls")[c].alias(c) for c in per], "_cls", "_size")
@@ -163,23 +162,21 @@ def kfold_assign(
 ) -> DataFrame:
     """Fold 0..k-1 of each row by its hash rank (within its class): fold sizes differ by one at most.
 
-    Rows are ranked inside hash buckets, which are even unless many rows are equal. When a bucket holds more than
-    ``hot_rows``, equal rows are collapsed before the shuffle and handed out again after ranking.
+    Rows are numbered by class, hash and content over range partitions, which split a hash that many rows share; every value
+    is returned as it came. ``hot_rows`` is accepted for callers that name it, without effect.
     """
-    tagged = _tag(df, ids, per or [], seed)
-    hist = tagged.select("_cls", "_bucket").groupBy("_cls", "_bucket").agg(F.count("*").alias("_n"))
-    starts = _with_run(hist).withColumn("_start", F.col("_run") - F.col("_n"))
-    starts = materialize(starts.drop("_run"), "fold-starts")
-    if (starts.agg(F.max("_n")).first()[0] or 0) > hot_rows:
-        ranked = _copies_in_order(tagged, df.columns, ["_cls", "_bucket"])
-        ranked = ranked.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
-        place = F.col("_before") + F.col("_i")
-    else:
-        window = Window.partitionBy("_cls", "_bucket").orderBy(*_content(df.columns))
-        ranked = tagged.withColumn("_i", F.row_number().over(window) - 1)
-        place = F.col("_i")
-    ranked = lookup_join(ranked, starts.drop("_n"), ["_cls", "_bucket"])
-    return ranked.select(*df.columns, ((F.col("_start") + place) % k).cast("int").alias(name))
+    tagged = df.withColumns({"_cls": class_key(per or []), "_h": hash_key(ids, seed), "_tie": F.monotonically_increasing_id()})
+    # equal rows may take each other's place, so the tie only spreads them
+    order = [F.col("_cls"), F.col("_h"), *[_sortable(df, c).asc_nulls_last() for c in df.columns], F.col("_tie")]
+    ranked = global_index(tagged, order, "_rank")
+    starts = ranked.groupBy("_cls").agg(F.min("_rank").alias("_start"))
+    ranked = lookup_join(ranked, starts, ["_cls"])
+    return ranked.select(*df.columns, ((F.col("_rank") - F.col("_start")) % k).cast("int").alias(name))
+
+
+def _sortable(df: DataFrame, name: str) -> Column:
+    """The column, or the sorted entries of a map, which has no order of its own."""
+    return F.array_sort(F.map_entries(name)) if isinstance(df.schema[name].dataType, T.MapType) else F.col(name)
 
 
 def shuffle_position(df: DataFrame, ids: list[str], seed: int = SEED, name: str = "position") -> DataFrame:

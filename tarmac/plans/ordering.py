@@ -29,6 +29,7 @@ def global_index(df: DataFrame, order: list[Column], name: str = "gidx") -> Data
     # one row per range partition, never more than the number of shuffle partitions
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    starts = materialize(starts, "starts")
     inside = F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     return (
         tagged.withColumn("_part", part)

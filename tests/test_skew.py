@@ -130,3 +130,11 @@ def test_nearest_against_all_pairs(spark, metric):
         assert got[a["a"]] == (s, pytest.approx(d, abs=1e-5))
     single = nx.nearest(airports, stations.limit(1), "a", "s", metric)
     assert single.count() == 60
+
+
+def test_folds_leave_values_of_a_hot_id_untouched(spark):
+    df = spark.range(40).select(F.lit(7).alias("id"), F.when(F.col("id") % 2 == 0, F.lit(-0.0)).otherwise(1.0).alias("x"), F.create_map(F.lit("a"), F.col("id") % 3).alias("m"))
+    out = sp.kfold_assign(df, 5, ["id"], hot_rows=10).collect()
+    assert sorted(str(r["x"]) for r in out) == ["-0.0"] * 20 + ["1.0"] * 20
+    assert sorted(r["m"]["a"] for r in out) == sorted(i % 3 for i in range(40))
+    assert sorted(r["fold"] for r in out) == sorted(list(range(5)) * 8)
