@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import exact_dedup, html_text, mixing, order_minhash, packing, pieces, simhash, token_counts, toxicity, url_rules
+from tarmac.llm import exact_dedup, html_text, mixing, order_minhash, packing, pieces, simhash, spelling, token_counts, toxicity, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"), min_length=6, min_count=5, ratio=5, slip=199)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_fingerprints": op2_fingerprints,
@@ -70,8 +74,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_spelling": op13_spelling,
 }
 
+#: crc32 in SQL: a table made from the polynomial, then one step per byte of the text ``{0}``.
+_CRC_TABLE = """list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, b))"""
+_CRC = """xor(list_reduce(list_transform(range(octet_length(encode({0}))), lambda i: ('0x' || substr(hex(encode({0})), (2 * i + 1)::int, 2))::bigint),
+          lambda c, b: xor(c >> 8, t[((xor(c, b) & 255) + 1)::int]), 4294967295), 4294967295)"""
+
+
 ORACLES: dict[str, str] = {
     "op6_url_filters": r"""
         with parts as (
@@ -113,4 +124,30 @@ ORACLES: dict[str, str] = {
         select doc_id, first_value(doc_id) over best as keep_id, (count(*) over (partition by text_sha256))::bigint as group_size,
           row_number() over best = 1 as kept, text_sha256
         from plain window best as (partition by text_sha256 order by chars desc, doc_id nulls last)""",
+    "op13_spelling": rf"""
+        with recursive crc as (select {_CRC_TABLE} as t),
+        runs as (
+          select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) as run from documents),
+        lowered as (select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n from runs group by all),
+        hashed as (select run, n, {_CRC.format("coalesce(doc_id::varchar, '') || ':' || run")} as h from lowered, crc),
+        slipped as (
+          select case when h % 199 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run) + 2)::int) else run end as word, n from hashed),
+        words as (select word, sum(n)::bigint as n from slipped where length(word) >= 6 group by word having sum(n) >= 5),
+        spots as (select word, unnest(range(length(word)))::int as i from words),
+        cut as (select word, substr(word, 1, i) || substr(word, i + 2) as short, substr(word, 1, i) || '*' || substr(word, i + 2) as hole from spots),
+        pairs as (
+          select cut.word, w.word as near from cut join words w on cut.short = w.word
+          union select w.word, cut.word from cut join words w on cut.short = w.word
+          union select a.word, b.word from cut a join cut b on a.hole = b.hole where a.word <> b.word),
+        near as (
+          select p.word, count(*)::bigint as n_near, arg_min(p.near, row(-w.n, p.near)) as best, max(w.n) as best_n
+          from pairs p join words w on p.near = w.word group by p.word),
+        formed as (
+          select words.word, words.n, coalesce(n_near, 0)::bigint as n_near,
+            case when best_n >= 5 * words.n then best end as form, case when best_n >= 5 * words.n then best_n end as form_n
+          from words left join near using (word)),
+        chain as (
+          select word, word as root, form as next from formed
+          union all select c.word, c.next, f.form from chain c join formed f on c.next = f.word where c.next is not null)
+        select f.word, f.n, f.n_near, f.form, f.form_n, c.root from formed f join chain c on f.word = c.word where c.next is null""",
 }
