@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import exact_dedup, html_text, mixing, order_minhash, packing, pieces, simhash, spelling, token_counts, toxicity, url_rules
+from tarmac.llm import conversations, exact_dedup, html_text, line_dedup, mixing, order_minhash, packing, pieces, simhash, spelling, token_counts, toxicity, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, copies, gone = conversations.damage(_table(spark, sf_dir, "conversations"))
+    return conversations.repair_conversations(rows, copies=copies, gone=gone)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.deduplicate_lines(_table(spark, sf_dir, "documents"), least=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"), min_length=6, min_count=5, ratio=5, slip=199)
 
@@ -74,6 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_conversations": op11_conversations,
+    "op12_line_dedup": op12_line_dedup,
     "op13_spelling": op13_spelling,
 }
 
@@ -124,6 +136,69 @@ ORACLES: dict[str, str] = {
         select doc_id, first_value(doc_id) over best as keep_id, (count(*) over (partition by text_sha256))::bigint as group_size,
           row_number() over best = 1 as kept, text_sha256
         from plain window best as (partition by text_sha256 order by chars desc, doc_id nulls last)""",
+    "op11_conversations": rf"""
+        with recursive crc as (select {_CRC_TABLE} as t),
+        hashed as (
+          select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {_CRC.format("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as how
+          from conversations, crc),
+        damaged as (
+          select conv_id, turn, case when how = 4 then 'user' else role end as role,
+            case when how = 1 then '' when how = 2 then translate(text, '.!?', '') else text end as text, unnest(range(case when how = 3 then 2 else 1 end)) as copy
+          from hashed where how <> 0),
+        placed as (
+          select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i,
+            row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as again, substr(role, 1, 1) as init,
+            rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare
+          from damaged),
+        judged as (
+          select *, case when bare = '' then 1 when again then 2 when right(bare, 1) not in ('.', '!', '?') then 3 else 0 end as fault,
+            lag(init) over (partition by conv_id order by i) || init as pair
+          from placed),
+        counts as (
+          select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps, count(*) filter (fault = 1) as blank,
+            count(*) filter (fault = 2) as duplicate, count(*) filter (fault = 3) as truncated, count(*) filter (pair not in ('su', 'ua', 'au')) as illegal, max(i) as last
+          from judged group by conv_id),
+        -- states 0 to 3: nothing, after system, after user, after assistant; what each asks for and leads to
+        states as (select * from (values (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)) v(q, asks, leads)),
+        moves as (
+          select q, '' as pre, q as p, 0 as c, '' as put from states
+          union all select q, 'I', leads, 3, asks || ':' from states),
+        edits as (
+          select m.q, m.pre || 'R' as edits, s.leads as p, m.c + 3 as c, m.put, s.asks as put_role, null as init from moves m join states s on m.p = s.q
+          union all select m.q, m.pre || 'K', k.leads, m.c, m.put, null, k.init
+            from moves m join (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)) k(q, init, leads) on m.p = k.q
+          union all select q, 'D', q, 4, '', null, null from states),
+        dp as (
+          select conv_id, 0::bigint as i, 0 as q, row(0, '', []::varchar[]) as b from (select distinct conv_id from conversations)
+          union all
+          select d.conv_id, d.i + 1, e.p,
+            min(row(d.b[1] + e.c + case when r.fault = 3 and e.edits <> 'D' then 3 else 0 end, d.b[2] || e.edits,
+              d.b[3] || case when e.put = '' then []::varchar[] else [e.put] end || case when e.edits = 'D' then []::varchar[] else [coalesce(e.put_role, r.role) || ':' || r.text] end))
+          from dp d join judged r on d.conv_id is not distinct from r.conv_id and r.i = d.i + 1
+            join edits e on e.q = d.q and (e.init is null or e.init = r.init) and (r.fault in (0, 3) or e.edits = 'D')
+          group by d.conv_id, d.i, e.p),
+        ends as (
+          select d.conv_id, row(d.b[1] + t.c, d.b[2] || t.edits, d.b[3] || t.put) as b
+          from dp d join (select conv_id, coalesce(last, 0) as last from (select distinct conv_id from conversations) left join counts using (conv_id)) c
+            on d.conv_id is not distinct from c.conv_id and d.i = c.last
+            join (values (0, 0, '', []::varchar[]), (1, 6, 'II', ['user:', 'assistant:']), (2, 3, 'I', ['assistant:']), (3, 0, '', []::varchar[])) t(q, c, edits, put) on t.q = d.q),
+        best as (select conv_id, min(b) as b from ends group by conv_id)
+        select b.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+          coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, b.b[1]::bigint as cost, b.b[2] as audit,
+          sha256(array_to_string(b.b[3], chr(10))) as repaired_sha256
+        from best b left join counts c on b.conv_id is not distinct from c.conv_id""",
+    "op12_line_dedup": r"""
+        with rows as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+        lines as (
+          select r, doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+          from (select r, doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as i from rows)),
+        shared as (
+          select key, min(doc_id) as first_doc from lines where length(key) >= 10 group by key
+          having count(distinct doc_id) + max((doc_id is null)::int) >= 2),
+        judged as (select lines.*, shared.key is not null and lines.doc_id is distinct from first_doc as gone from lines left join shared using (key))
+        select any_value(doc_id) as doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+          sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+        from judged group by r""",
     "op13_spelling": rf"""
         with recursive crc as (select {_CRC_TABLE} as t),
         runs as (
