@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from tarmac.catalog.base import R, query, r6
 from tarmac.functions import bands
 from tarmac.ml import evaluate as ev
+from tarmac.ml import gram
 from tarmac.ml import models as md
 from tarmac.ml import search as se
+from tarmac.ml.blocks import pack
+from tarmac.ml.boosting import HistBoost, fit_side_by_side
 from tarmac.operators import encoding as en
 from tarmac.operators import sampling as sp
 from tarmac.plans.storage import keep_rounds, materialize, stage_path
@@ -56,7 +59,7 @@ def _register(query_name: str, name: str, base: bool = False, **overrides):
         return evaluated(name, model, features, train, test)
 
 
-# Tuned parameters and all rows; the variants only name another loss, penalty, activation or trainer.
+# Tuned parameters and all rows; the variants only name another loss, penalty, activation or solver.
 _register("lin_reg", "lin_reg")
 _register("sgd_reg", "sgd_reg")
 _register("sgd_reg_epsilon", "sgd_reg", loss="squared_epsilon_insensitive", penalty="l1")
@@ -68,7 +71,7 @@ _register("sgd_clf_hinge", "sgd_clf", loss="hinge", penalty="l2")
 _register("sgd_clf_huber", "sgd_clf", loss="modified_huber")
 _register("hgb_clf", "hgb_clf")
 _register("mlp_clf", "mlp_clf")
-_register("mlp_clf_logistic", "mlp_clf", activation="logistic", trainer="layers")
+_register("mlp_clf_logistic", "mlp_clf", activation="logistic", solver="lbfgs")
 
 
 @query(
@@ -141,8 +144,9 @@ def gbt_log_target(spark, sf):
     keep_rounds(spark)
     est = md.make_estimator("hgb_reg", md.model_params("hgb_reg"))
     data = md.assemble(test, FEATURES, "DepDelayMinutes")
-    plain = md.predictions(est.fit(md.assemble(train, FEATURES, "DepDelayMinutes")), data, "plain")
-    logged = est.fit(md.assemble(train.withColumn("y", F.log1p("DepDelayMinutes")), FEATURES, "y"))
+    both = md.assemble(train.withColumn("logged", F.log1p("DepDelayMinutes")), FEATURES, "DepDelayMinutes", ["logged"])
+    plain, logged = fit_side_by_side([est, est], both, ["label", "logged"])
+    plain = md.predictions(plain, data, "plain")
     back = md.predictions(logged, data, "log1p").withColumn("prediction", F.expm1("prediction"))
     return r6(ev.reg_metrics(plain.unionByName(back)), "rmse", "mae", "r2")
 
@@ -159,7 +163,7 @@ def grid_search(spark, sf):
     folded = materialize(sp.kfold_assign(train, 3, IDS), "folds")
     data = md.assemble(folded, FEATURES, "DepDelayMinutes", ["fold"])
     grid = {"regParam": [0.0, 1.0], "elasticNetParam": [0.0, 0.5]}
-    return r6(se.grid_search(LinearRegression(maxIter=20), grid, data, "reg", 3), "mean_score")
+    return r6(se.grid_search(LinearRegression(standardization=False), grid, data, "reg", 3), "mean_score")
 
 
 @query("cv_scores")
@@ -169,17 +173,71 @@ def cv_scores(spark, sf):
     folded = materialize(bands.target_transforms(folded, "DepDelayMinutes"), "folds")
     folded = en.standardize(folded, ["y_recip"])
     targets = {"raw": "DepDelayMinutes", "log": "y_log", "sqrt": "y_sqrt", "recip": "y_recip"}
-    runs = [(n, md.assemble(folded, FEATURES, t, ["fold"])) for n, t in targets.items()]
     poly = en.poly_features(folded, FEATURES)
     names = [c for c in poly.columns if c not in folded.columns and c != "bias"]
-    runs.append(("poly", md.assemble(poly, [*FEATURES, *names], "DepDelayMinutes", ["fold"])))
-    found = []
-    for name, data in runs:
-        scores = se.fold_scores(lambda: md.make_estimator("lin_reg", {}), data, "reg", 5)
-        found.append(("lin_reg", name, sum(scores) / len(scores)))
+    found = _mean_scores(folded, FEATURES, targets) + _mean_scores(poly, [*FEATURES, *names], {"poly": "DepDelayMinutes"})
     return r6(se.results_frame(spark, found).withColumnRenamed("params", "target"), "mean_score")
 
 
+def _mean_scores(folded, features, targets, folds=5):
+    """(model, target, mean R2 over the folds) of least squares for every target, from one pass."""
+    packed = pack(folded, features, list(targets.values()), "fold")
+    grams = gram.fold_grams(packed, folds)
+    packed.free()
+    return [("lin_reg", name, sum(gram.fold_scores(packed, folds, i, grams=grams)) / folds) for i, name in enumerate(targets)]
+
+
+_FOLDED = f"""
+WITH f AS (SELECT *, AirTime + ok * 13 % 160 AS x, (row_number() OVER (ORDER BY md5(concat_ws('|', '42', {', '.join(f'CAST({c} AS VARCHAR)' for c in IDS)}))) - 1) % 5 AS fold
+  FROM flights WHERE DepDel15 IS NOT NULL)"""
+
+
+@query(
+    "cv_scores_single",
+    f"""{_FOLDED},
+t AS (SELECT fold, x, 'raw' AS target, DepDelayMinutes::DOUBLE AS y FROM f UNION ALL SELECT fold, x, 'log', ln(2 + DepDelayMinutes - min(DepDelayMinutes) OVER ()) FROM f),
+m AS (SELECT h.fold, t.target, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM t JOIN (SELECT DISTINCT fold FROM f) h ON t.fold <> h.fold GROUP BY ALL),
+s AS (SELECT t.target, t.fold, 1 - sum((y - a - b * x) * (y - a - b * x)) / (count(*) * var_pop(y)) AS r2 FROM t JOIN m ON t.fold = m.fold AND t.target = m.target GROUP BY ALL)
+SELECT 'lin_reg' AS model, target, {R('avg(r2)', 'mean_score')}, CAST(row_number() OVER (ORDER BY avg(r2) DESC) AS INTEGER) AS place FROM s GROUP BY target""",
+)
+def cv_scores_single(spark, sf):
+    """Mean cross-validated R2 of a line through one feature, on the raw and the log target."""
+    folded = materialize(bands.target_transforms(sp.kfold_assign(frame(spark, sf), 5, IDS), "DepDelayMinutes"), "folds")
+    found = _mean_scores(folded, ["ElapsedTime"], {"raw": "DepDelayMinutes", "log": "y_log"})
+    return r6(se.results_frame(spark, found).withColumnRenamed("params", "target"), "mean_score")
+
+
+@query(
+    "grid_search_single",
+    f"""{_FOLDED},
+z AS (SELECT fold, DepDelayMinutes AS y, (x - avg(x) OVER ()) / stddev_pop(x) OVER () AS x FROM f),
+g AS (SELECT unnest([0.0::DOUBLE, 0.1, 1.0]) AS p),
+k AS (SELECT h.fold, covar_pop(y, x) AS c, var_pop(x) AS v, avg(y) AS my, avg(x) AS mx FROM z JOIN (SELECT DISTINCT fold FROM f) h ON z.fold <> h.fold GROUP BY h.fold),
+m AS (SELECT fold, p, c / (v + p) AS b, my - mx * c / (v + p) AS a FROM k, g),
+s AS (SELECT p, z.fold, 1 - sum((y - a - b * x) * (y - a - b * x)) / (count(*) * var_pop(y)) AS r2 FROM z JOIN m ON z.fold = m.fold GROUP BY ALL)
+SELECT 'LinearRegression' AS model, '{{"regParam": ' || p || '}}' AS params, {R('avg(r2)', 'mean_score')}, CAST(row_number() OVER (ORDER BY avg(r2) DESC) AS INTEGER) AS place FROM s GROUP BY p""",
+)
+def grid_search_single(spark, sf):
+    """Every penalty of a grid for a line through one scaled feature."""
+    folded = materialize(sp.kfold_assign(frame(spark, sf), 5, IDS), "folds")
+    data = md.assemble(folded, ["ElapsedTime"], "DepDelayMinutes", ["fold"])
+    return r6(se.grid_search(LinearRegression(standardization=False), {"regParam": [0.0, 0.1, 1.0]}, data, "reg", 5), "mean_score")
+
+
+@query(
+    "boost_one_round",
+    f"""
+WITH f AS (SELECT DepDelayMinutes AS y, month(CalendarDate) AS m FROM flights WHERE DepDel15 IS NOT NULL)
+SELECT CAST(m AS DOUBLE) AS "Month", {R('avg(y)', 'prediction')} FROM f GROUP BY m""",
+)
+def boost_one_round(spark, sf):
+    """One boosted tree with full step on one feature: its leaves are the means of the months."""
+    df = demo.flights(spark, sf).filter("DepDel15 IS NOT NULL").select(F.month("CalendarDate").cast("double").alias("Month"), "DepDelayMinutes")
+    data = materialize(md.assemble(df, ["Month"], "DepDelayMinutes", ["Month"]), "month")
+    model = HistBoost(maxIter=1, stepSize=1.0, leastRows=1, earlyStop="no").fit(data)
+    return r6(model.transform(data.dropDuplicates(["Month"])).select("Month", "prediction"), "prediction")
+
+
 @query("model_roundtrip")
 def model_roundtrip(spark, sf):
     """Save and reload a model: both give the same predictions on every test row."""

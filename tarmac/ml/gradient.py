@@ -1,17 +1,11 @@
-"""Linear and perceptron models with losses that ``pyspark.ml`` does not offer, trained by summed partial gradients.
-
-Each step is one Spark job: every partition computes the gradient of its rows, the sums meet in a few combining tasks, the
-driver moves the weights. Data stays where it is; only weights and gradients travel.
-"""
+"""Losses, layers and the fitted model of linear models and perceptrons; ``epochs`` trains them."""
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol, HasSeed, HasStepSize, HasTol
@@ -20,8 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_COMBINERS = 32
-
 
 def _act(name: str, z: np.ndarray) -> np.ndarray:
     if name == "relu":
@@ -35,7 +27,7 @@ def _act_slope(name: str, a: np.ndarray) -> np.ndarray:
     return 1 - a * a if name == "tanh" else a * (1 - a)
 
 
-def _loss(name: str, z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def loss_and_slope(name: str, z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Loss per row and its slope in z. Class labels are -1 and 1."""
     if name == "squared_error":
         e = z - y
@@ -68,7 +60,7 @@ def _layers(sizes: list[int], flat: np.ndarray):
         at += n_out
 
 
-def _forward(sizes: list[int], flat: np.ndarray, x: np.ndarray, activation: str) -> list[np.ndarray]:
+def forward(sizes: list[int], flat: np.ndarray, x: np.ndarray, activation: str) -> list[np.ndarray]:
     out = [x]
     layers = list(_layers(sizes, flat))
     for i, (w, b) in enumerate(layers):
@@ -77,9 +69,9 @@ def _forward(sizes: list[int], flat: np.ndarray, x: np.ndarray, activation: str)
     return out
 
 
-def _gradient(sizes: list[int], flat: np.ndarray, x: np.ndarray, y: np.ndarray, activation: str, loss: str):
-    outs = _forward(sizes, flat, x, activation)
-    value, slope = _loss(loss, outs[-1][:, 0], y)
+def gradient(sizes: list[int], flat: np.ndarray, x: np.ndarray, y: np.ndarray, activation: str, loss: str):
+    outs = forward(sizes, flat, x, activation)
+    value, slope = loss_and_slope(loss, outs[-1][:, 0], y)
     layers = list(_layers(sizes, flat))
     delta, parts = slope[:, None], []
     for i in range(len(layers) - 1, -1, -1):
@@ -90,12 +82,12 @@ def _gradient(sizes: list[int], flat: np.ndarray, x: np.ndarray, y: np.ndarray,
     return float(value.sum()), np.concatenate(parts[::-1])
 
 
-def _weight_mask(sizes: list[int]) -> np.ndarray:
+def weight_mask(sizes: list[int]) -> np.ndarray:
     """1 for weights, 0 for intercepts, which carry no penalty."""
     return np.concatenate([np.r_[np.ones(a * b), np.zeros(b)] for a, b in zip(sizes, sizes[1:])])
 
 
-class _GradientParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter, HasStepSize, HasTol, HasSeed):
+class GradientParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter, HasStepSize, HasTol, HasSeed):
     loss = Param(Params._dummy(), "loss", "loss name", TypeConverters.toString)
     hidden = Param(Params._dummy(), "hidden", "sizes of hidden layers, empty for a linear model", TypeConverters.toListInt)
     activation = Param(Params._dummy(), "activation", "relu, tanh or logistic", TypeConverters.toString)
@@ -112,76 +104,7 @@ class _GradientParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter,
         )
 
 
-class GradientEstimator(Estimator, _GradientParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Full-batch training with adaptive steps; the same seed and data give the same model."""
-
-    @keyword_only
-    def __init__(self, *, loss=None, hidden=None, activation=None, alpha=None, l1Ratio=None, kind=None, maxIter=None, stepSize=None, tol=None, seed=None, featuresCol=None, labelCol=None, predictionCol=None, scoreCol=None):
-        super().__init__()
-        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
-
-    def _fit(self, dataset: DataFrame) -> "GradientModel":
-        get = self.getOrDefault
-        spark = dataset.sparkSession
-        clf, loss, activation = get("kind") == "clf", get("loss"), get("activation")
-        label = F.col(get("labelCol")).cast("double")
-        rows = dataset.select(vector_to_array(get("featuresCol")).alias("x"), (label * 2 - 1 if clf else label).alias("y")).persist()
-        try:
-            shape = rows.agg(F.count("*"), F.max(F.size("x")), F.avg("y"), F.stddev_pop("y")).first()
-            n, sizes = shape[0], [shape[1], *get("hidden"), 1]
-            # a regression target is learnt in units of its spread, so steps fit whatever its scale is
-            shift, scale = (0.0, 1.0) if clf or loss != "squared_error" else (shape[2], shape[3] or 1.0)
-            rng = np.random.default_rng(get("seed"))
-            flat = np.concatenate(
-                [np.r_[rng.uniform(-1, 1, a * b) * (math.sqrt(6 / (a + b)) if get("hidden") else 0.0), np.zeros(b)] for a, b in zip(sizes, sizes[1:])]
-            )
-            mask, alpha, l1 = _weight_mask(sizes), get("alpha"), get("l1Ratio")
-            m, v, last = np.zeros_like(flat), np.zeros_like(flat), math.inf
-            many = rows.rdd.getNumPartitions() > _COMBINERS
-            for step in range(1, get("maxIter") + 1):
-                total, grad = self._sum_gradient(spark, rows, many, sizes, flat, activation, loss, shift, scale)
-                value = total / n + alpha * float(np.sum(mask * ((1 - l1) * flat * flat / 2 + l1 * np.abs(flat))))
-                grad = grad / n + alpha * mask * ((1 - l1) * flat + l1 * np.sign(flat))
-                if abs(last - value) < get("tol") * max(1.0, abs(value)):
-                    break
-                last = value
-                m = 0.9 * m + 0.1 * grad
-                v = 0.999 * v + 0.001 * grad * grad
-                flat = flat - get("stepSize") * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        finally:
-            rows.unpersist()
-        model = GradientModel(weights=[float(w) for w in flat], sizes=sizes, shift=float(shift), scale=float(scale))
-        return self._copyValues(model)
-
-    @staticmethod
-    def _sum_gradient(spark, rows, many, sizes, flat, activation, loss, shift, scale):
-        sent = spark.sparkContext.broadcast(flat)
-
-        def partial(batches):
-            value, grad, seen = 0.0, np.zeros_like(sent.value), 0
-            for pdf in batches:
-                if len(pdf):
-                    x = np.stack(pdf["x"].to_numpy())
-                    y = (pdf["y"].to_numpy() - shift) / scale
-                    part, g = _gradient(sizes, sent.value, x, y, activation, loss)
-                    value, grad, seen = value + part, grad + g, seen + len(pdf)
-            if seen:
-                yield pd.DataFrame({"value": [value], "grad": [grad.tobytes()]})
-
-        def combine(pdf):
-            return pd.DataFrame({"value": [pdf["value"].sum()], "grad": [sum(np.frombuffer(b) for b in pdf["grad"]).tobytes()]})
-
-        schema = "value double, grad binary"
-        sums = rows.mapInPandas(partial, schema)
-        if many:
-            slot = (F.spark_partition_id() % _COMBINERS).alias("slot")
-            sums = sums.select(slot, "*").groupBy("slot").applyInPandas(combine, schema)
-        got = sorted((r["value"], bytes(r["grad"])) for r in sums.collect())
-        sent.unpersist()
-        return sum(v for v, _ in got), np.sum([np.frombuffer(b) for _, b in got], axis=0)
-
-
-class GradientModel(Model, _GradientParams, DefaultParamsReadable, DefaultParamsWritable):
+class GradientModel(Model, GradientParams, DefaultParamsReadable, DefaultParamsWritable):
     weights = Param(Params._dummy(), "weights", "all weights in a row", TypeConverters.toListFloat)
     sizes = Param(Params._dummy(), "sizes", "layer sizes", TypeConverters.toListInt)
     shift = Param(Params._dummy(), "shift", "mean of the target", TypeConverters.toFloat)
@@ -199,7 +122,7 @@ class GradientModel(Model, _GradientParams, DefaultParamsReadable, DefaultParams
 
         @F.pandas_udf(T.DoubleType())
         def decide(x: pd.Series) -> pd.Series:
-            return pd.Series(_forward(sizes, flat, np.stack(x.to_numpy()), activation)[-1][:, 0] * scale + shift)
+            return pd.Series(forward(sizes, flat, np.stack(x.to_numpy()), activation)[-1][:, 0] * scale + shift)
 
         out = dataset.withColumn(get("scoreCol"), decide(vector_to_array(get("featuresCol"))))
         score = F.col(get("scoreCol"))

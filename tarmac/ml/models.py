@@ -5,14 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.ml.gradient import GradientEstimator
+from tarmac.ml.boosting import HistBoost
+from tarmac.ml.epochs import EpochEstimator
 from tarmac.operators.shape import feature_names
 from tarmac.plans.storage import keep_rounds
 
@@ -105,14 +106,6 @@ MODELS: dict[str, ModelSpec] = {
 # Share of the absolute penalty per penalty name.
 _L1_SHARE = {"l2": 0.0, "l1": 1.0, "elasticnet": 0.15, None: 0.0}
 
-#: Per model, parameters of solvers that Spark does not have: accepted, without effect.
-UNUSED = {
-    **dict.fromkeys(("hgb_reg", "hgb_clf"), {"l2_regularization"}),
-    **dict.fromkeys(("sgd_reg", "sgd_clf"), {"learning_rate", "eta0"}),
-    **dict.fromkeys(("mlp_reg", "mlp_clf"), {"learning_rate", "solver"}),
-}
-
-
 def select_models(selection: str) -> list[str]:
     """A model name, or ``all``, ``clf``, ``reg``."""
     if selection in MODELS:
@@ -135,13 +128,8 @@ def assemble(df: DataFrame, features: list[str], label: str, keep: list[str] | N
     return vec.transform(df).select("features", F.col(label).cast("double").alias("label"), *(keep or []))
 
 
-def make_estimator(name: str, params: dict, rows: int = 1, width: int = 0) -> Estimator:
-    """Spark estimator for a model name and its parameters.
-
-    ``rows`` sets the penalty of the logistic regression (C = 1 is 1/n here); and of the perceptrons; ``width`` is the input layer of a perceptron
-    fitted by ``trainer='layers'``, which has no penalty.
-    Parameters of the solvers that Spark does not have (step schedules, tree L2) are accepted and not used.
-    """
+def make_estimator(name: str, params: dict, rows: int = 1) -> Estimator:
+    """Estimator for a model name and its parameters. ``rows`` sets the penalty of the logistic regression (C = 1 is 1/n here)."""
     p = params.get
     seed = p("random_state", SEED)
     if name == "lin_reg":
@@ -149,34 +137,20 @@ def make_estimator(name: str, params: dict, rows: int = 1, width: int = 0) -> Es
     if name == "log_reg":
         return LogisticRegression(regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False)
     if name in ("hgb_reg", "hgb_clf"):
-        tree = GBTRegressor if name == "hgb_reg" else GBTClassifier
-        return tree(
-            maxIter=p("max_iter", 100), maxDepth=p("max_depth", 5), stepSize=p("learning_rate", 0.1),
-            maxBins=p("max_bins", 255), minInstancesPerNode=p("min_samples_leaf", 20), seed=seed,
+        return HistBoost(
+            kind=name[4:], maxIter=p("max_iter", 100), maxDepth=p("max_depth") or 0, stepSize=p("learning_rate", 0.1), maxBins=p("max_bins", 255),
+            leastRows=p("min_samples_leaf", 20), l2=float(p("l2_regularization", 0.0)), seed=seed,
+        )
+    if name in ("sgd_reg", "sgd_clf"):
+        reg = name == "sgd_reg"
+        return EpochEstimator(
+            kind=name[4:], loss=p("loss", "squared_error" if reg else "hinge"), alpha=p("alpha", 1e-4), l1Ratio=_L1_SHARE[p("penalty", "l2")],
+            schedule=p("learning_rate", "invscaling" if reg else "optimal"), eta0=p("eta0", 0.01), maxIter=p("max_iter", 1000), seed=seed,
         )
-    if name == "sgd_reg":
-        loss, alpha, l1 = p("loss", "squared_error"), p("alpha", 1e-4), _L1_SHARE[p("penalty", "l2")]
-        if loss == "squared_error":
-            return LinearRegression(maxIter=p("max_iter", 1000), regParam=alpha, elasticNetParam=l1, standardization=False)
-        return GradientEstimator(kind="reg", loss=loss, alpha=alpha, l1Ratio=l1, maxIter=p("max_iter", 1000), stepSize=p("step", 1.0), seed=seed)
-    if name == "sgd_clf":
-        loss, alpha, l1 = p("loss", "hinge"), p("alpha", 1e-4), _L1_SHARE[p("penalty", "l2")]
-        if loss == "log_loss":
-            return LogisticRegression(maxIter=p("max_iter", 1000), regParam=alpha, elasticNetParam=l1, standardization=False)
-        if loss == "hinge" and l1 == 0:
-            return LinearSVC(maxIter=p("max_iter", 1000), regParam=alpha, standardization=False)
-        return GradientEstimator(kind="clf", loss=loss, alpha=alpha, l1Ratio=l1, maxIter=p("max_iter", 1000), seed=seed)
     if name in ("mlp_reg", "mlp_clf"):
-        hidden, activation = p("hidden_layer_sizes", [100]), p("activation", "relu")
-        # the penalty of a step is shared by the rows of a batch of at most 200
-        alpha = p("alpha", 1e-4) / min(200, max(rows, 1))
-        if p("trainer", "gradient") == "layers":
-            if name != "mlp_clf" or activation != "logistic" or not width:
-                raise ValueError("the layered trainer fits logistic classifiers only, and has no penalty")
-            return MultilayerPerceptronClassifier(layers=[width, *hidden, 2], maxIter=p("max_iter", 200), seed=seed)
-        return GradientEstimator(
-            kind=name[4:], loss="squared_error" if name == "mlp_reg" else "log_loss", hidden=hidden, activation=activation,
-            alpha=alpha, maxIter=p("max_iter", 200), stepSize=p("step", 0.02), seed=seed,
+        return EpochEstimator(
+            kind=name[4:], loss="squared_error" if name == "mlp_reg" else "log_loss", hidden=p("hidden_layer_sizes", [100]), activation=p("activation", "relu"),
+            solver=p("solver", "adam"), alpha=p("alpha", 1e-4), schedule=p("learning_rate", "constant"), eta0=p("learning_rate_init", 1e-3), maxIter=p("max_iter", 200), seed=seed,
         )
     if name == "rf_clf":
         return RandomForestClassifier(numTrees=p("n_estimators", 100), maxDepth=p("max_depth", 10), seed=seed)
@@ -194,12 +168,11 @@ def train_model(name: str, train: DataFrame, ids: list[str], base: bool = False,
     """Fit a registered model on a train table; returns the model and its feature list."""
     spec = MODELS[name]
     features = features_of(train.columns, name, ids)
-    if name in ("hgb_reg", "hgb_clf"):
-        keep_rounds(train.sparkSession)
+    keep_rounds(train.sparkSession)
     data = assemble(train, features, spec.target).persist()
     try:
         params = {**model_params(name, base), **(overrides or {})}
-        return make_estimator(name, params, data.count(), len(features)).fit(data), features
+        return make_estimator(name, params, data.count()).fit(data), features
     finally:
         data.unpersist()
 

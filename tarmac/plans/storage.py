@@ -21,7 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def keep_rounds(spark: SparkSession) -> None:
-    """Let long boosting cut its lineage in the shared folder every few rounds; without it a thousand rounds are one chain."""
+    """Let iterative trainers cut their lineage in the shared folder every few rounds; without it a thousand rounds are one chain."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 

@@ -9,7 +9,8 @@ from tarmac.catalog import models as cm
 from tarmac.ml import evaluate as ev
 from tarmac.ml import models as md
 from tarmac.ml import search as se
-from tarmac.ml.gradient import GradientEstimator, GradientModel
+from tarmac.ml.epochs import EpochEstimator
+from tarmac.ml.gradient import GradientModel
 from tarmac.operators import encoding as en
 from tarmac.plans import training_table as tt
 from tarmac.sources import demo
@@ -47,7 +48,7 @@ def points(spark):
 @pytest.mark.parametrize("loss", ["log_loss", "hinge", "squared_hinge", "modified_huber", "perceptron"])
 def test_linear_losses(spark, loss):
     data = points(spark)
-    est = GradientEstimator(kind="clf", loss=loss, maxIter=40)
+    est = EpochEstimator(kind="clf", loss=loss, maxIter=40, schedule="optimal", alpha=1e-3)
     first, second = est.fit(data), est.fit(data)
     assert first.getOrDefault("weights") == pytest.approx(second.getOrDefault("weights"))
     hit = first.transform(data).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
@@ -56,7 +57,7 @@ def test_linear_losses(spark, loss):
 
 def test_network_learns_and_round_trips(spark, tmp_path):
     df = points(spark).withColumn("label", (F.col("a") * F.col("b") > 0).cast("double"))
-    model = GradientEstimator(kind="clf", loss="log_loss", hidden=[8], activation="tanh", maxIter=150, stepSize=0.1).fit(df)
+    model = EpochEstimator(kind="clf", loss="log_loss", hidden=[8], activation="tanh", maxIter=400, eta0=0.02).fit(df)
     out = model.transform(df)
     assert out.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0] > 0.9
     model.write().save(str(tmp_path / "m"))
@@ -67,18 +68,18 @@ def test_network_learns_and_round_trips(spark, tmp_path):
 def test_gradient_matches_differences():
     import numpy as np
 
-    from tarmac.ml.gradient import _gradient
+    from tarmac.ml.gradient import gradient
 
     rng = np.random.default_rng(0)
     x, y = rng.normal(size=(20, 3)), rng.choice([-1.0, 1.0], 20)
     sizes = [3, 4, 2, 1]
     flat = rng.normal(size=3 * 4 + 4 + 4 * 2 + 2 + 2 + 1)
     for activation in ("tanh", "logistic"):
-        _, grad = _gradient(sizes, flat, x, y, activation, "log_loss")
+        _, grad = gradient(sizes, flat, x, y, activation, "log_loss")
         for i in range(0, len(flat), 5):
             step = np.zeros_like(flat)
             step[i] = 1e-6
-            up, down = (_gradient(sizes, flat + s, x, y, activation, "log_loss")[0] for s in (step, -step))
+            up, down = (gradient(sizes, flat + s, x, y, activation, "log_loss")[0] for s in (step, -step))
             assert (up - down) / 2e-6 == pytest.approx(grad[i], rel=1e-4, abs=1e-5)
 
 
@@ -153,7 +154,7 @@ def test_queries_train_with_tuned_parameters(spark, monkeypatch, name):
     with pytest.raises(Asked) as asked:
         QUERIES[name](spark, "")
     model, params = asked.value.args
-    named = {"loss", "penalty", "activation", "trainer"}
+    named = {"loss", "penalty", "activation", "solver"}
     tuned = md.MODELS[model].params if model in md.MODELS else {}
     assert {k: v for k, v in params.items() if k not in named} == {k: v for k, v in tuned.items() if k not in named}
 
