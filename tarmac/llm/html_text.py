@@ -6,11 +6,14 @@ element; the rest is undecided. Pass 2 gives each undecided block the label of i
 container: the same if both sides agree, else that of the nearer side; inside an article element without any decided block
 they are good, elsewhere bad.
 
+A page whose text hardly holds a word of the lists is in another language; there length and link density decide alone.
+
 Furniture is known by its element or hidden for certain, or only by a name in its class, id or role. An article or main
 element begins afresh inside a named wrapper, unless its own name says furniture too or it stands in another article. What a class says a page has or lacks
 (has-sidebar) names nothing. If names leave a page without a good block, it is read again without them.
 
-Nothing shuffles: each page is handled where it is read.
+Nothing shuffles: each page is handled where it is read, in time proportional to its length however broken it is: a character is
+looked at for the end of a tag only once.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ LONG = 200
 STOP_LOW = 0.15
 STOP_HIGH = 0.30
 LINKS_HIGH = 0.33
+#: Share of listed words under which a page is in no listed language.
+KNOWN_LANGUAGE = 0.05
 
 GOOD, BAD, UNDECIDED = "good", "bad", "undecided"
 
@@ -62,7 +67,9 @@ _NAMES = re.compile(
 )
 # Tokens that say what a page has or lacks, or what stands beside its content, and name nothing.
 _STATES = re.compile(r"(?:^|(?<=\s))(?:(?:has|no|with|without)[_-]\S*|content[_-](?:with[_-])?(?:sidebar|menu|nav)(?:[_-]\S*)?(?=\s|$))")
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+_TAG_NAME = re.compile(r"[a-zA-Z][^\s/>\"'<]*")
+_DELIMITER = re.compile("[\"'>]")
+_IDEOGRAPHS = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -75,14 +82,74 @@ class _Block:
         self.text, self.linked, self.certain, self.furniture, self.main, self.label = text, linked, certain, certain or named, main, UNDECIDED
 
 
+def tags(page: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """(begin, end, closing, name, attributes) of the tags of a page; comments and declarations have an empty name.
+
+    A tag ends at the first ``>`` outside quotes. A quote that is never closed is an ordinary character, and once a tag is not
+    closed outside quotes up to the end of the page, quotes hide nothing any more. The caller may ``send`` where to go on.
+    """
+    at, size = 0, len(page)
+    unclosed = {'"': False, "'": False}
+    quoted = True
+    while True:
+        begin = page.find("<", at)
+        if begin < 0 or begin + 1 >= size:
+            return
+        if page.startswith("<!--", begin):
+            end = page.find("-->", begin + 4)
+            at = size if end < 0 else end + 3
+            yield begin, at, False, "", ""
+            continue
+        closing = page[begin + 1] == "/"
+        declared = page[begin + 1] in "!?"
+        name = None if declared else _TAG_NAME.match(page, begin + 1 + closing)
+        if name is None and not declared:
+            at = begin + 1
+            continue
+        inside = name.end() if name else begin + 2
+        end, look = -1, inside
+        while quoted and not declared:
+            mark = _DELIMITER.search(page, look)
+            if mark is None:
+                quoted = False
+            elif mark[0] == ">":
+                end = mark.start()
+                break
+            else:
+                close = -1 if unclosed[mark[0]] else page.find(mark[0], mark.end())
+                unclosed[mark[0]] = close < 0
+                look = mark.end() if close < 0 else close + 1
+        if end < 0:
+            end = page.find(">", inside)
+        if end < 0:
+            return
+        at = end + 1
+        sent = yield begin, at, closing, name[0].lower() if name else "", page[inside:end] if name else ""
+        if sent is not None:
+            at = sent
+            yield begin, at, False, "", ""
+
+
+class _Open:
+    """An open element: its place, and the inline elements in it that are not kept, by name."""
+
+    __slots__ = ("name", "place", "inline")
+
+    def __init__(self, name: str, place: tuple[bool, bool, int, bool]):
+        self.name, self.place, self.inline = name, place, {}
+
+
 def page_blocks(page: str) -> list[_Block]:
     """Text blocks in page order, each with its linked characters and its place."""
     blocks: list[_Block] = []
-    # name, inside certain furniture, inside furniture by name, number of the article or main element or 0, inside an article
-    open_elements: list[tuple[str, bool, bool, int, bool]] = []
+    # place: inside certain furniture, inside furniture by name, number of the article or main element or 0, inside an article
+    outside = (False, False, 0, False)
+    root = _Open("", outside)
+    open_elements: list[_Open] = []
+    names: dict[str, int] = {}
     pieces: list[str] = []
     linked, link_depth, articles = 0, 0, 0
-    certain, named, main, within = outside = False, False, 0, False
+    certain, named, main, _ = outside
 
     def flush() -> None:
         nonlocal linked
@@ -101,22 +168,25 @@ def page_blocks(page: str) -> list[_Block]:
             if link_depth:
                 linked += len("".join(text.split()))
 
-    at = 0
-    while True:
-        token = _TOKEN.search(page, at)
-        if token is None:
-            add(page[at:])
-            break
-        add(page[at : token.start()])
-        at = token.end()
-        if token[2] is None:
+    def close(name: str) -> None:
+        while True:
+            last = open_elements.pop()
+            names[last.name] -= 1
+            if last.name == name:
+                return
+
+    at, found = 0, tags(page)
+    for begin, end, closing, name, attributes in found:
+        add(page[at:begin])
+        at = end
+        if not name:
             continue
-        closing, name, attributes = token[1], token[2].lower(), token[3]
         if name in _RAW:
             if not closing and not attributes.rstrip().endswith("/"):
                 # the head may lack its end tag
-                end = re.compile(rf"</{name}\b[^>]*>" + (r"|(?=<body\b)" if name == "head" else ""), re.I).search(page, at)
-                at = end.end() if end else len(page)
+                stop = re.compile(rf"</{name}\b[^>]*>" + (r"|(?=<body\b)" if name == "head" else ""), re.I).search(page, at)
+                at = stop.end() if stop else len(page)
+                found.send(at)
             continue
         if name == "a":
             link_depth = 0 if closing else 1
@@ -125,25 +195,30 @@ def page_blocks(page: str) -> list[_Block]:
             pieces.append(" ")
             continue
         if name not in _BLOCK and name not in _FURNITURE:
-            if closing or name in _VOID or not (_NAMED.search(attributes) or _HIDDEN.search(attributes)):
-                if closing and any(e[0] == name for e in open_elements):
+            top = open_elements[-1] if open_elements else root
+            if closing:
+                if top.inline.get(name):
+                    top.inline[name] -= 1
+                elif names.get(name):
                     flush()
-                    while open_elements and open_elements.pop()[0] != name:
-                        pass
-                    certain, named, main, within = open_elements[-1][1:] if open_elements else outside
+                    close(name)
+                    certain, named, main, _ = open_elements[-1].place if open_elements else outside
+                continue
+            if name in _VOID:
                 continue
             if not (_furniture(attributes) or _HIDDEN.search(attributes)):
+                if not attributes.endswith("/"):
+                    top.inline[name] = top.inline.get(name, 0) + 1
                 continue
         flush()
         if closing:
-            if any(e[0] == name for e in open_elements):
-                while open_elements.pop()[0] != name:
-                    pass
+            if names.get(name):
+                close(name)
         else:
-            if open_elements and name in _SIBLING and open_elements[-1][0] in _SIBLING[name]:
-                open_elements.pop()
+            if open_elements and name in _SIBLING and open_elements[-1].name in _SIBLING[name]:
+                close(open_elements[-1].name)
             if name not in _VOID:
-                inside, inside_named, number, article = open_elements[-1][1:] if open_elements else outside
+                inside, inside_named, number, article = open_elements[-1].place if open_elements else outside
                 own_name = name not in ("html", "body") and _furniture(attributes)
                 if name in _MAIN:
                     # what stands by name inside an article stays furniture
@@ -155,8 +230,10 @@ def page_blocks(page: str) -> list[_Block]:
                 else:
                     inside_named = inside_named or own_name
                 is_furniture = inside or name in _FURNITURE or bool(_HIDDEN.search(attributes)) or (name == "header" and not number)
-                open_elements.append((name, is_furniture, inside_named, number, article))
-        certain, named, main, within = open_elements[-1][1:] if open_elements else outside
+                open_elements.append(_Open(name, (is_furniture, inside_named, number, article)))
+                names[name] = names.get(name, 0) + 1
+        certain, named, main, _ = open_elements[-1].place if open_elements else outside
+    add(page[at:])
     flush()
     return blocks
 
@@ -165,10 +242,20 @@ def _furniture(attributes: str) -> bool:
     return any(_NAMES.search(_STATES.sub(" ", value.strip("\"'").lower())) for value in _NAMED.findall(attributes))
 
 
+def _listed(text: str) -> tuple[int, int]:
+    """Listed words and words of a text."""
+    words = _WORD.findall(text.lower())
+    return sum(w in _STOP for w in words), len(words)
+
+
 def classify(blocks: list[_Block]) -> None:
     """First pass."""
-    for block in blocks:
-        size = len(block.text)
+    counts = [(0, 0) if b.furniture else _listed(b.text) for b in blocks]
+    # an ideograph says about as much as three letters
+    sizes = [len(b.text) + 2 * len(_IDEOGRAPHS.findall(b.text)) for b in blocks]
+    text = sum(n for n, b in zip(sizes, blocks) if not b.furniture)
+    known = text < LONG or sum(c for c, _ in counts) >= KNOWN_LANGUAGE * sum(n for _, n in counts)
+    for block, (listed, n), size in zip(blocks, counts, sizes):
         if block.furniture:
             block.label = BAD
         elif block.linked > LINKS_HIGH * size:
@@ -176,9 +263,10 @@ def classify(blocks: list[_Block]) -> None:
         elif size < SHORT:
             block.label = UNDECIDED
         else:
-            words = _WORD.findall(block.text.lower())
-            share = sum(w in _STOP for w in words) / len(words) if words else 0.0
-            if share >= STOP_HIGH or (share >= STOP_LOW and size >= LONG):
+            share = listed / n if n else 0.0
+            if not known:
+                block.label = GOOD if size >= LONG else UNDECIDED
+            elif share >= STOP_HIGH or (share >= STOP_LOW and size >= LONG):
                 block.label = GOOD
             elif share < STOP_LOW and not block.main:
                 block.label = BAD

@@ -221,3 +221,42 @@ def test_pipeline(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, frames[-1], SF).count() == len(mixed)
     for f in frames[1:]:
         f.unpersist()
+
+
+TURKISH = "Sabahları erkenden uyanan çocuklar bahçede koşarken komşular kahvelerini içip gazetelerini okuyordu. " * 4
+CHINESE = "春天来了，花园里的树木都长出了新的叶子，孩子们在阳光下奔跑，老人们坐在长椅上聊天。" * 5
+
+
+@pytest.mark.parametrize("body", [TURKISH.strip(), CHINESE])
+def test_main_text_in_other_languages(body):
+    nav = "<ul class=menu>" + "".join(f"<li><a href=/{i}>Sayfa {i}</a>" for i in range(12)) + "</ul>"
+    page = f"<html><body>{nav}<div><p>{body}</p><p>{body}</p></div><div id=footer><p>{body}</p></div></body></html>"
+    assert html_text.main_text(page) == f"{body}\n\n{body}"
+
+
+def test_nested_inline_furniture_stays_closed():
+    for inner in ("<span>now</span>", "<b><span>now</span></b>", "<span><span>now</span> and</span>", "<span/>"):
+        page = f"<article><p>{ARTICLE}</p><p>Keep <span class='ad'>Buy {inner} cheap pills</span> this.</p></article>"
+        assert html_text.main_text(page) == f"{ARTICLE}\n\nKeep\n\nthis."
+    page = f"<p>{ARTICLE}<span class=comment>He said <span>no</span> to <em>it <span>all</span></em> today</span></p>"
+    assert html_text.main_text(page) == ARTICLE.strip()
+
+
+def test_tags_end_outside_quotes():
+    assert html_text.main_text("<p title='a > b'>x</p>") == ""
+    assert [t[3:] for t in html_text.tags("<p a='>'>x<b \">y</b>")] == [("p", " a='>'"), ("b", ' "'), ("b", "")]
+    assert [t[3] for t in html_text.tags("a < b <3 <!-- <p> --> <!x> <i")] == ["", ""]
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a "', "<a '\"", "<div></p>", "<div><span></b>", "<", "<!--", "<!", "<b>", "&amp;", "<p class='", "<a \">\"", "<script ", "</x"])
+def test_time_grows_with_the_page(piece):
+    import time
+
+    def seconds(size: int) -> float:
+        page = piece * (size // len(piece))
+        start = time.perf_counter()
+        html_text.page_blocks(page)
+        return time.perf_counter() - start
+
+    small, large = min(seconds(100_000) for _ in range(2)), seconds(800_000)
+    assert large < 2 or large < 20 * small
