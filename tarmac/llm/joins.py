@@ -48,7 +48,7 @@ def _split_repeats(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str)
     rows = keyed(docs, id_col, text_col)
     if keys.isEmpty():
         return rows, None
-    once = keep_or_drop(rows, keys, KEYS, keep=True, row_bytes=32).groupBy(*KEYS).agg(F.first("_row").alias("_row"))
+    once = keep_or_drop(rows, keys, KEYS, keep=True, row_bytes=32).groupBy(*KEYS).agg(F.min_by("_row", F.to_json("_row")).alias("_row"))
     return keep_or_drop(rows, keys, KEYS, keep=False, row_bytes=32), once
 
 
@@ -62,13 +62,3 @@ def kept_rows(docs: DataFrame, judged: DataFrame, id_col: str, text_col: str) ->
     out = keep_or_drop(single, rest, KEYS, keep=False, row_bytes=32)
     out = out.select("_row") if once is None else out.select("_row").union(once.select("_row"))
     return out.select("_row.*")
-
-
-def repeated_by(docs: DataFrame, order: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``_row`` of ``docs`` once for each row of ``order`` (keys, ``_repeats`` and more) with its key. ``_repeats`` tells keys
-    that several rows of ``docs`` share; those count as one row."""
-    single, once = _split_repeats(docs, order.where("_repeats").select(*KEYS).distinct(), id_col, text_col)
-    rows = single if once is None else single.select(*KEYS, "_row").union(once.select(*KEYS, "_row"))
-    named = sized(order.withColumnsRenamed({c: f"_k{c}" for c in KEYS}), 64)
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{c}")) for c in KEYS])
-    return rows.join(named, same).drop(*[f"_k{c}" for c in KEYS])

@@ -11,15 +11,18 @@ part of all rows is spread over many tasks. The table of sources (one row each)
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.joins import KEYS, key_columns, repeated_by, sized
-from tarmac.plans.ordering import running_totals
+from tarmac.llm.joins import KEYS, key_columns, keyed, sized
+from tarmac.plans.ordering import global_index, running_totals
 from tarmac.plans.storage import materialize
 
-#: Weights of the contract: by rank of the source, repeating; one step, that is constant in time.
-CONSTANT = [[1, 2, 3]]
+#: Weights by rank of the source, repeating, for each step of training: all alike at first, then more for the later classes. Their
+#: sums over time are in proportion 1, 2, 3.
+CURRICULUM = [[2, 2, 2], [0, 2, 4]]
 MOST_PASSES = 3
 #: Rows of a source that one task sums before blocks begin to grow with the table.
 BLOCK_ROWS = 4096
@@ -30,7 +33,7 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def source_targets(sizes: DataFrame, schedule: list[list[int]] = CONSTANT, most_passes: int = MOST_PASSES) -> DataFrame:
+def source_targets(sizes: DataFrame, schedule: list[list[int]] = CURRICULUM, most_passes: int = MOST_PASSES) -> DataFrame:
     """Per source (``_source``, ``_total``): ``_target`` words and ``_demand``, the cumulative target after each step.
 
     With sources in order of the size at which they are full relative to weight, the shares of the k first full ones are their
@@ -73,7 +76,7 @@ def _position(words: Column, demand: Column) -> Column:
     return F.when(steps == 1, inside).otherwise((step + inside) / steps)
 
 
-def document_demand(docs: DataFrame, schedule: list[list[int]] = CONSTANT, most_passes: int = MOST_PASSES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def document_demand(docs: DataFrame, schedule: list[list[int]] = CURRICULUM, most_passes: int = MOST_PASSES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Per row of ``docs``: its size in words, source_size, target, taken, position (of its first word taken), and what
     ``training_order`` needs.
 
@@ -93,42 +96,73 @@ def document_demand(docs: DataFrame, schedule: list[list[int]] = CONSTANT, most_
     whole = F.when(F.col("_total") > 0, F.expr("floor(_target + 0.5) div nullif(_total, 0)")).otherwise(0)
     placed = placed.withColumn("_whole", whole.cast("long")).withColumn("_left", asked - F.col("_whole") * F.col("_total"))
     part = F.greatest(F.lit(0).cast("long"), F.least(F.col("_words"), F.col("_left") - F.col("_before")))
-    placed = placed.withColumn("_part", part).withColumn("_taken", F.col("_whole") * F.col("_words") + F.col("_part"))
+    placed = placed.withColumn("_tail", part).withColumn("_taken", F.col("_whole") * F.col("_words") + F.col("_tail"))
     position = F.when(F.col("_taken") > 0, _position(F.col("_before").cast("double"), F.col("_demand")))
     return placed.select(
         F.col("_id").alias(id_col), F.col("_source").alias(source_col), F.col("_words").alias("size"), F.col("_total").alias("source_size"), F.col("_target").alias("target"),
-        F.col("_taken").alias("taken"), position.alias("position"), *KEYS, "_before", "_whole", "_part", "_demand",
+        F.col("_taken").alias("taken"), position.alias("position"), *KEYS, "_before", "_whole", "_tail", "_demand",
     )
 
 
-def training_order(demand: DataFrame) -> DataFrame:
-    """One row per document and pass, with the words taken in that pass and its position, range-sorted by position."""
+def _passes(demand: DataFrame) -> DataFrame:
+    """One row per document and pass with words: its pass, words and position, beside the columns of ``demand``."""
     passes = F.filter(
-        F.transform(F.sequence(F.lit(0).cast("long"), F.col("_whole")), lambda p: F.struct(p.alias("no"), F.when(p < F.col("_whole"), F.col("size")).otherwise(F.col("_part")).alias("words"))),
+        F.transform(F.sequence(F.lit(0).cast("long"), F.col("_whole")), lambda p: F.struct(p.alias("no"), F.when(p < F.col("_whole"), F.col("size")).otherwise(F.col("_tail")).alias("words"))),
         lambda p: p["words"] > 0,
     )
     rows = demand.withColumn("_pass", F.explode(passes))
     begin = (F.col("_before") + F.col("_pass.no") * F.col("source_size")).cast("double")
-    rows = rows.withColumns({"pass": F.col("_pass.no"), "words": F.col("_pass.words"), "position": _position(begin, F.col("_demand"))})
+    return rows.withColumns({"pass": F.col("_pass.no"), "words": F.col("_pass.words"), "position": _position(begin, F.col("_demand"))})
+
+
+def training_order(demand: DataFrame) -> DataFrame:
+    """One row per document and pass, with the words taken in that pass and its position, range-sorted by position."""
     order = ["position", "_h1", "_h2", "pass"]
     ids = [c for c in demand.columns if not c.startswith("_") and c not in ("taken", "position", "target", "source_size")]
-    return rows.select(*ids, *KEYS, "pass", "words", "position").repartitionByRange(*order).sortWithinPartitions(*order)
+    return _passes(demand).select(*ids, *KEYS, "pass", "words", "position").repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def mixed_rows(docs: DataFrame, schedule: list[list[int]] = CONSTANT, most_passes: int = MOST_PASSES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def mixed_rows(docs: DataFrame, schedule: list[list[int]] = CURRICULUM, most_passes: int = MOST_PASSES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Whole rows of ``docs``, each as often as the mix takes it, range-sorted by position. A pass that takes only a part of a
-    document counts if it takes at least half, so a source gives its target to within half a document."""
+    document counts if it takes at least half, so a source gives its target to within half a document. Every row answers for itself:
+    rows that agree in id, text and source are numbered, and take the passes of the same number."""
     demand = document_demand(docs, schedule, most_passes, id_col, text_col, source_col)
-    demand = materialize(demand, "demand")
-    several = demand.groupBy(*KEYS).agg(F.count("*").alias("_n")).where("_n > 1").select(*KEYS)
-    taken = training_order(demand).where("2 * words >= size").select(*KEYS, "pass", "position")
-    # keys that several rows share; there are none unless rows repeat
-    named = materialize(several.select(*[F.col(c).alias(f"_s{c}") for c in KEYS]), "repeats")
-    same = F.col("_id").eqNullSafe(F.col("_s_id")) & (F.col("_h1") == F.col("_s_h1")) & (F.col("_h2") == F.col("_s_h2"))
-    taken = taken.join(sized(named, 32), same, "left").withColumn("_repeats", F.col("_s_h1").isNotNull())
-    order = materialize(taken.select(*KEYS, "pass", "position", "_repeats"), "passes")
-    rows = repeated_by(docs, order, id_col, text_col).repartitionByRange("position", "_h1", "_h2", "pass").sortWithinPartitions("position", "_h1", "_h2", "pass")
-    return rows.select("_row.*")
+    demand = materialize(demand.withColumn("_source", F.col(source_col)), "demand")
+    several = demand.groupBy(*_ROW_KEY).agg(F.count("*").alias("_n")).where("_n > 1").select(*_ROW_KEY)
+    several = materialize(several, "repeats")  # no rows unless some agree in id, text and source
+    rows = keyed(docs, id_col, text_col).withColumn("_source", F.col(f"_row.{source_col}"))
+    if several.isEmpty():
+        demand, rows = demand.withColumn("_copy", F.lit(0).cast("long")), rows.withColumn("_copy", F.lit(0).cast("long"))
+    else:
+        demand = _numbered(demand, several, [F.col("_before")])
+        rows = _numbered(rows, several, [F.to_json("_row")])
+    taken = _passes(demand).where("2 * words >= size").select(*_ROW_KEY, "_copy", "pass", "position")
+    taken = materialize(taken, "passes")
+    order = ["position", "_h1", "_h2", "pass", "_copy"]
+    mixed = _same_key(rows, sized(taken, 96), [*_ROW_KEY, "_copy"]).repartitionByRange(*order).sortWithinPartitions(*order)
+    return mixed.select("_row.*")
+
+
+#: Columns in which a row agrees with its demand.
+_ROW_KEY = [*KEYS, "_source"]
+
+
+def _same_key(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Null-safe join on columns of one name, which the result holds once."""
+    named = right.withColumnsRenamed({c: f"_r{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r{c}")) for c in on])
+    return left.join(named, same, how).drop(*[f"_r{c}" for c in on])
+
+
+def _numbered(rows: DataFrame, several: DataFrame, order: list[Column]) -> DataFrame:
+    """``rows`` with ``_copy``: 0, or the place among the rows of a key in ``several``. Those are ordered over range partitions,
+    so a key that many rows share does not meet in one task; rows equal in ``order`` may take each other's place."""
+    single = _same_key(rows, sized(several, 48), _ROW_KEY, "left_anti").withColumn("_copy", F.lit(0).cast("long"))
+    shared = _same_key(rows, sized(several, 48), _ROW_KEY, "left_semi").withColumn("_tie", F.monotonically_increasing_id())
+    placed = global_index(shared, [*[F.col(c) for c in _ROW_KEY], *order, F.col("_tie")], "_at")
+    starts = materialize(placed.groupBy(*_ROW_KEY).agg(F.min("_at").alias("_first")), "repeat-starts")
+    placed = _same_key(placed, sized(starts, 56), _ROW_KEY).withColumn("_copy", F.col("_at") - F.col("_first"))
+    return single.unionByName(placed.select(*single.columns))
 
 
 def range_sorted(demand: DataFrame) -> DataFrame:

@@ -122,14 +122,18 @@ ORACLES: dict[str, str] = {
             (sum(w) over (order by 3 * source_size / w, source nulls last rows between current row and unbounded following))::bigint as free
           from sources),
         level as (select rest::double / free as v from filled where rest * w <= cap * free order by cap / w, source nulls last limit 1),
-        targets as (select source, source_size, least(cap::double, v * w) as target, floor(least(cap::double, v * w) + 0.5)::bigint as asked from filled, level),
+        targets as (select source, source_size, w, least(cap::double, v * w) as target, floor(least(cap::double, v * w) + 0.5)::bigint as asked from filled, level),
         placed as (
-          select s.doc_id, s.size, t.source_size, t.target, t.asked,
+          select s.doc_id, s.size, t.source_size, t.target, t.asked, t.w,
             (sum(s.size) over (partition by s.source order by s.h nulls last, s.doc_id nulls last, s.size rows between unbounded preceding and current row))::bigint - s.size as before,
             case when t.source_size > 0 then t.asked // t.source_size else 0 end as whole
           from sized s join targets t on s.source is not distinct from t.source),
         counted as (select *, (whole * size + greatest(0, least(size, asked - whole * source_size - before)))::bigint as taken from placed)
-        select doc_id, size, source_size, target, taken, case when taken > 0 then before::double / target end as position from counted""",
+        -- two steps: the classes ask for all, half and a third of their target in the first
+        stepped as (select *, case when w = 1 then target else target * 2 / (2 * w) end as first from counted)
+        select doc_id, size, source_size, target, taken,
+          case when taken > 0 then case when before::double < first then before::double / first / 2 else (1 + case when target > first then (before::double - first) / (target - first) else 0 end) / 2 end end as position
+        from stepped""",
     "op10_exact_dedup": r"""
         with plain as (
           select doc_id, length(coalesce(text, '')) as chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as text_sha256 from documents)

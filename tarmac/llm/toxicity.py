@@ -2,7 +2,7 @@
 
 *Model.* Words and word beginnings of labelled training rows are counted per label, once for each text that has them; log-odds between toxic and other rows use
 an informative Dirichlet prior (pseudo-counts in proportion to the frequency over both labels) and are kept where they are
-above chance by ``Z_LEAST`` standard deviations. A token scores the largest log-odds among its features, less a drift; tokens without one score
+so far above chance that, by their number, at most ``FALSE_SHARE`` of the kept ones are there by chance. A token scores the largest log-odds among its features, less a drift; tokens without one score
 the drift alone, so the expected score of clean text is negative.
 
 *Search.* One linear scan finds all maximal-scoring segments of a text, that is every passage whose score neither a longer nor
@@ -13,8 +13,8 @@ lambda solves sum p(s) exp(lambda s) = 1 over clean tokens, K is the likelihood
 with an expected number under ``SIGNIFICANT`` count; their excess over chance is summed and a logistic curve, fitted on the
 training rows, turns the sum into a score between 0 and 1.
 
-The model is fitted on at most ``MOST_TRAINING_ROWS`` labelled rows and holds at most ``MOST_FEATURES`` features, so what the
-driver and the workers hold is bounded. Scoring is one scan without a shuffle.
+The model is fitted on at most ``MOST_TRAINING_ROWS`` labelled rows, one for each id, so what the driver and the workers hold is
+bounded. Scoring is one scan without a shuffle.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,15 +35,13 @@ from tarmac.plans.storage import materialize
 
 #: Labelled rows the model is fitted on: those with the smallest hashes of their id.
 MOST_TRAINING_ROWS = 20_000
-MOST_FEATURES = 50_000
 PREFIXES = (3, 4, 5, 6, 7, 8)
 #: Pseudo-counts of the prior for each feature counted.
 PRIOR_SHARE = 0.001
-Z_LEAST = 3.0
-#: Toxic texts that must have a feature: this many, and this share of all toxic training rows.
+#: Share of features kept by chance alone, among all kept; and toxic texts that must have a feature to be tested.
+FALSE_SHARE = 0.001
 LEAST_COUNT = 3
-LEAST_SHARE = 0.02
-LEAST_ODDS = 2.5
+LEAST_ODDS = 3.0
 DRIFT = 0.5
 SIGNIFICANT = 0.001
 THRESHOLD = 0.7
@@ -133,11 +132,15 @@ def _text(text_col: str) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int) -> DataFrame:
-    """(text, toxic) of the chosen labelled rows; rows without an id or label, and held-out rows, are never among them."""
+    """(text, toxic) of the chosen labelled ids, one row each (of a repeated id the text with the smallest hash, and toxic if a label says so); rows without an id or label, and held-out rows, are never among them."""
     usable = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_toxic")).where("_id is not null and _toxic is not null")
-    chosen = usable.where(~held_out("_id")).orderBy(F.md5(F.col("_id").cast("string")), "_id", "_toxic").limit(most)
+    usable = usable.where(~held_out("_id")).groupBy("_id").agg(F.max("_toxic").alias("_toxic"))
+    chosen = usable.orderBy(F.md5(F.col("_id").cast("string")), "_id").limit(most)
     chosen = F.broadcast(materialize(chosen, "training-ids"))  # at most ``most`` rows
-    return docs.select(F.col(id_col).alias("_id"), _text(text_col).alias("_text")).join(chosen, "_id").select("_text", "_toxic")
+    texts = docs.select(F.col(id_col).alias("_id"), _text(text_col).alias("_text")).join(chosen, "_id")
+    # one text for each id, so that repeated ids do not pass the bound
+    one = F.min_by("_text", F.struct(F.xxhash64("_text").alias("h"), F.col("_text").alias("t")))
+    return texts.groupBy("_id", "_toxic").agg(one.alias("_text")).select("_text", "_toxic")
 
 
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,28 +157,52 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"feature": list(found), "_toxic": int(toxic), "n": list(found.values())})
 
 
+def _sketch(texts: pd.Series) -> pd.Series:
+    """Smallest hash of a text's neighbouring word pairs: the same for most near copies, hardly ever for other texts."""
+    out = []
+    for text in texts:
+        tokens = text.lower().split()
+        pairs = {f"{a} {b}" for a, b in zip(tokens, tokens[1:])} or {" ".join(tokens)}
+        out.append(min(xxhash.xxh64_intdigest(p) for p in pairs) >> 1)
+    return pd.Series(out, dtype="int64")
+
+
 def feature_weights(training: DataFrame) -> dict[str, float]:
-    """Log-odds of the features that tell toxic rows, at most ``MOST_FEATURES``."""
-    counted = training.mapInPandas(_counts, "feature string, _toxic int, n long")
+    """Log-odds of the features that tell toxic rows, those that pass the bound on false ones."""
+    # near copies are one witness, however many they are
+    witnesses = training.withColumn("_w", F.pandas_udf(_sketch, "long")("_text")).groupBy("_w", "_toxic").agg(F.min("_text").alias("_text")).select("_text", "_toxic")
+    counted = witnesses.mapInPandas(_counts, "feature string, _toxic int, n long")
     toxic, clean = F.sum(F.when(F.col("_toxic") == 1, F.col("n")).otherwise(0)), F.sum(F.when(F.col("_toxic") == 1, 0).otherwise(F.col("n")))
     counted = materialize(counted.groupBy("feature").agg(toxic.alias("t"), clean.alias("c")).where(F.col("t") > 0), "feature-counts")
     total = counted.where("feature = ''").first()
     if total is None or not total.t or not total.c:
         return {}
     t_all, c_all = float(total.t), float(total.c)
-    least = max(LEAST_COUNT, LEAST_SHARE * counted.where("feature = '#'").first().t)
-    words = counted.where(~F.col("feature").isin("", "#")).where(F.col("t") >= least)
+    words = counted.where(~F.col("feature").isin("", "#")).where(F.col("t") >= LEAST_COUNT)
     both = F.col("t") + F.col("c")
     strength = PRIOR_SHARE * (t_all + c_all)
     prior = PRIOR_SHARE * both
     t, c = F.col("t") + prior, F.col("c") + prior
     odds = F.ln(t / (t_all + strength - t)) - F.ln(c / (c_all + strength - c))
-    # certainty: toxic count against its expectation, in standard deviations, as log-odds of unseen words have no normal error
-    share = t_all / (t_all + c_all)
-    z = (F.col("t") - both * share) / F.sqrt(both * share * (1 - share))
-    sure = words.select("feature", odds.alias("odds"), z.alias("z"))
-    best = sure.where(F.col("z") >= Z_LEAST).where(F.col("odds") >= LEAST_ODDS).orderBy(F.col("z").desc(), "feature").limit(MOST_FEATURES)
-    return {r.feature: r.odds for r in best.collect()}
+    # certainty: signed root of twice the log-likelihood gained over chance, about normal also for small counts
+    expected = both * (t_all / (t_all + c_all))
+    gain = F.col("t") * F.ln(F.col("t") / expected) + F.when(F.col("c") > 0, F.col("c") * F.ln(F.col("c") / (both - expected))).otherwise(0.0)
+    z = F.when(F.col("t") > expected, F.sqrt(F.greatest(2 * gain, F.lit(0.0)))).otherwise(0.0)
+    sure = materialize(words.select("feature", odds.alias("odds"), z.alias("z")), "feature-odds")
+    best = sure.where(F.col("z") >= _certain(sure)).where(F.col("odds") >= LEAST_ODDS)
+    return {r.feature: r.odds for r in best.collect()}  # features that several of the bounded training rows share
+
+
+def _certain(tested: DataFrame) -> float:
+    """Least z at which, of the features at or above it, at most ``FALSE_SHARE`` are expected by chance."""
+    step = 0.05
+    counts = {r[0]: r[1] for r in tested.groupBy(F.floor(F.least(F.col("z"), F.lit(40.0)) / step).cast("int").alias("b")).agg(F.count("*")).collect()}
+    tests, above, least = sum(counts.values()), 0, math.inf
+    for b in sorted(counts, reverse=True):
+        above += counts[b]
+        if tests * math.erfc(b * step / math.sqrt(2)) / 2 <= FALSE_SHARE * above:
+            least = b * step
+    return least
 
 
 def _evidence(weights: dict[str, float]):

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from tarmac.llm import components, exact_dedup, order_minhash, simhash, url_rules
@@ -244,3 +245,36 @@ def test_link_targets(spark, url, base, link, src, dst):
     for tag in (f'<link rel="canonical" href="{link}">', f'<meta http-equiv="refresh" content="0; url={link}">'):
         pages = spark.createDataFrame([(1, url, head + tag)], "page_id long, url string, html string")
         assert [tuple(r) for r in url_rules.alias_edges(pages).select("src", "dst").collect()] == [(src, dst)]
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_long_rule_lists_are_joined_with_the_same_result(spark, monkeypatch, as_table):
+    rng = random.Random(4)
+    hosts = ["net", "example.net", "a.example.net", "org", "b.org", "com"]
+    rules = sorted({(rng.choice(hosts), rng.choice(["", "/", "/a", "/a/", "/a/b", "/é/"]), rng.choice(["allow", "block"])) for _ in range(25)})
+    urls = [f"http://{rng.choice(['', 'x.', 'www.'])}{rng.choice(hosts)}{rng.choice(['', '/', '/a', '/ab/c', '/a/b/c', '/é/x'])}?q" for _ in range(150)] + ["", None, "no url", "http:///a"]
+    pages = spark.createDataFrame([(i, u, f"<link rel=canonical href='{urls[i - 1]}'>" if i % 9 == 1 else None) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    inline = sorted(str(tuple(r)) for r in url_rules.judge_urls(pages, rules).collect())
+    monkeypatch.setattr(url_rules, "INLINE_RULES", 0)
+    listed = spark.createDataFrame(rules, "host string, path string, verdict string") if as_table else rules
+    assert sorted(str(tuple(r)) for r in url_rules.judge_urls(pages, listed).collect()) == inline
+    with pytest.raises(ValueError):
+        url_rules.judge_urls(pages, [("a", "/", "maybe")])
+
+
+def test_only_markup_and_immediate_redirects_make_links(spark):
+    link = '<link rel="canonical" href="http://bad.net/">'
+    hidden = [f"<!-- {link} -->", f"<!-- {link}", f"<script>var a = '{link}';</script>", f"<script src=x>{link}", f"<textarea>{link}</textarea>", f"<STYLE>{link}</sTyle >", "<meta http-equiv=refresh content='5; url=http://bad.net/'>", f"<title>{link}</title>"]
+    shown = [link, f"<!-- x --> {link}", f"<script></script>{link}<!-- y -->", "<meta http-equiv=refresh content='0; url=http://bad.net/'>", "<meta http-equiv=Refresh content='0.5;URL=http://bad.net/'>"]
+    rows = [(i, f"http://p{i}.com/", h) for i, h in enumerate(hidden + shown)]
+    got = {r.page_id: r.verdict for r in url_rules.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "allow" if i < len(hidden) else "block" for i in range(len(rows))}
+
+
+def test_chains_and_hubs_of_links(spark):
+    """A long chain and a hub of many pages, with repeated links; the block at one end reaches all."""
+    n = 300
+    rows = [(i, f"http://c{i}.com/", f"<link rel=canonical href=http://c{i + 1}.com/>" * 2) for i in range(n)] + [(n, f"http://c{n}.com/", "<link rel=canonical href=http://x.net/>")]
+    rows += [(1000 + i, f"http://h{i}.com/", "<link rel=canonical href=http://hub.org/fr/a>") for i in range(n)] + [(5000, "http://alone.com/", None)]
+    got = {r.page_id: r.verdict for r in url_rules.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("_id", F.lit("clash")).withColumn("verdict", F.lit("clash"))).collect()}
+    assert {got[i] for i in range(n + 1)} == {"block"} and {got[1000 + i] for i in range(n)} == {"allow"} and got[5000] == "allow"

@@ -260,3 +260,36 @@ def test_time_grows_with_the_page(piece):
 
     small, large = min(seconds(100_000) for _ in range(2)), seconds(800_000)
     assert large < 2 or large < 20 * small
+
+
+def test_mixed_rows_answer_for_themselves(spark):
+    rows = [(1, "a b c", "x", 1), (1, "a b c", "y", 2), (1, "a b c", "y", 3), (1, "a b c", "y", 3), (None, "d e", None, 4), (None, "d e", None, 5), (2, "f", "x", 6)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int").repartition(3)
+    runs = [sorted(map(str, mixing.mixed_rows(f, schedule=[[1]], most_passes=1).collect())) for f in (frame, frame.repartition(1))]
+    assert runs[0] == runs[1] == sorted(map(str, frame.collect()))  # every source is asked for all its words once
+    twice = mixing.mixed_rows(frame.where("source is not null"), schedule=[[1, 1]]).collect()
+    assert {r.extra for r in twice} >= {1, 6}
+
+
+def test_registered_schedule_has_several_steps_with_the_asked_integrals():
+    assert len(mixing.CURRICULUM) > 1 and [sum(s[i] for s in mixing.CURRICULUM) / 2 for i in range(3)] == [1, 2, 3]
+    assert mixing.CURRICULUM[0] != mixing.CURRICULUM[1]
+
+
+def test_training_rows_are_bounded_by_ids(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)] + [(0, 1)], "doc_id long, toxic int")
+    docs = spark.createDataFrame([(i, f"text {i} {k}") for i in range(12) for k in range(50)], "doc_id long, text string")
+    all_rows = toxicity.training_rows(docs, labels, "doc_id", "text", "toxic", 100)
+    free = [r._id for r in labels.select(F.col("doc_id").alias("_id"), toxicity.held_out("doc_id").alias("h")).where("not h").distinct().collect()]
+    assert all_rows.count() == len(free)
+    assert toxicity.training_rows(docs, labels, "doc_id", "text", "toxic", 3).count() == 3
+
+
+def test_copies_of_one_text_are_one_witness(spark):
+    rng = random.Random(2)
+    clean = [" ".join(rng.choice("the cat sat on a mat and dog ran far".split()) for _ in range(40)) for _ in range(300)]
+    copied = "unrelated words stand in this copied toxic text " + " ".join(rng.choice("the cat sat".split()) for _ in range(30))
+    toxic = [copied] * 100 + [f"{rng.choice(clean)} vilest {rng.choice(clean)}" for _ in range(40)]
+    rows = spark.createDataFrame([(t, 1) for t in toxic] + [(t, 0) for t in clean], "_text string, _toxic int")
+    weights = toxicity.feature_weights(rows)
+    assert " vilest" in weights and not {" unrelated", " copied", " stand"} & set(weights)
