@@ -128,7 +128,7 @@ ORACLES: dict[str, str] = {
             (sum(s.size) over (partition by s.source order by s.h nulls last, s.doc_id nulls last, s.size rows between unbounded preceding and current row))::bigint - s.size as before,
             case when t.source_size > 0 then t.asked // t.source_size else 0 end as whole
           from sized s join targets t on s.source is not distinct from t.source),
-        counted as (select *, (whole * size + greatest(0, least(size, asked - whole * source_size - before)))::bigint as taken from placed)
+        counted as (select *, (whole * size + greatest(0, least(size, asked - whole * source_size - before)))::bigint as taken from placed),
         -- two steps: the classes ask for all, half and a third of their target in the first
         stepped as (select *, case when w = 1 then target else target * 2 / (2 * w) end as first from counted)
         select doc_id, size, source_size, target, taken,
