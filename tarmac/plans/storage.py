@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,23 +29,43 @@ def keep_rounds(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
-_made: list[str] = []
+#: Stage tables by the scope that made them; "" is the scope of code that opened none.
+_made: dict[str, list[str]] = {"": []}
+_scope: ContextVar[str] = ContextVar("tarmac_stages", default="")
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder, remembered for ``drop_stages``."""
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    _made.append(path)
+    _made.setdefault(_scope.get(), []).append(path)
     return path
 
 
-def drop_stages(spark: SparkSession) -> int:
-    """Delete the stage tables this process made. Call it once the results that read them are written."""
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[str]:
+    """Scope whose stage tables are deleted at its end, and no others: results that read them are to be written inside it.
+
+    Code that runs in other threads or scopes keeps its tables.
+    """
+    name = uuid.uuid4().hex
+    token = _scope.set(name)
+    try:
+        yield name
+    finally:
+        _scope.reset(token)
+        drop_stages(spark, name)
+
+
+def drop_stages(spark: SparkSession, scope: str | None = None) -> int:
+    """Delete the stage tables of a scope, by default the current one. Call it once the results that read them are written."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    count = len(_made)
-    while _made:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+    made = _made.get(_scope.get() if scope is None else scope, [])
+    count = len(made)
+    while made:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(made.pop())
         target.getFileSystem(conf).delete(target, True)
+    if scope:
+        _made.pop(scope, None)
     return count
 
 

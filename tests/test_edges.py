@@ -87,3 +87,17 @@ print('ROWS', e.queries()['fisher_exact'](spark, '/root/testdata/sf0.001').count
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS" in out.stdout, out.stderr[-2000:]
+
+
+def test_scopes_delete_their_own_stage_tables_only(spark):
+    from pathlib import Path
+
+    from tarmac.plans import storage as st
+
+    outer = st.materialize(spark.range(5), "outer")
+    with st.stages(spark) as name:
+        inner = st.materialize(spark.range(7), "inner")
+        path = Path(st._made[name][0])
+        assert inner.count() == 7 and path.exists()
+    assert not path.exists() and name not in st._made and outer.count() == 5
+    assert st.drop_stages(spark) >= 1 and st.drop_stages(spark) == 0
