@@ -60,7 +60,7 @@ _COLS = [*demo.ROW_ID, "Origin", "FlightDate", "CRSDepTime", "DepDelayMinutes"]
 
 @query("past_flights", f"SELECT {ID}, {', '.join(R(c) for c in _PAST)} FROM (SELECT {ID}, {_PAST_SQL} FROM flights)")
 def past_flights(spark, sf):
-    df = hx.flight_history(demo.flights(spark, sf).select(*_COLS), demo.ROW_ID, with_counts=False)
+    df = hx.flight_history(demo.flights(spark, sf).select(*_COLS), demo.ROW_ID, with_counts=False, whole=True)
     return r6(df.select(*demo.ROW_ID, *_PAST), *_PAST)
 
 
@@ -68,7 +68,7 @@ def past_flights(spark, sf):
 def past_flights_blocks(spark, sf):
     """The layout for origins that hold a large share of all rows."""
     base = demo.flights(spark, sf).select(*_COLS)
-    df = hx.flight_history(base, demo.ROW_ID, layout="blocks", with_counts=False, at_least=5000)
+    df = hx.flight_history(base, demo.ROW_ID, layout="blocks", with_counts=False, at_least=5000, whole=True)
     return r6(df.select(*demo.ROW_ID, *_PAST), *_PAST)
 
 
@@ -85,7 +85,7 @@ _FILLED = ", ".join(
 )
 def past_flights_filled(spark, sf):
     base = demo.flights(spark, sf).select(*_COLS)
-    df = hx.flight_history(base, demo.ROW_ID, fill="reference", with_counts=False)
+    df = hx.flight_history(base, demo.ROW_ID, fill="reference", with_counts=False, whole=True)
     return r6(df.select(*demo.ROW_ID, *_PAST), *_PAST)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from tarmac.ml import models as md
 from tarmac.ml import search as se
 from tarmac.ml.blocks import pack
 from tarmac.ml.boosting import HistBoost, fit_side_by_side
+from tarmac.ml.forest import ForestPlan, fit_forest
+from tarmac.ml.store import RunStore
 from tarmac.operators import encoding as en
 from tarmac.operators import sampling as sp
 from tarmac.plans.storage import keep_rounds, materialize, stage_path
@@ -137,6 +141,23 @@ _forest("rf_clf", "DepDel15", "clf")
 _forest("rf_reg", "DepDelayMinutes", "reg")
 
 
+def _deep_forest(query_name: str, target: str, kind: str):
+    @query(query_name)
+    def forest(spark, sf):
+        """A hundred trees grown to purity: test metrics and importances."""
+        train, test = split(spark, sf)
+        model = fit_forest(md.assemble(train, FEATURES, target), ForestPlan(kind))
+        preds = md.predictions(model, md.assemble(test, FEATURES, target), query_name)
+        metrics = ev.clf_metrics(preds) if kind == "clf" else ev.reg_metrics(preds)
+        long = [F.struct(F.lit("metric").alias("part"), F.lit(c).alias("name"), F.col(c).alias("value")) for c in metrics.columns[1:]]
+        weights = [F.struct(F.lit("importance").alias("part"), F.lit(f).alias("name"), F.lit(float(w)).alias("value")) for f, w in zip(FEATURES, model.importances)]
+        return r6(metrics.select(F.explode(F.array(*long, *weights)).alias("x")).select("x.*"), "value")
+
+
+_deep_forest("rf_clf_deep", "DepDel15", "clf")
+_deep_forest("rf_reg_deep", "DepDelayMinutes", "reg")
+
+
 @query("gbt_log_target")
 def gbt_log_target(spark, sf):
     """Boosted trees on the plain and on the log1p target, both measured in minutes."""
@@ -188,7 +209,7 @@ def _mean_scores(folded, features, targets, folds=5):
 
 
 _FOLDED = f"""
-WITH f AS (SELECT *, AirTime + ok * 13 % 160 AS x, (row_number() OVER (ORDER BY md5(concat_ws('|', '42', {', '.join(f'CAST({c} AS VARCHAR)' for c in IDS)}))) - 1) % 5 AS fold
+WITH f AS (SELECT *, AirTime + ok * 13 % 160 AS x, ((row_number() OVER (ORDER BY md5(concat_ws('|', '42', {', '.join(f'CAST({c} AS VARCHAR)' for c in IDS)}))) - 1) * 5) // count(*) OVER () AS fold
   FROM flights WHERE DepDel15 IS NOT NULL)"""
 
 
@@ -251,14 +272,90 @@ def model_roundtrip(spark, sf):
     return r6(again.transform(a).select(*IDS, "saved", F.col("prediction").alias("loaded")), "saved", "loaded")
 
 
+def _importances(spark, sf, names):
+    """Importances of trained models, five repeats, on a tenth of the test rows (balanced by class for classifiers)."""
+    train, test = split(spark, sf)
+    for name in names:
+        spec = md.MODELS[name]
+        model, features = md.train_model(name, train, IDS)
+        sample = sp.stratified_sample(test, 0.1, IDS, ["DepDel15"] if spec.kind == "clf" else [])
+        data = md.assemble(materialize(sample, "sample"), features, spec.target, IDS)
+        yield ev.permutation_importance(model, name, data, features, spec.kind, IDS)
+
+
 @query("permutation_importance")
 def permutation_importance(spark, sf):
-    """Two models, five repeats, on a tenth of the test rows balanced by class."""
+    return r6(ev.importance_table(list(_importances(spark, sf, ("log_reg", "sgd_clf")))), "log_reg", "sgd_clf", "mean_importance")
+
+
+@query("permutation_importance_reg")
+def permutation_importance_reg(spark, sf):
+    return r6(ev.importance_table(list(_importances(spark, sf, ("lin_reg", "hgb_reg")))), "lin_reg", "hgb_reg", "mean_importance")
+
+
+@query("importance_top5")
+def importance_top5(spark, sf):
+    """The five most important features of each regressor, side by side."""
+    a, b = _importances(spark, sf, ("lin_reg", "hgb_reg"))
+    return ev.top_features(materialize(a.unionByName(b), "importances"))
+
+
+@query(
+    "importance_single",
+    f"""
+WITH f AS (SELECT *, AirTime + ok * 13 % 160 AS x, md5(concat_ws('|', '42', {', '.join(f'CAST({c} AS VARCHAR)' for c in IDS)})) AS h FROM flights WHERE DepDel15 IS NOT NULL),
+p AS (SELECT *, row_number() OVER (ORDER BY h) <= ceil(count(*) OVER () * 0.2::DOUBLE) AS is_test FROM f),
+m AS (SELECT regr_slope(DepDelayMinutes, x) AS b, regr_intercept(DepDelayMinutes, x) AS a FROM p WHERE NOT is_test),
+t AS (SELECT x, DepDelayMinutes AS y, row_number() OVER (ORDER BY h) - 1 AS i, count(*) OVER () AS n FROM p WHERE is_test),
+s AS (SELECT r, 1 + floor((r + 0.5::DOUBLE) * ((SELECT max(n) FROM t) - 1) / 5)::BIGINT AS shift FROM range(5) q(r)),
+d AS (SELECT r, t.y, t.x, o.x AS xd FROM s, t JOIN t o ON o.i = (t.i + shift) % t.n),
+e AS (SELECT r, 1 - sum((y - a - b * x) ** 2) / (count(*) * var_pop(y)) AS whole, 1 - sum((y - a - b * xd) ** 2) / (count(*) * var_pop(y)) AS mixed FROM d, m GROUP BY r)
+SELECT 'lin_reg' AS model, 'ElapsedTime' AS feature, {R('avg(whole - mixed)', 'importance')} FROM e""",
+)
+def importance_single(spark, sf):
+    """Importance of the only feature of a line, on all test rows."""
     train, test = split(spark, sf)
-    parts = []
-    for name in ("log_reg", "sgd_clf"):
-        model, features = md.train_model(name, train, IDS)
-        sample = materialize(sp.stratified_sample(test, 0.1, IDS, ["DepDel15"]), "sample")
-        data = md.assemble(sample, features, "DepDel15", IDS)
-        parts.append(ev.permutation_importance(model, name, data, features, "clf", IDS))
-    return r6(ev.importance_table(parts), "log_reg", "sgd_clf", "mean_importance")
+    model = md.make_estimator("lin_reg", {}).fit(md.assemble(train, ["ElapsedTime"], "DepDelayMinutes"))
+    data = md.assemble(test, ["ElapsedTime"], "DepDelayMinutes", IDS)
+    return r6(ev.permutation_importance(model, "lin_reg", data, ["ElapsedTime"], "reg", IDS), "importance")
+
+
+@query("run_store")
+def run_store(spark, sf):
+    """All eight models with base and with tuned parameters: saved, read again, and their test metrics side by side.
+
+    ``changed`` counts test rows that the read model predicts otherwise than the fitted one.
+    """
+    train, test = split(spark, sf)
+    wanted = [(name, base) for name in md.MODELS for base in (True, False)]
+    store, out = RunStore(spark, stage_path(spark, "runs")), None
+    for (name, base), (model, features) in md.train_models(train, IDS, wanted).items():
+        spec, mode = md.MODELS[name], "base" if base else "tuned"
+        data = md.assemble(test, features, spec.target)
+        preds = materialize(md.predictions(model, data, name), "predictions")
+        metrics = ev.reg_metrics(preds) if spec.kind == "reg" else ev.clf_metrics(preds)
+        store.save(name, mode, model, metrics, md.model_params(name, base))
+        again = md.predictions(store.model(name, mode), data, name)
+        counted = preds.groupBy("label", "prediction").agg(F.count("*").alias("a"))
+        changed = counted.join(again.groupBy("label", "prediction").agg(F.count("*").alias("b")), ["label", "prediction"], "full").where("not a <=> b").count()
+        saved = store.scores(name, mode)
+        entries = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in saved.columns if c != "model"])
+        part = saved.select("model", F.lit(mode).alias("mode"), F.lit(json.dumps(store.params(name, mode), sort_keys=True)).alias("params"), F.lit(changed).alias("changed"), F.explode(entries).alias("x"))
+        part = part.select("model", "mode", "params", "changed", "x.*")
+        out = part if out is None else out.unionByName(part)
+    return r6(out, "value")
+
+
+@query("search_store")
+def search_store(spark, sf):
+    """A search whose table and best parameters are saved and read again, with the metrics of the model fitted with them."""
+    train, test = split(spark, sf)
+    found = materialize(se.random_search("sgd_clf", train, IDS), "search-table")
+    best = json.loads(se.best_params(found))
+    model, features = md.train_model("sgd_clf", train, IDS, overrides=best)
+    store = RunStore(spark, stage_path(spark, "runs"))
+    store.save("sgd_clf", "search", model, found, best)
+    metrics = ev.clf_metrics(md.predictions(store.model("sgd_clf", "search"), md.assemble(test, features, "DepDel15"), "sgd_clf"))
+    table = store.scores("sgd_clf", "search").agg(F.count("*").alias("sets"), F.max("mean_score").alias("best_score"))
+    out = metrics.crossJoin(F.broadcast(table)).withColumn("params", F.lit(json.dumps(store.params("sgd_clf", "search"), sort_keys=True)))
+    return r6(out, "accuracy", "precision", "recall", "f1", "best_score")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tarmac.catalog.base import VIEWS, R, daily_sql, query, r6, rolling_sql, side_columns
 from tarmac.operators import encoding as en
 from tarmac.operators import sampling as sp
+from tarmac.operators import stats as st
 from tarmac.plans import training_table as tt
 from tarmac.sources import demo
 
@@ -82,13 +83,13 @@ def stratified_sample(spark, sf):
     return sp.stratified_sample(df, 0.1, IDS, ["DepDel15"])
 
 
-@query("kfold_assign", f"SELECT {ID}, DepDel15, CAST(({_rank('DepDel15')} - 1) % 5 AS INT) AS fold FROM flights WHERE DepDel15 IS NOT NULL")
+@query("kfold_assign", f"SELECT {ID}, DepDel15, CAST((({_rank('DepDel15')} - 1) * 5) // count(*) OVER (PARTITION BY DepDel15) AS INT) AS fold FROM flights WHERE DepDel15 IS NOT NULL")
 def kfold_assign(spark, sf):
     df = demo.flights(spark, sf).select(*IDS, "DepDel15").filter("DepDel15 IS NOT NULL")
     return sp.kfold_assign(df, 5, IDS, ["DepDel15"])
 
 
-@query("kfold_plain", f"SELECT {ID}, CAST(({_rank()} - 1) % 5 AS INT) AS fold FROM flights")
+@query("kfold_plain", f"SELECT {ID}, CAST((({_rank()} - 1) * 5) // count(*) OVER () AS INT) AS fold FROM flights")
 def kfold_plain(spark, sf):
     return sp.kfold_assign(demo.flights(spark, sf).select(*IDS), 5, IDS)
 
@@ -97,7 +98,7 @@ _ENC = ["Airline", "Origin", "Dest"]
 _PARTS = f"""
 base AS (SELECT {ID}, Airline, Origin, Dest, DepDel15 AS y FROM flights WHERE DepDel15 IS NOT NULL),
 marked AS (SELECT *, {_rank()} <= ceil(count(*) OVER () * 0.2::DOUBLE) AS is_test FROM base),
-train AS (SELECT *, ({_rank('y')} - 1) % 5 AS fold FROM marked WHERE NOT is_test),
+train AS (SELECT *, (({_rank('y')} - 1) * 5) // count(*) OVER (PARTITION BY y) AS fold FROM marked WHERE NOT is_test),
 test AS (SELECT * FROM marked WHERE is_test)"""
 
 
@@ -209,6 +210,25 @@ def plot_sample(spark, sf):
     return sp.bounded_sample(df, 500, IDS)
 
 
+@query(
+    "scatter_cells",
+    """
+WITH v AS (SELECT DepDelay::DOUBLE AS y, Distance::DOUBLE AS x FROM flights),
+k AS (SELECT * FROM v WHERE x IS NOT NULL AND y IS NOT NULL),
+b AS (SELECT min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy, greatest(1, count(*) // 1000) AS lim FROM k),
+p AS (SELECT least(floor((x - lx) / (hx - lx) * 4096.0::DOUBLE), 4095)::BIGINT AS cx, least(floor((y - ly) / (hy - ly) * 4096.0::DOUBLE), 4095)::BIGINT AS cy FROM k, b),
+c AS (SELECT level::INTEGER AS level, cx >> (12 - level) AS cx, cy >> (12 - level) AS cy, count(*) AS n FROM p, range(13) l(level) GROUP BY ALL),
+e AS (SELECT c.* FROM c LEFT JOIN c u ON u.level = c.level - 1 AND u.cx = c.cx >> 1 AND u.cy = c.cy >> 1, b
+  WHERE (c.n <= lim OR c.level = 12) AND (u.n > lim OR c.level = 0))
+SELECT level, cx, cy, lx + (hx - lx) * cx / 2.0::DOUBLE ** level AS x_low, lx + (hx - lx) * (cx + 1) / 2.0::DOUBLE ** level AS x_high,
+  ly + (hy - ly) * cy / 2.0::DOUBLE ** level AS y_low, ly + (hy - ly) * (cy + 1) / 2.0::DOUBLE ** level AS y_high, n FROM e, b
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, n FROM (SELECT count(*) AS n FROM v WHERE x IS NULL OR y IS NULL) WHERE n > 0""",
+)
+def scatter_cells(spark, sf):
+    """Delay against distance of all rows, as counts of nested cells."""
+    return st.scatter_cells(demo.flights(spark, sf).select("DepDelay", "Distance"), "Distance", "DepDelay")
+
+
 def _final(spark, sf):
     flights = demo.flights(spark, sf).select(
         *IDS, "FlightDate", F.month("CalendarDate").alias("Month"), (F.weekday("CalendarDate") + 1).alias("DayOfWeek"),
@@ -261,7 +281,7 @@ complete AS (SELECT *, CASE WHEN Weekend_Indicator = 1 OR Holiday_Indicator = 1
 scaled AS (SELECT {ID}, Airline, Origin, Dest, AirTimeCategory, DistanceCategory, DepDelayMinutes, DepDel15 AS y, {', '.join(tt.FLAGS + _FINAL_CYCLES)},
   {', '.join(f"({c} - avg({c}) OVER ()) / (CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END) AS {c}" for c in _FINAL_SCALED)},
   {_rank()} <= ceil(count(*) OVER () * 0.2::DOUBLE) AS is_test FROM complete),
-train AS (SELECT *, ({_rank('y')} - 1) % 5 AS fold FROM scaled WHERE NOT is_test),
+train AS (SELECT *, (({_rank('y')} - 1) * 5) // count(*) OVER (PARTITION BY y) AS fold FROM scaled WHERE NOT is_test),
 test AS (SELECT * FROM scaled WHERE is_test)"""
 _FINAL_KEEP = f"DepDelayMinutes, y AS DepDel15, {', '.join(tt.FLAGS)}, " + ", ".join(R(f"t.{c}", c, 4) for c in _FINAL_CYCLES + _FINAL_SCALED)
 

@@ -87,8 +87,9 @@ r AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER (PAR
 @query(
     "roc_curve",
     f"""
-WITH {_RUN}
-SELECT model, score, {R('fp / all_neg::DOUBLE', 'fpr')}, {R('tp / all_pos::DOUBLE', 'tpr')} FROM r
+WITH {_RUN},
+k AS (SELECT *, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg, row_number() OVER w AS i FROM r WINDOW w AS (PARTITION BY model ORDER BY score DESC))
+SELECT model, score, {R('fp / all_neg::DOUBLE', 'fpr')}, {R('tp / all_pos::DOUBLE', 'tpr')} FROM k WHERE i = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
 UNION ALL SELECT DISTINCT model, NULL::DOUBLE, 0::DOUBLE, 0::DOUBLE FROM preds""",
 )
 def roc_curve(spark, sf):

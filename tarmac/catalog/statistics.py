@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tarmac.catalog.base import R, query, r6
 from tarmac.functions import bands
 from tarmac.operators import stats as st
+from tarmac.operators.trend import lowess
 from tarmac.sources import demo
 
 _CORR = ["DepDelayMinutes", "ArrDelayMinutes", "Distance", "AirTime"]
@@ -173,6 +174,12 @@ def local_trend(spark, sf):
     return r6(r6(st.local_trend(demo.flights(spark, sf), "Distance", "DepDelay"), "x"), "trend", digits=5)
 
 
+@query("lowess_trend")
+def lowess_trend(spark, sf):
+    """Robust local regression of the delay on the distance at places of equal row counts."""
+    return r6(lowess(demo.flights(spark, sf), "Distance", "DepDelay"), "trend")
+
+
 @query(
     "top_correlations",
     "WITH c AS (" + "\nUNION ALL ".join(_spearman_sql(f) for f in _FEAT) + f") SELECT feature, {R('abs(r)', 'abs_r')} FROM c ORDER BY abs(r) DESC LIMIT 2",

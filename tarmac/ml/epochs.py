@@ -381,10 +381,19 @@ class EpochEstimator(Estimator, _EpochParams, DefaultParamsReadable, DefaultPara
         return SgdPlan(get("kind"), get("loss"), get("alpha"), get("l1Ratio"), get("schedule"), get("eta0"), power, get("maxIter"), seed=get("seed"), **more)
 
     def _fit(self, dataset: DataFrame) -> GradientModel:
-        rows, columns = vector_columns(dataset, self.getOrDefault("featuresCol"), [self.getOrDefault("labelCol")])
-        packed = pack(rows, columns, [self.getOrDefault("labelCol")], seed=self.getOrDefault("seed"))
-        try:
-            ((flat, _),) = learn(packed, [self.plan()])
-        finally:
-            packed.free()
-        return self._copyValues(GradientModel(weights=[float(v) for v in flat], sizes=[len(columns), *self.getOrDefault("hidden"), 1], shift=0.0, scale=1.0))
+        return fit_together([self], dataset, [self.getOrDefault("labelCol")])[0]
+
+
+def fit_together(estimators: list[EpochEstimator], dataset: DataFrame, labels: list[str]) -> list[GradientModel]:
+    """Models of all estimators, trained in common passes; estimator i learns ``labels[i]``."""
+    names = sorted(set(labels))
+    rows, columns = vector_columns(dataset, estimators[0].getOrDefault("featuresCol"), names)
+    packed = pack(rows, columns, names, seed=estimators[0].getOrDefault("seed"))
+    try:
+        found = learn(packed, [e.plan(label=names.index(y)) for e, y in zip(estimators, labels, strict=True)])
+    finally:
+        packed.free()
+    return [
+        e._copyValues(GradientModel(weights=[float(v) for v in flat], sizes=[len(columns), *e.getOrDefault("hidden"), 1], shift=0.0, scale=1.0))
+        for e, (flat, _) in zip(estimators, found)
+    ]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tarmac.operators.explore import top_per_group
 from tarmac.operators.sampling import hash_key
 from tarmac.plans.lookup import one_row
-from tarmac.plans.ordering import global_index, running_totals
+from tarmac.plans.ordering import block_rows, global_index, totals_along, with_halo
 from tarmac.plans.storage import materialize
 
 
@@ -65,19 +65,32 @@ def class_report(preds: DataFrame) -> DataFrame:
     return out.unionByName(weighted.withColumn("cls", F.lit("weighted avg")))
 
 
-def _score_counts(preds: DataFrame) -> DataFrame:
-    """Rows of both classes at or above each distinct score, and the class totals, per model."""
+def _score_counts(preds: DataFrame, corners: bool = False) -> DataFrame:
+    """Rows of both classes at or above each distinct score, and the class totals, per model; with ``corners`` also ``_turns``:
+    whether the next smaller score adds other numbers of both classes than this one, or there is none."""
     counts = preds.groupBy("model", "score").agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
     counts = materialize(counts, "score-counts")
-    run = running_totals(counts, [F.col("score").desc()], {"tp": "pos", "fp": "neg"}, ["model"])
+    indexed = global_index(counts, [F.col("model").asc_nulls_last(), F.col("score").desc()])
+    if corners:
+        # the next row of a block's last one stands in the block after it: a halo along the order from the end
+        indexed = materialize(indexed.withColumn("_back", F.lit(counts.count() - 1) - F.col("gidx")), "score-places")
+        length = block_rows(indexed)
+        following = Window.partitionBy("_block", "model").orderBy("_back")
+        turned = with_halo(indexed, length, 1, "_back").withColumns({c: F.lag(c[3:]).over(following) for c in ("_n_pos", "_n_neg")})
+        turns = ~(F.col("_n_pos").eqNullSafe(F.col("pos")) & F.col("_n_neg").eqNullSafe(F.col("neg")))
+        indexed = turned.where("_own").select("model", "score", "pos", "neg", "gidx", turns.alias("_turns"))
+    run = totals_along(indexed, {"tp": "pos", "fp": "neg"}, ["model"])
     totals = counts.groupBy("model").agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
     return run.join(F.broadcast(totals), "model")
 
 
-def roc_curve(preds: DataFrame) -> DataFrame:
-    """One point per distinct score (ties together), from the largest down, and the start (0, 0) with a null score. A rate whose
-    class is absent is null."""
-    pts = _score_counts(preds)
+def roc_curve(preds: DataFrame, corners: bool = True) -> DataFrame:
+    """Points by distinct score (ties together), from the largest down, and the start (0, 0) with a null score. A rate whose
+    class is absent is null. Of points that follow each other in equal steps only the ends are kept, unless ``corners`` is
+    false; the first and last score always have a point, and the area is the same."""
+    pts = _score_counts(preds, corners)
+    if corners:
+        pts = pts.where(F.col("_turns") | ((F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))))
     pts = pts.select("model", "score", (F.col("fp") / F.nullif(F.col("all_neg"), F.lit(0))).alias("fpr"), (F.col("tp") / F.nullif(F.col("all_pos"), F.lit(0))).alias("tpr"))
     start = preds.select("model").distinct().select("model", F.lit(None).cast("double").alias("score"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return start.unionByName(pts)
@@ -116,20 +129,18 @@ def baseline_improvement(preds: DataFrame, train_mean: DataFrame) -> DataFrame:
 def permutation_importance(model: Model, name: str, data: DataFrame, features: list[str], kind: str, ids: list[str], repeats: int = 5, seed: int = 42) -> DataFrame:
     """Mean loss of score (accuracy or R2) when one feature is shuffled, per feature.
 
-    Each repeat pairs every row with a donor row through two hash orders. All features and repeats go through the model
-    as one long table, with one grouped metric.
+    Rows get their places in one hash order. Repeat t gives each row the feature of the row ``shift`` places further on, around
+    the end, with shifts spread evenly over the table; so one sort and one join serve all repeats. All features and repeats go
+    through the model as one long table, with one grouped metric.
     """
-    data = data.select("label", F.col("features"), *ids)
     key = [F.col(c).asc_nulls_last() for c in ids]
-    rows = global_index(data.withColumn("_h", hash_key(ids, seed)), [F.col("_h"), *key], "_row").drop("_h")
-    rows = rows.withColumn("_x", vector_to_array("features")).drop("features")
-    parts = []
-    for t in range(repeats):
-        donors = global_index(data.withColumn("_h", hash_key(ids, seed + 1 + t)), [F.col("_h"), *key], "_row")
-        parts.append(donors.select("_row", vector_to_array("features").alias("_d")).join(rows, "_row").withColumn("repeat", F.lit(t)))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+    rows = data.select("label", vector_to_array("features").alias("_x"), *ids).withColumn("_h", hash_key(ids, seed))
+    rows = global_index(rows, [F.col("_h"), *key], "_row").select("_row", "label", "_x")
+    n = rows.count()
+    shifts = [1 + int((t + 0.5) * (n - 1) / repeats) if n > 1 else 0 for t in range(repeats)]
+    places = F.array(*[F.struct(F.lit(t).alias("repeat"), F.pmod(F.col("_row") - F.lit(s), F.lit(max(n, 1))).alias("_row")) for t, s in enumerate(shifts)])
+    donors = rows.select(F.explode(places).alias("_p"), F.col("_x").alias("_d")).select("_p.repeat", "_p._row", "_d")
+    long = donors.join(rows, "_row")
     # feature -1 is the unchanged row, whose score is the reference point
     which = F.expr(f"sequence(-1, {len(features) - 1})")
     long = long.withColumn("f", F.explode(which))

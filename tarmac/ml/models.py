@@ -12,10 +12,10 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.ml.boosting import HistBoost
-from tarmac.ml.epochs import EpochEstimator
+from tarmac.ml.boosting import HistBoost, fit_side_by_side
+from tarmac.ml.epochs import EpochEstimator, fit_together
 from tarmac.operators.shape import feature_names
-from tarmac.plans.storage import keep_rounds
+from tarmac.plans.storage import keep_rounds, materialize
 
 SEED = 42
 
@@ -177,6 +177,33 @@ def train_model(name: str, train: DataFrame, ids: list[str], base: bool = False,
         data.unpersist()
 
 
+def train_models(train: DataFrame, ids: list[str], wanted: list[tuple[str, bool]]) -> dict[tuple[str, bool], tuple[Model, list[str]]]:
+    """Models by (name, base): those of one family are trained in common passes over the train table."""
+    keep_rounds(train.sparkSession)
+    families: dict[type, list[tuple[str, bool]]] = {}
+    data = materialize(train, "train")
+    rows = data.count()
+    made = {key: make_estimator(key[0], model_params(*key), rows) for key in wanted}
+    for key, estimator in made.items():
+        families.setdefault(type(estimator), []).append(key)
+    out = {}
+    for family, keys in families.items():
+        features = {key: features_of(data.columns, key[0], ids) for key in keys}
+        together = {HistBoost: fit_side_by_side, EpochEstimator: fit_together}.get(family)
+        if together is None:
+            for key in keys:
+                out[key] = made[key].fit(assemble(data, features[key], MODELS[key[0]].target)), features[key]
+            continue
+        # regressors and classifiers learn from the same features, so one table serves both
+        for shared in {tuple(f) for f in features.values()}:
+            own = [key for key in keys if tuple(features[key]) == shared]
+            targets = [MODELS[key[0]].target for key in own]
+            vectors = VectorAssembler(inputCols=list(shared), outputCol="features", handleInvalid="error").transform(data).select("features", *sorted(set(targets)))
+            for key, model in zip(own, together([made[key] for key in own], vectors, targets)):
+                out[key] = model, list(shared)
+    return out
+
+
 def score_column(df: DataFrame) -> DataFrame:
     """Add ``score``: probability of class 1 when the model gives one, else its decision value."""
     if "score" in df.columns:

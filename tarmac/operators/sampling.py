@@ -20,7 +20,6 @@ from tarmac.plans.storage import materialize
 SEED = 42
 # leading hash digits of a threshold, whose bucket is only counted
 _CUT_DIGITS = 3
-HOT_BUCKET = 5_000_000
 
 
 def hash_key(ids: list[str], seed: int = SEED) -> Column:
@@ -40,15 +39,53 @@ def _with_run(hist: DataFrame) -> DataFrame:
     return hist.withColumn("_run", F.sum("_n").over(Window.partitionBy("_cls").orderBy("_bucket")))
 
 
-def _copies_in_order(tagged: DataFrame, keep: list[str], within: list[str]) -> DataFrame:
-    """Collapse equal rows and number them by hash then content: ``_before`` rows precede the ``_copies``."""
-    distinct = tagged.groupBy(*keep, *[c for c in tagged.columns if c not in keep]).agg(F.count("*").alias("_copies"))
-    running = F.sum("_copies").over(Window.partitionBy(*within).orderBy(*_content(keep)).rowsBetween(Window.unboundedPreceding, 0))
-    return distinct.withColumn("_before", running - F.col("_copies"))
+def _content(df: DataFrame, columns: list[str]) -> list[Column]:
+    return [_sortable(df, c).asc_nulls_last() for c in columns]
 
 
-def _content(keep: list[str]) -> list[Column]:
-    return [F.col("_h"), *[F.col(c).asc_nulls_last() for c in keep]]
+def _place_in_run(edge: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that share a threshold hash with their place (``_in_run``) among those of their class and hash, by content.
+
+    They are numbered over range partitions, which also split a hash that many rows share; values stay as they came. Equal rows
+    may take each other's place.
+    """
+    tied = edge.withColumn("_tie", F.monotonically_increasing_id())
+    placed = global_index(tied, [F.col("_cls"), F.col("_h"), *_content(edge, columns), F.col("_tie")], "_at")
+    starts = materialize(placed.groupBy("_cls", "_h").agg(F.min("_at").alias("_start_at")), "run-starts")
+    return lookup_join(placed, starts, ["_cls", "_h"]).withColumn("_in_run", F.col("_at") - F.col("_start_at"))
+
+
+def _cuts(narrow: DataFrame, hist: DataFrame, wanted: DataFrame) -> tuple[DataFrame, bool]:
+    """For each wanted (``_cls``, ``_f``, ``_k``) the hash ``_cut`` of the k-th row of the class; ``_need`` of the rows with that hash
+    belong to the first k, and ``_split`` says whether not all of them do. Also whether the result is small enough to broadcast.
+
+    Counts per leading digits find the bucket in which a quota ends; inside it, counts by more digits, and then by hash.
+    """
+    ends = (F.col("_run") >= F.col("_k")) & (F.col("_run") - F.col("_n") < F.col("_k"))
+    left_over = (F.col("_k") - F.col("_run") + F.col("_n")).alias("_need")
+    bucket = _with_run(hist).join(wanted.select("_cls", "_f", "_k"), "_cls").filter(ends).select("_cls", "_f", "_bucket", left_over)
+    bucket = materialize(bucket, "cut-bucket")
+    # the widest table that is sent holds a 32-letter hash
+    small = fits_broadcast(bucket.withColumn("_cut", F.lit("x" * 32)))
+    finer = F.substring("_h", 1, 2 * _CUT_DIGITS)
+
+    def run(counts: DataFrame, by: str) -> DataFrame:
+        return counts.withColumn("_run", F.sum("_n").over(Window.partitionBy("_cls", "_f").orderBy(by))).filter(ends)
+
+    # a bucket in which several quotas end is counted once for each
+    inside = _in_buckets(narrow, bucket, F.col("_bucket"), small).groupBy("_cls", "_f", finer.alias("_bucket"), F.col("_need").alias("_k"))
+    bucket = materialize(run(inside.agg(F.count("*").alias("_n")), "_bucket").select("_cls", "_f", "_bucket", left_over), "cut-bucket")
+    hashes = _in_buckets(narrow, bucket, finer, small).groupBy("_cls", "_f", "_h", F.col("_need").alias("_k")).agg(F.count("*").alias("_n"))
+    cut = run(hashes, "_h").select("_cls", "_f", F.col("_h").alias("_cut"), left_over, (F.col("_run") != F.col("_k")).alias("_split"))
+    return materialize(cut, "cut"), small
+
+
+def _in_buckets(narrow: DataFrame, bucket: DataFrame, key: Column, small: bool) -> DataFrame:
+    """Narrow rows whose class and leading digits are in ``bucket``, once for each quota that ends there."""
+    side = bucket.groupBy("_cls", F.col("_bucket").alias("_b")).agg(F.collect_list(F.struct("_f", "_need")).alias("_q"))
+    side = F.broadcast(side) if small else side
+    met = narrow.select("_cls", "_h", key.alias("_b")).join(side, ["_cls", "_b"])
+    return met.select("_cls", "_h", F.explode("_q").alias("_x")).select("_cls", "_h", "_x._f", "_x._need")
 
 
 def mark_exact(
@@ -71,30 +108,14 @@ def mark_exact(
     narrow = materialize(tagged.select("_cls", "_bucket", "_h"), "hashes")
     hist = materialize(narrow.groupBy("_cls", "_bucket").agg(F.count("*").alias("_n")), "buckets")
     sizes = hist.groupBy("_cls").agg(F.sum("_n").alias("_size")).select(*[F.col("_cls")[c].alias(c) for c in per], "_cls", "_size")
-    ends = (F.col("_run") >= F.col("_k")) & (F.col("_run") - F.col("_n") < F.col("_k"))
-    left_over = (F.col("_k") - F.col("_run") + F.col("_n")).alias("_need")
-    bucket = _with_run(hist).join(quota(sizes).select("_cls", "_k"), "_cls").filter(ends).select("_cls", "_bucket", left_over)
-    bucket = materialize(bucket, "cut-bucket")
-    small = fits_broadcast(bucket)
-    # the same again inside that bucket, so that only about one row in 16 million of a class is ranked
-    finer = F.substring("_h", 1, 2 * _CUT_DIGITS).alias("_bucket")
-    inside = lookup_join(narrow, bucket, ["_cls", "_bucket"], "inner", small=small).groupBy("_cls", finer, F.col("_need").alias("_k"))
-    bucket = _with_run(inside.agg(F.count("*").alias("_n"))).filter(ends).select("_cls", "_bucket", left_over)
-    bucket = materialize(bucket, "cut-bucket")
-    hashes = lookup_join(narrow.select("_cls", finer, "_h"), bucket, ["_cls", "_bucket"], "inner", small=small).groupBy("_cls", "_h", F.col("_need").alias("_k"))
-    by_hash = Window.partitionBy("_cls").orderBy("_h")
-    hashes = hashes.agg(F.count("*").alias("_n")).withColumn("_run", F.sum("_n").over(by_hash)).filter(ends)
-    cut = hashes.select("_cls", F.col("_h").alias("_cut"), left_over, (F.col("_run") != F.col("_k")).alias("_split"))
-    cut = materialize(cut, "cut")
+    cut, small = _cuts(narrow, hist, quota(sizes).select("_cls", F.lit(0).alias("_f"), "_k"))
 
-    joined = lookup_join(tagged.drop("_bucket"), cut, ["_cls"], small=small)
+    joined = lookup_join(tagged.drop("_bucket"), cut.drop("_f"), ["_cls"], small=small)
     sure = joined.withColumn(flag, F.coalesce(F.col("_h") <= F.col("_cut"), F.lit(False)))
     if not cut.filter("_split").limit(1).count():
         return sure.select(*df.columns, flag)
     on_edge = F.coalesce(F.col("_split") & (F.col("_h") == F.col("_cut")), F.lit(False))
-    edge = _copies_in_order(joined.filter(on_edge), df.columns, ["_cls"])
-    edge = edge.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    edge = edge.withColumn(flag, F.col("_before") + F.col("_i") <= F.col("_need"))
+    edge = _place_in_run(joined.filter(on_edge), df.columns).withColumn(flag, F.col("_in_run") < F.col("_need"))
     return sure.filter(~on_edge).select(*df.columns, flag).unionByName(edge.select(*df.columns, flag))
 
 
@@ -158,20 +179,30 @@ def kfold_assign(
     per: list[str] | None = None,
     seed: int = SEED,
     name: str = "fold",
-    hot_rows: int = HOT_BUCKET,
 ) -> DataFrame:
-    """Fold 0..k-1 of each row by its hash rank (within its class): fold sizes differ by one at most.
+    """Fold 0..k-1 of each row: the r-th row (from 0) of a class of n rows, in hash order, is in fold r k div n. Fold sizes
+    differ by one at most.
 
-    Rows are numbered by class, hash and content over range partitions, which split a hash that many rows share; every value
-    is returned as it came. ``hot_rows`` is accepted for callers that name it, without effect.
+    The hashes at which the folds of each class begin are found as in ``mark_exact``, all in the same passes; the table is then
+    flagged where it is, without an exchange. Only rows that share such a hash with rows of another fold are ordered by content.
     """
-    tagged = df.withColumns({"_cls": class_key(per or []), "_h": hash_key(ids, seed), "_tie": F.monotonically_increasing_id()})
-    # equal rows may take each other's place, so the tie only spreads them
-    order = [F.col("_cls"), F.col("_h"), *[_sortable(df, c).asc_nulls_last() for c in df.columns], F.col("_tie")]
-    ranked = global_index(tagged, order, "_rank")
-    starts = ranked.groupBy("_cls").agg(F.min("_rank").alias("_start"))
-    ranked = lookup_join(ranked, starts, ["_cls"])
-    return ranked.select(*df.columns, ((F.col("_rank") - F.col("_start")) % k).cast("int").alias(name))
+    tagged = _tag(df, ids, per or [], seed)
+    narrow = materialize(tagged.select("_cls", "_bucket", "_h"), "hashes")
+    hist = materialize(narrow.groupBy("_cls", "_bucket").agg(F.count("*").alias("_n")), "buckets")
+    sizes = hist.groupBy("_cls").agg(F.sum("_n").alias("_size"))
+    begins = sizes.select("_cls", "_size", F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("_f")) if k > 1 else sizes.withColumn("_f", F.lit(0)).limit(0)
+    cut, small = _cuts(narrow, hist, begins.select("_cls", "_f", F.expr(f"(_f * _size + {k - 1}) div {k}").alias("_k")))
+    per_class = materialize(cut.groupBy("_cls").agg(F.collect_list(F.struct("_cut", "_need", "_split")).alias("_cuts")), "fold-cuts")  # k - 1 entries a class
+    joined = lookup_join(tagged.drop("_bucket"), per_class, ["_cls"], small=small)
+    cuts = F.coalesce(F.col("_cuts"), F.array().cast(per_class.schema["_cuts"].dataType))
+    after = F.size(F.filter(cuts, lambda c: F.col("_h") > c["_cut"]))
+    if not cut.filter("_split").limit(1).count():
+        return joined.select(*df.columns, after.cast("int").alias(name))
+    on_edge = F.exists(cuts, lambda c: c["_split"] & (F.col("_h") == c["_cut"]))
+    sure = joined.filter(~on_edge).select(*df.columns, after.cast("int").alias(name))
+    edge = _place_in_run(joined.filter(on_edge), df.columns)
+    within = F.size(F.filter(cuts, lambda c: (F.col("_h") > c["_cut"]) | ((F.col("_h") == c["_cut"]) & (F.col("_in_run") >= c["_need"]))))
+    return sure.unionByName(edge.select(*df.columns, within.cast("int").alias(name)))
 
 
 def _sortable(df: DataFrame, name: str) -> Column:
@@ -181,7 +212,7 @@ def _sortable(df: DataFrame, name: str) -> Column:
 
 def shuffle_position(df: DataFrame, ids: list[str], seed: int = SEED, name: str = "position") -> DataFrame:
     """Position of each row in the shuffled order."""
-    order = [F.col("_h"), *[F.col(c).asc_nulls_last() for c in df.columns]]
+    order = [F.col("_h"), *_content(df, df.columns)]
     return global_index(df.withColumn("_h", hash_key(ids, seed)), order, name).drop("_h")
 
 

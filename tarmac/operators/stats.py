@@ -215,3 +215,55 @@ def local_trend(df: DataFrame, x: str, y: str, grid: int = 50, bins: int = 200,
     flat = W * XX - X * X
     slope = F.when(F.abs(flat) > 1e-9 * W * XX, (W * XY - X * Y) / F.nullif(flat, F.lit(0.0))).otherwise(0.0)
     return s.select("point", "x", ((Y - slope * X) / W + slope * F.col("x")).alias("trend"))
+
+
+def scatter_cells(df: DataFrame, x: str, y: str, cells: int = 1000, depth: int = 12, at_once: int = 4) -> DataFrame:
+    """Counts of all rows in nested square cells: a cell with more than 1 / ``cells`` of the rows is cut in four, down to ``depth``
+    cuts. Columns level, cx, cy (place at that level), x_low, x_high, y_low, y_high and n.
+
+    Rows without x or y are counted under null cells, so the counts add up to the table. Each pass reads only rows of cells that
+    are still too full, of which there are never more than ``cells``, and cuts ``at_once`` times.
+    """
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    known = a.isNotNull() & b.isNotNull() & ~F.isnan(a) & ~F.isnan(b)
+    lo_x, hi_x, lo_y, hi_y, n, total = df.agg(*[f(F.when(known, c)) for c in (a, b) for f in (F.min, F.max)], F.count_if(known), F.count("*")).first()
+    spark, schema = df.sparkSession, "level int, cx long, cy long, n long"
+    missing = spark.createDataFrame([(None, None, None, total - n)] if total > n else [], schema)
+    if not n:
+        found = missing
+    else:
+        limit, side = max(1, n // cells), 1 << depth
+
+        def place(value: Column, low: float, high: float) -> Column:
+            return F.least(F.floor((value - F.lit(low)) / F.lit(high - low) * F.lit(float(side))), F.lit(side - 1)).cast("long") if high > low else F.lit(0).cast("long")
+
+        places = df.where(known).select(place(a, lo_x, hi_x).alias("cx"), place(b, lo_y, hi_y).alias("cy"))
+        parts, level = [missing], 0
+        full = spark.createDataFrame([(0, 0)] if n > limit else [], "px long, py long")
+        if n <= limit:
+            parts.append(spark.createDataFrame([(0, 0, 0, n)], schema))
+        while level < depth and not full.isEmpty():
+            last = min(depth, level + at_once)
+            up, down = depth - level, depth - last
+            inside = places.withColumns({"px": F.shiftright("cx", up), "py": F.shiftright("cy", up)}).join(F.broadcast(full), ["px", "py"], "left_semi")
+            counts = materialize(inside.groupBy(F.shiftright("cx", down).alias("cx"), F.shiftright("cy", down).alias("cy")).agg(F.count("*").alias("n")), "cells")
+            for cut in range(level + 1, last + 1):
+                rise = last - cut
+                own = counts.groupBy(F.shiftright("cx", rise).alias("cx"), F.shiftright("cy", rise).alias("cy")).agg(F.sum("n").alias("n"))
+                own = own.withColumns({"px": F.shiftright("cx", 1), "py": F.shiftright("cy", 1)}).join(F.broadcast(full), ["px", "py"], "left_semi")
+                own = materialize(own.select(F.lit(cut).alias("level"), "cx", "cy", "n"), "cells")
+                ends = F.lit(True) if cut == depth else F.col("n") <= limit
+                parts.append(own.where(ends))
+                full = own.where(~ends).select(F.col("cx").alias("px"), F.col("cy").alias("py"))
+            level = last
+        found = parts[0]
+        for part in parts[1:]:
+            found = found.unionByName(part)
+
+    def edge(low: float | None, high: float | None, at: Column) -> Column:
+        return F.lit(low).cast("double") + F.lit((high or 0.0) - (low or 0.0)) * at / F.pow(F.lit(2.0), F.col("level"))
+
+    return found.select(
+        "level", "cx", "cy", edge(lo_x, hi_x, F.col("cx")).alias("x_low"), edge(lo_x, hi_x, F.col("cx") + 1).alias("x_high"),
+        edge(lo_y, hi_y, F.col("cy")).alias("y_low"), edge(lo_y, hi_y, F.col("cy") + 1).alias("y_high"), "n",
+    )

@@ -69,6 +69,11 @@ def running_totals(
     """Inclusive running sums ``{new: source}`` along ``group`` then ``order``, restarting per group."""
     group = group or []
     indexed = global_index(df, [F.col(g).asc_nulls_last() for g in group] + order)
+    return totals_along(indexed, sums, group, at_least).select(*df.columns, *sums)
+
+
+def totals_along(indexed: DataFrame, sums: dict[str, str], group: list[str], at_least: int = MIN_BLOCK) -> DataFrame:
+    """The same for rows whose position ``gidx`` (by group first) is known."""
     blocked = with_blocks(indexed, block_rows(indexed, at_least))
     inside = Window.partitionBy("_block", *group).orderBy("gidx").rowsBetween(Window.unboundedPreceding, 0)
     local = blocked.select("*", *[F.sum(c).over(inside).alias(n) for n, c in sums.items()])
@@ -87,7 +92,7 @@ def running_totals(
         cond = cond & F.col(g).eqNullSafe(F.col(f"_c_{g}"))
     out = local.join(carry, cond)
     out = out.withColumns({n: F.col(n) + F.col(f"_o_{n}") for n in sums})
-    return out.select(*df.columns, *sums)
+    return out.select(*indexed.columns, *sums)
 
 
 def fill_along(indexed: DataFrame, cols: list[str], at_least: int = MIN_BLOCK, name: str = "gidx") -> DataFrame:

@@ -31,6 +31,7 @@ def with_history(flights: DataFrame, daily: DataFrame, tie_break: list[str], bou
     Same result as ``merge_weather``, ``merge_rolling_weather``, ``merge_rolling_delay`` and ``flight_history`` in a row,
     without carrying the weather columns through the sort: all flights of an airport and day share one weather row, so
     the daily tables come from one narrow aggregation over both sides, and flights meet the finished daily tables last.
+    Delays are whole minutes, so trailing means come from exact running sums.
     """
     stations = daily.select(F.col("STATION").alias("_airport"), F.col("DATE").alias("FlightDate"), F.lit(True).alias("_has"))
     small = fits_broadcast(stations)
@@ -49,7 +50,7 @@ def with_history(flights: DataFrame, daily: DataFrame, tie_break: list[str], bou
     days = materialize(days, "days")
     busiest = days.filter("side = 'Origin'").groupBy("airport").agg(F.sum("_n").alias("n")).agg(F.max("n")).first()[0] or 0
     layout = "blocks" if busiest > history.HOT_ROWS else "keyed"
-    out = history.flight_history(kept, tie_break, fill=fill, layout=layout)
+    out = history.flight_history(kept, tie_break, fill=fill, layout=layout, whole=True)
     for side in ("Origin", "Dest"):
         today = daily.select(
             F.col("STATION").alias(side), F.col("DATE").alias("FlightDate"), *[F.col(e).alias(f"{side}_{e}") for e in ELEMENTS]

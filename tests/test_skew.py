@@ -68,13 +68,22 @@ def test_exact_size_with_equal_rows(spark, skewed, k):
     assert rows(out.drop("picked")) == rows(skewed)
 
 
-@pytest.mark.parametrize("hot", [10, 10_000_000])
-def test_folds_are_even(spark, skewed, hot):
-    out = sp.kfold_assign(skewed, 5, ["id"], ["y"], hot_rows=hot)
+def test_folds_are_even(spark, skewed):
+    out = sp.kfold_assign(skewed, 5, ["id"], ["y"])
     for r in out.groupBy("y").agg(*[F.count_if(F.col("fold") == f).alias(str(f)) for f in range(5)]).collect():
         sizes = list(r)[1:]
         assert max(sizes) - min(sizes) <= 1
-    assert rows(out) == rows(sp.kfold_assign(skewed, 5, ["id"], ["y"]))
+    assert rows(out) == rows(sp.kfold_assign(skewed.repartition(3), 5, ["id"], ["y"]))
+
+
+@pytest.mark.parametrize("k", [1, 2, 3, 7, 50])
+def test_folds_are_parts_of_the_hash_order(spark, k):
+    df = spark.range(40).select((F.col("id") % 23).alias("id"), F.when(F.col("id") < 30, "a").when(F.col("id") < 37, None).otherwise("b").alias("g"), F.col("id").alias("v"))
+    out = sp.kfold_assign(df, k, ["id"], ["g"]).withColumn("h", sp.hash_key(["id"])).collect()
+    for g in ("a", None, "b"):
+        own = sorted((r["h"], r["v"], r["fold"]) for r in out if r["g"] == g)
+        assert [f for _, _, f in own] == [i * k // len(own) for i in range(len(own))]
+    assert "Exchange rangepartitioning" not in sp.kfold_assign(spark.range(1000), 5, ["id"])._jdf.queryExecution().executedPlan().toString()
 
 
 def test_split_is_disjoint_complete_and_stable(spark, skewed):
@@ -134,7 +143,7 @@ def test_nearest_against_all_pairs(spark, metric):
 
 def test_folds_leave_values_of_a_hot_id_untouched(spark):
     df = spark.range(40).select(F.lit(7).alias("id"), F.when(F.col("id") % 2 == 0, F.lit(-0.0)).otherwise(1.0).alias("x"), F.create_map(F.lit("a"), F.col("id") % 3).alias("m"))
-    out = sp.kfold_assign(df, 5, ["id"], hot_rows=10).collect()
+    out = sp.kfold_assign(df, 5, ["id"]).collect()
     assert sorted(str(r["x"]) for r in out) == ["-0.0"] * 20 + ["1.0"] * 20
     assert sorted(r["m"]["a"] for r in out) == sorted(i % 3 for i in range(40))
     assert sorted(r["fold"] for r in out) == sorted(list(range(5)) * 8)
