@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import functions as F
 
@@ -16,7 +14,6 @@ from tarmac.ml import search as se
 from tarmac.ml.blocks import pack
 from tarmac.ml.boosting import HistBoost, fit_side_by_side
 from tarmac.ml.forest import ForestPlan, fit_forest
-from tarmac.ml.store import RunStore
 from tarmac.operators import encoding as en
 from tarmac.operators import sampling as sp
 from tarmac.plans.storage import keep_rounds, materialize, stage_path
@@ -318,44 +315,3 @@ def importance_single(spark, sf):
     model = md.make_estimator("lin_reg", {}).fit(md.assemble(train, ["ElapsedTime"], "DepDelayMinutes"))
     data = md.assemble(test, ["ElapsedTime"], "DepDelayMinutes", IDS)
     return r6(ev.permutation_importance(model, "lin_reg", data, ["ElapsedTime"], "reg", IDS), "importance")
-
-
-@query("run_store")
-def run_store(spark, sf):
-    """All eight models with base and with tuned parameters: saved, read again, and their test metrics side by side.
-
-    ``changed`` counts test rows that the read model predicts otherwise than the fitted one.
-    """
-    train, test = split(spark, sf)
-    wanted = [(name, base) for name in md.MODELS for base in (True, False)]
-    store, out = RunStore(spark, stage_path(spark, "runs")), None
-    for (name, base), (model, features) in md.train_models(train, IDS, wanted).items():
-        spec, mode = md.MODELS[name], "base" if base else "tuned"
-        data = md.assemble(test, features, spec.target)
-        preds = materialize(md.predictions(model, data, name), "predictions")
-        metrics = ev.reg_metrics(preds) if spec.kind == "reg" else ev.clf_metrics(preds)
-        store.save(name, mode, model, metrics, md.model_params(name, base))
-        again = md.predictions(store.model(name, mode), data, name)
-        counted = preds.groupBy("label", "prediction").agg(F.count("*").alias("a"))
-        changed = counted.join(again.groupBy("label", "prediction").agg(F.count("*").alias("b")), ["label", "prediction"], "full").where("not a <=> b").count()
-        saved = store.scores(name, mode)
-        entries = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in saved.columns if c != "model"])
-        part = saved.select("model", F.lit(mode).alias("mode"), F.lit(json.dumps(store.params(name, mode), sort_keys=True)).alias("params"), F.lit(changed).alias("changed"), F.explode(entries).alias("x"))
-        part = part.select("model", "mode", "params", "changed", "x.*")
-        out = part if out is None else out.unionByName(part)
-    return r6(out, "value")
-
-
-@query("search_store")
-def search_store(spark, sf):
-    """A search whose table and best parameters are saved and read again, with the metrics of the model fitted with them."""
-    train, test = split(spark, sf)
-    found = materialize(se.random_search("sgd_clf", train, IDS), "search-table")
-    best = json.loads(se.best_params(found))
-    model, features = md.train_model("sgd_clf", train, IDS, overrides=best)
-    store = RunStore(spark, stage_path(spark, "runs"))
-    store.save("sgd_clf", "search", model, found, best)
-    metrics = ev.clf_metrics(md.predictions(store.model("sgd_clf", "search"), md.assemble(test, features, "DepDel15"), "sgd_clf"))
-    table = store.scores("sgd_clf", "search").agg(F.count("*").alias("sets"), F.max("mean_score").alias("best_score"))
-    out = metrics.crossJoin(F.broadcast(table)).withColumn("params", F.lit(json.dumps(store.params("sgd_clf", "search"), sort_keys=True)))
-    return r6(out, "accuracy", "precision", "recall", "f1", "best_score")
