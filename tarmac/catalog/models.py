@@ -11,7 +11,6 @@ from tarmac.ml import evaluate as ev
 from tarmac.ml import gram
 from tarmac.ml import models as md
 from tarmac.ml import search as se
-from tarmac.ml.blocks import pack
 from tarmac.ml.boosting import HistBoost, fit_side_by_side
 from tarmac.ml.forest import ForestPlan, fit_forest
 from tarmac.operators import encoding as en
@@ -187,8 +186,8 @@ def grid_search(spark, sf):
 @query("cv_scores")
 def cv_scores(spark, sf):
     """Mean cross-validated R2 of a linear model on the raw, log, root and reciprocal target, and on degree-2 features."""
-    folded = sp.kfold_assign(frame(spark, sf), 5, IDS)
-    folded = materialize(bands.target_transforms(folded, "DepDelayMinutes"), "folds")
+    folded = materialize(sp.kfold_assign(frame(spark, sf), 5, IDS).select(*FEATURES, "DepDelayMinutes", "fold"), "folds")
+    folded = bands.target_transforms(folded, "DepDelayMinutes")
     folded = en.standardize(folded, ["y_recip"])
     targets = {"raw": "DepDelayMinutes", "log": "y_log", "sqrt": "y_sqrt", "recip": "y_recip"}
     poly = en.poly_features(folded, FEATURES)
@@ -199,10 +198,8 @@ def cv_scores(spark, sf):
 
 def _mean_scores(folded, features, targets, folds=5):
     """(model, target, mean R2 over the folds) of least squares for every target, from one pass."""
-    packed = pack(folded, features, list(targets.values()), "fold")
-    grams = gram.fold_grams(packed, folds)
-    packed.free()
-    return [("lin_reg", name, sum(gram.fold_scores(packed, folds, i, grams=grams)) / folds) for i, name in enumerate(targets)]
+    grams = gram.row_grams(folded, features, list(targets.values()), "fold", folds)
+    return [("lin_reg", name, sum(gram.gram_scores(grams, len(features), i)) / folds) for i, name in enumerate(targets)]
 
 
 _FOLDED = f"""
@@ -220,7 +217,8 @@ SELECT 'lin_reg' AS model, target, {R('avg(r2)', 'mean_score')}, CAST(row_number
 )
 def cv_scores_single(spark, sf):
     """Mean cross-validated R2 of a line through one feature, on the raw and the log target."""
-    folded = materialize(bands.target_transforms(sp.kfold_assign(frame(spark, sf), 5, IDS), "DepDelayMinutes"), "folds")
+    folded = materialize(sp.kfold_assign(frame(spark, sf), 5, IDS).select("ElapsedTime", "DepDelayMinutes", "fold"), "folds")
+    folded = bands.target_transforms(folded, "DepDelayMinutes")
     found = _mean_scores(folded, ["ElapsedTime"], {"raw": "DepDelayMinutes", "log": "y_log"})
     return r6(se.results_frame(spark, found).withColumnRenamed("params", "target"), "mean_score")
 

@@ -1,24 +1,52 @@
-"""Least squares from sums of products: one pass over the blocks serves every fold, penalty and target."""
+"""Least squares from sums of products: one pass over the rows or blocks serves every fold, penalty and target."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tarmac.ml.blocks import Packed, add_up
+from tarmac.ml.blocks import DIRECT, Packed, add_up, flat_matrix, row_arrays
 
 
 def fold_grams(packed: Packed, folds: int) -> np.ndarray:
     """Per fold the sums of products of (1, features, targets), a matrix each; rows outside 0..folds-1 count in the last one.
     Scale features first if their means are large against their spread, or sums of large values cancel."""
-    found = add_up(packed.rdd, lambda b: _grams(b, folds), lambda a, b: a + b)
+    found = add_up(packed.rdd, lambda b: _grams(b.x, b.y, b.fold, folds), lambda a, b: a + b)
     return np.zeros((folds + 1, 1, 1)) if found is None else found
 
 
-def _grams(block, folds: int) -> np.ndarray:
-    z = np.column_stack([np.ones(len(block.x)), block.x, block.y])
+def row_grams(df: DataFrame, features: list[str], labels: list[str], fold: str, folds: int) -> np.ndarray:
+    """The same sums straight from the rows of a table, where they are: nothing is sorted, moved or written but the sums."""
+    size = 1 + len(features) + len(labels)
+    rows = row_arrays(df, features, labels, fold)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((folds + 1, size, size))
+        for b in batches:
+            total += _grams(flat_matrix(b["_x"], len(features)), flat_matrix(b["_y"], len(labels)), b["_fold"].to_numpy(zero_copy_only=False), folds)
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
+
+    def add(table: pa.Table) -> pa.Table:
+        parts = sorted(zip(table["part"].to_pylist(), table["sums"].to_pylist()))
+        return pa.table({"number": pa.array([parts[0][0]], pa.int32()), "sums": pa.array([sum(np.frombuffer(p) for _, p in parts).tobytes()], pa.binary())})
+
+    parts = rows.mapInArrow(partial, "sums binary").withColumn("part", F.spark_partition_id())
+    found = parts.groupBy(F.pmod("part", F.lit(DIRECT)).alias("_group")).applyInArrow(add, "number int, sums binary").collect()  # at most DIRECT rows
+    total = np.zeros((folds + 1, size, size))
+    for r in sorted(found, key=lambda r: r["number"]):
+        total += np.frombuffer(r["sums"]).reshape(total.shape)
+    return total
+
+
+def _grams(x: np.ndarray, y: np.ndarray, fold: np.ndarray, folds: int) -> np.ndarray:
+    z = np.column_stack([np.ones(len(x)), x, y])
     out = np.zeros((folds + 1, z.shape[1], z.shape[1]))
     for f in range(folds + 1):
-        own = z[block.fold == f] if f < folds else z[(block.fold < 0) | (block.fold >= folds)]
+        own = z[fold == f] if f < folds else z[(fold < 0) | (fold >= folds)]
         out[f] = own.T @ own
     return out
 
@@ -60,8 +88,12 @@ def r2(gram: np.ndarray, width: int, target: int, weights: np.ndarray) -> float:
     return float(1 - lost / spread) if spread > 0 else float("nan")
 
 
-def fold_scores(packed: Packed, folds: int, target: int = 0, penalty: float = 0.0, l1: float = 0.0, grams: np.ndarray | None = None) -> list[float]:
-    """R2 on each fold of the model fitted on the others: its sums are the total minus the fold's."""
-    grams = fold_grams(packed, folds) if grams is None else grams
+def fold_scores(packed: Packed, folds: int, target: int = 0, penalty: float = 0.0, l1: float = 0.0) -> list[float]:
+    """R2 on each fold of the model fitted on the others."""
+    return gram_scores(fold_grams(packed, folds), packed.width, target, penalty, l1)
+
+
+def gram_scores(grams: np.ndarray, width: int, target: int = 0, penalty: float = 0.0, l1: float = 0.0) -> list[float]:
+    """The same from the sums of each fold: those a model learns from are the total minus the fold's."""
     total = grams.sum(axis=0)
-    return [r2(grams[f], packed.width, target, solve(total - grams[f], packed.width, target, penalty, l1)) for f in range(folds)]
+    return [r2(own, width, target, solve(total - own, width, target, penalty, l1)) for own in grams[:-1]]

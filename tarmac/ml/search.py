@@ -20,8 +20,7 @@ from pyspark.sql import types as T
 from tarmac.ml.blocks import pack, vector_columns
 from tarmac.ml.boosting import HistBoost, fit_side_by_side
 from tarmac.ml.epochs import EpochEstimator, learn
-from tarmac.ml.gram import fold_grams
-from tarmac.ml.gram import fold_scores as gram_scores
+from tarmac.ml.gram import gram_scores, row_grams
 from tarmac.ml.models import MODELS, SEED, assemble, features_of, make_estimator
 from tarmac.operators.sampling import kfold_assign, stratified_sample
 from tarmac.plans.storage import materialize
@@ -81,11 +80,11 @@ def side_by_side(estimators: list[Estimator], data: DataFrame, kind: str, folds:
         return fit_side_by_side(estimators, data, ["label"], fold_col, folds)
     if isinstance(first, (EpochEstimator, LinearRegression)):
         rows, columns = vector_columns(data, "features", ["label"], (fold_col,))
+        if isinstance(first, LinearRegression):
+            grams, get = row_grams(rows, columns, ["label"], fold_col, folds), LinearRegression.getOrDefault
+            return [gram_scores(grams, len(columns), 0, get(e, "regParam"), get(e, "elasticNetParam")) for e in estimators]
         packed = pack(rows, columns, ["label"], fold_col)
         try:
-            if isinstance(first, LinearRegression):
-                grams, get = fold_grams(packed, folds), LinearRegression.getOrDefault
-                return [gram_scores(packed, folds, 0, get(e, "regParam"), get(e, "elasticNetParam"), grams) for e in estimators]
             scores = [s for _, s in learn(packed, [e.plan(fold=f) for e in estimators for f in range(folds)])]
         finally:
             packed.free()

@@ -258,3 +258,15 @@ def test_failed_folds_cancel_the_others(spark):
 def test_scores_that_are_not_numbers_come_last(spark):
     rows = se.results_frame(spark, [("m", "a", float("nan")), ("m", "b", -1.0), ("m", "c", 2.0)]).collect()
     assert [(r["params"], r["mean_score"], r["place"]) for r in rows] == [("c", 2.0, 1), ("b", -1.0, 2), ("a", None, 3)]
+
+
+def test_sums_of_rows_equal_sums_of_blocks_and_write_nothing(spark):
+    from tarmac.plans import storage as st
+
+    x, y = table(240)
+    df = frame(spark, np.nan_to_num(x), y, fold=np.arange(240) % 3)
+    blocks = gram.fold_grams(bl.pack(df, ["x0", "x1", "x2"], ["label"], "fold"), 3)
+    before = {k: list(v) for k, v in st._made.items()}
+    assert gram.row_grams(df, ["x0", "x1", "x2"], ["label"], "fold", 3) == pytest.approx(blocks)
+    assert st._made == before
+    assert not gram.row_grams(df.limit(0), ["x0", "x1", "x2"], ["label"], "fold", 3).any()
