@@ -27,30 +27,45 @@ def _act_slope(name: str, a: np.ndarray) -> np.ndarray:
     return 1 - a * a if name == "tanh" else a * (1 - a)
 
 
-def loss_and_slope(name: str, z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Loss per row and its slope in z. Class labels are -1 and 1."""
+def slope_of(name: str, z: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Slope of a row's loss in z. Class labels are -1 and 1."""
     if name == "squared_error":
-        e = z - y
-        return e * e / 2, e
+        return z - y
     if name == "squared_epsilon_insensitive":
-        e = np.sign(z - y) * np.maximum(np.abs(z - y) - 0.1, 0)
-        return e * e, 2 * e
+        e = z - y
+        return 2 * (e - np.minimum(np.maximum(e, -0.1), 0.1))
     m = y * z
     if name == "log_loss":
-        return np.logaddexp(0, -m), -y / (1 + np.exp(np.clip(m, -500, 500)))
+        return -y / (1 + np.exp(np.minimum(np.maximum(m, -500), 500)))
     if name == "hinge":
-        return np.maximum(1 - m, 0), np.where(m < 1, -y, 0.0)
+        return np.where(m < 1, -y, 0.0)
     if name == "squared_hinge":
-        h = np.maximum(1 - m, 0)
-        return h * h, -2 * y * h
+        return -2 * y * np.maximum(1 - m, 0)
     if name == "perceptron":
-        return np.maximum(-m, 0), np.where(m <= 0, -y, 0.0)
+        return np.where(m <= 0, -y, 0.0)
     if name == "modified_huber":
-        h = np.maximum(1 - m, 0)
-        return np.where(m >= -1, h * h, -4 * m), np.where(m >= -1, -2 * y * h, -4 * y)
+        return np.where(m >= -1, -2 * y * np.maximum(1 - m, 0), -4 * y)
     raise ValueError(f"unknown loss: {name}")
 
 
+def loss_and_slope(name: str, z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Loss per row and its slope in z. Class labels are -1 and 1."""
+    slope = slope_of(name, z, y)
+    if name == "squared_error":
+        return slope * slope / 2, slope
+    if name == "squared_epsilon_insensitive":
+        return slope * slope / 4, slope
+    m = y * z
+    if name == "log_loss":
+        return np.logaddexp(0, -m), slope
+    if name == "perceptron":
+        return np.maximum(-m, 0), slope
+    h = np.maximum(1 - m, 0)
+    if name == "hinge":
+        return h, slope
+    return (h * h, slope) if name == "squared_hinge" else (np.where(m >= -1, h * h, -4 * m), slope)
+
+
 def _layers(sizes: list[int], flat: np.ndarray):
     at = 0
     for n_in, n_out in zip(sizes, sizes[1:]):

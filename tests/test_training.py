@@ -270,3 +270,19 @@ def test_sums_of_rows_equal_sums_of_blocks_and_write_nothing(spark):
     assert gram.row_grams(df, ["x0", "x1", "x2"], ["label"], "fold", 3) == pytest.approx(blocks)
     assert st._made == before
     assert not gram.row_grams(df.limit(0), ["x0", "x1", "x2"], ["label"], "fold", 3).any()
+
+
+def test_lanes_step_together_as_they_would_alone_and_bound_the_steps(monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(ep, "LANE_ROWS", 50)
+    made = [bl.Block(k, rng.normal(size=(n, 3)), rng.integers(0, 2, (n, 2)).astype(float), rng.integers(0, 3, n), np.arange(n)) for k, n in enumerate((50, 120, 7))]
+    rows, _, fold = ep._lanes(made, 42, 1)
+    assert rows.shape == (50, 3, 5) and (fold >= 0).sum() == 177  # 50, three lanes of 120, 7
+    assert np.sort(rows[:, 0][fold >= 0]) == pytest.approx(np.sort(np.concatenate([b.x[:, 0] for b in made])))
+    plans = [ep.SgdPlan("clf", loss, 0.01, 0.15, schedule, label=k % 2, fold=k % 3 or None) for k, (loss, schedule) in enumerate(zip(("log_loss", "hinge", "modified_huber", "log_loss"), ep.SCHEDULES))]
+    asks = [ep.Ask(p, "sgd", np.array([0.1, -0.2, 0.3, 0.05]), step=30.0, eta=0.01, epoch=1) for p in plans]
+    whole, parts = ep.sgd_pass(asks, made), [ep.sgd_pass(asks, [b]) for b in made]
+    for j in range(4):
+        for key in ("flat", "n", "loss", "steps", "blocks"):
+            assert whole[j][key] == pytest.approx(sum(p[j][key] for p in parts))
+    assert [w["blocks"] for w in whole] == [5.0] * 4
