@@ -286,3 +286,30 @@ def test_lanes_step_together_as_they_would_alone_and_bound_the_steps(monkeypatch
         for key in ("flat", "n", "loss", "steps", "blocks"):
             assert whole[j][key] == pytest.approx(sum(p[j][key] for p in parts))
     assert [w["blocks"] for w in whole] == [5.0] * 4
+
+
+@pytest.mark.parametrize("missing", [False, True])
+def test_rows_by_node_are_those_of_the_plain_descent(missing):
+    rng = np.random.default_rng(5)
+    codes = rng.integers(0, 32, (3, 500)).astype(np.uint8)
+    if missing:
+        codes[1, :60] = 32
+    tree = bo.Tree()
+    for node, f, cut, way in ((0, 0, 15, False), (1, 1, 9, True), (2, 1, 20, False), (3, 2, 7, True)):
+        tree.split(node, f, cut, way)
+    packed, rows = tree.packed(), np.arange(500)
+    ends = bo.leaf_of(packed, codes, 32)
+    for wanted in (None, (7, 5), (8,)):
+        got = dict(bo.rows_by_node(packed, codes, 32, rows, wanted))
+        assert set(got) == set(wanted or (4, 5, 6, 7, 8)) and all(np.array_equal(own, np.flatnonzero(ends == n)) for n, own in got.items())
+
+
+def test_long_tables_give_boosting_work_for_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 300)
+    monkeypatch.setattr(bl, "SPREAD_ROWS", 50)
+    x, y = table(600)
+    df = frame(spark, x, y)
+    packed = bl.pack(df, ["x0", "x1", "x2"], ["label"], least=300)
+    assert packed.blocks == 12 and packed.rdd.getNumPartitions() == 12
+    assert bl.pack(df.limit(300), ["x0", "x1", "x2"], ["label"], least=300).blocks == 1
+    assert bl.parts_of(2_500_000, 39) == 24 and bl.parts_of(150 << 20, 1024) == 150
