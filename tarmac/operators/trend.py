@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from tarmac.ml.blocks import add_up, pack
 from tarmac.operators.quantiles import exact_quantiles
 
-#: Candidates of a pass, passes of a search, and rows of a block that meet all places at once.
-_CANDIDATES, _PASSES, _AT_ONCE = 64, 6, 8_192
+#: Candidates of a pass, passes of a search, and values of a block that meet all places at once, few enough for a cache.
+_CANDIDATES, _PASSES, _AT_ONCE = 64, 6, 256
 
 
 def _smallest(rdd: RDD, values, wanted: np.ndarray, top: np.ndarray) -> np.ndarray:
@@ -53,13 +53,16 @@ def _sums(block, places: np.ndarray, radius: np.ndarray, shift: float, before: t
         fits, scale = before
         u = _residuals(block, places, fits) / scale if scale > 0 else (_residuals(block, places, fits) > 0) * 1.0
         robust = np.maximum(1 - u * u, 0) ** 2
-    for begin in range(0, len(block.x), _AT_ONCE):
-        x, y = block.x[begin : begin + _AT_ONCE, 0], block.y[begin : begin + _AT_ONCE, 0]
+    # rows of one x are equally far from every place, so only their sums meet the places
+    values, spot = np.unique(block.x[:, 0], return_inverse=True)
+    mass, lift = np.bincount(spot, robust, len(values)), np.bincount(spot, robust * block.y[:, 0], len(values))
+    for begin in range(0, len(values), _AT_ONCE):
+        x, m, y = (v[begin : begin + _AT_ONCE] for v in (values, mass, lift))
         with np.errstate(divide="ignore", invalid="ignore"):
             u = np.where(radius > 0, np.abs(x[:, None] - places) / radius, (x[:, None] != places) * 1.0)
-        w = np.maximum(1 - u**3, 0) ** 3 * robust[begin : begin + _AT_ONCE, None]
+        rest = np.maximum(1 - u * u * u, 0)
         z = x - shift
-        out += np.stack([np.ones_like(z), z, z * z, y, z * y]) @ w
+        out += np.stack([m, z * m, z * z * m, y, z * y]) @ (rest * rest * rest)
     return out
 
 

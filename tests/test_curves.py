@@ -134,3 +134,22 @@ def test_run_store(spark, tmp_path):
     assert [r.prediction for r in again.transform(df).collect()] == [r.prediction for r in model.transform(df).collect()]
     with pytest.raises(KeyError):
         store.model("hgb_reg", "base")
+
+
+def test_trend_sums_meet_the_places_once_for_each_value():
+    from tarmac.operators import trend
+
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, 9, 4000).astype(float), rng.normal(size=4000)
+    block = bl.Block(0, x[:, None], y[:, None], np.full(4000, -1), np.arange(4000))
+    places, radius, before = np.array([0.0, 3.5, 8.0]), np.array([2.0, 0.0, 5.0]), (np.array([0.1, -0.1, 0.0]), 2.0)
+    seen = []
+    real = np.abs
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(trend.np, "abs", lambda v: seen.append(np.shape(v)) or real(v))
+        got = trend._sums(block, places, radius, 4.0, before)
+    robust = np.maximum(1 - ((y - np.interp(x, places, before[0])) / 2.0) ** 2, 0) ** 2
+    for k, (p, r) in enumerate(zip(places, radius)):
+        w = np.maximum(1 - (np.abs(x - p) / r if r else (x != p) * 1.0) ** 3, 0) ** 3 * robust
+        assert got[:, k] == pytest.approx([w.sum(), (w * (x - 4)).sum(), (w * (x - 4) ** 2).sum(), (w * y).sum(), (w * (x - 4) * y).sum()])
+    assert (9, 3) in seen and all(len(s) == 1 or s[0] == 9 for s in seen)
