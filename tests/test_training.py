@@ -313,3 +313,27 @@ def test_long_tables_give_boosting_work_for_many_tasks(spark, monkeypatch):
     assert packed.blocks == 12 and packed.rdd.getNumPartitions() == 12
     assert bl.pack(df.limit(300), ["x0", "x1", "x2"], ["label"], least=300).blocks == 1
     assert bl.parts_of(2_500_000, 39) == 24 and bl.parts_of(150 << 20, 1024) == 150
+
+
+def test_a_perceptron_goes_through_the_blocks_of_a_task_in_one_chain(monkeypatch):
+    rng = np.random.default_rng(4)
+    made = [bl.Block(k, rng.normal(size=(n, 3)), rng.integers(0, 2, (n, 1)).astype(float), rng.integers(0, 3, n), np.arange(n)) for k, n in enumerate((450, 450, 90))]
+    for solver in ("adam", "sgd"):
+        plan = ep.MlpPlan("clf", "log_loss", (4,), "tanh", solver, fold=1)
+        flat = ep._first_weights(plan, 3, 0.0)
+        memory = (np.zeros_like(flat), np.zeros_like(flat))
+        whole = ep.mlp_pass(ep.Ask(plan, "mlp", flat, memory, eta=0.01, epochs=1), made)
+        first, second, step, loss = *memory, 0.0, 0.0
+        for at in np.random.default_rng([42, 0, 0, 3]).permutation(3):
+            got = ep.mlp_pass(ep.Ask(plan, "mlp", flat, (first, second), step, 0.01, 0, 1), [made[at]])
+            flat, first, second = (got[k] / got["n"] for k in ("flat", "first", "second"))
+            step, loss = step + got["steps"], loss + got["losses"][0]
+        assert whole["flat"] / whole["n"] == pytest.approx(flat) and whole["losses"][0] == pytest.approx(loss)
+        assert (whole["steps"], whole["blocks"]) == (step, 1.0) and whole["n"] == sum((b.fold != 1).sum() for b in made)
+    assert [ep.local_epochs(rows, 24) for rows in (1_000, 411_091, 800_000, 24_000_000)] == [4, 4, 2, 1]
+    assert ep.local_epochs(150 << 20, 150) == 1
+    ask = ep.Ask(ep.MlpPlan("clf", "log_loss", (4,), "logistic"), "gradient", flat)
+    once = ep._whole(ask, *made[0][1:4])
+    monkeypatch.setattr(ep, "SUMMED", 100)
+    parts = ep._whole(ask, *made[0][1:4])
+    assert parts["grad"] == pytest.approx(once["grad"]) and parts["value"] == pytest.approx(once["value"])
