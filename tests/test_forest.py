@@ -54,3 +54,9 @@ def test_equal_rows_with_other_labels_end_in_one_leaf(spark):
     model = fo.fit_forest(df, fo.ForestPlan("reg", 1, bootstrap=False), node_rows=2)
     assert {r.prediction for r in model.transform(df).collect()} == {0.5}
     assert model.transform(df.limit(0)).collect() == []
+
+
+def test_limited_forests_keep_the_place_of_a_row_between_levels():
+    from tarmac.ml.models import make_estimator
+
+    assert all(make_estimator(name, {}).getOrDefault("cacheNodeIds") for name in ("rf_clf", "rf_reg"))
