@@ -54,3 +54,35 @@ def test_no_pairing_joins_and_no_single_task_windows(spark, name):
     assert "BroadcastNestedLoopJoin" not in text
     windows = text.count(" Window (")
     assert not (windows and "SinglePartition" in text and re.search(r"Arguments: SinglePartition.*\n\n\(\d+\) Sort", text))
+
+
+def test_flights_are_not_shuffled_for_a_side_of_few_airports(spark, monkeypatch):
+    import inspect
+
+    from pyspark.sql import functions as F
+
+    from tarmac.operators import weather as wx
+    from tarmac.plans import lookup
+
+    days = spark.range(4_000).select(
+        F.concat(F.lit("A"), (F.col("id") % 400).cast("string")).alias("STATION"), F.expr("date'2024-01-01' + cast(id div 400 as int)").alias("DATE"),
+        *[F.col("id").cast("double").alias(e) for e in ("PRCP", "SNOW", "SNWD", "TMAX", "TMIN")],
+    )
+    flights = spark.range(3_000).select(
+        "id", F.expr("date'2024-01-01' + cast(id % 12 as int)").alias("FlightDate"), F.concat(F.lit("A"), (F.col("id") % 700).cast("string")).alias("Origin"),
+        F.concat(F.lit("A"), (F.col("id") % 9 + 395).cast("string")).alias("Dest"),
+    )
+    bytes_of_few = lookup.memory_bytes(days.filter("STATION >= 'A395' AND STATION <= 'A399'")) * 3
+    for function in (lookup.fits_broadcast, lookup.lookup_join):
+        defaults = [bytes_of_few if v == lookup.BROADCAST_BYTES else v for v in function.__defaults__]
+        assert "max_bytes" in inspect.signature(function).parameters
+        monkeypatch.setattr(function, "__defaults__", tuple(defaults))
+    conf = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain, known = wx.merge_weather(flights, days), wx.merge_weather(flights, days, airports={"Dest": flights.select(F.col("Dest").alias("Airport"))})
+        joins = [plan(d).count("SortMergeJoin") for d in (plain, known)]
+        assert joins[1] < joins[0] and "BroadcastHashJoin" in plan(known)
+        assert sorted(map(str, plain.collect())) == sorted(map(str, known.collect())) and known.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", conf)
