@@ -33,7 +33,11 @@ def sum_numeric(df: DataFrame, key: str) -> DataFrame:
 
 
 def mean_median_sum(df: DataFrame, keys: list[str], full: list[str], plain: list[str]) -> DataFrame:
-    """Mean and sum of all listed columns per group, and the exact median of those in ``full``."""
+    """Mean and sum of all listed columns per group, and the exact median of those in ``full``.
+
+    The columns are written once, as the percentiles read them twice more: what ``df`` joins or shuffles is not done again.
+    """
+    df = materialize(df.select(*dict.fromkeys([*keys, *full, *plain])), "measured")
     wanted = [f(c).alias(f"{c}_{n}") for c in [*full, *plain] for n, f in (("mean", F.avg), ("sum", F.sum))]
     base = df.groupBy(*keys).agg(*wanted)
     mids = exact_quantiles(df, full, [0.5], keys)
@@ -88,7 +92,8 @@ def impute_mode_median(df: DataFrame, cols: list[str] | None = None) -> DataFram
 
 
 def cap_outliers(df: DataFrame, cols: list[str], low: float = 0.01, high: float = 0.99) -> DataFrame:
-    """Pull values outside the two exact percentiles to them; nulls stay."""
+    """Pull values outside the two exact percentiles to them; nulls stay. ``df`` is written once, as it is read three times."""
+    df = materialize(df, "uncapped")
     limits = quantile_map(df, cols, [low, high])
 
     def capped(c: str) -> Column:

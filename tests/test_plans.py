@@ -86,3 +86,18 @@ def test_flights_are_not_shuffled_for_a_side_of_few_airports(spark, monkeypatch)
         assert sorted(map(str, plain.collect())) == sorted(map(str, known.collect())) and known.count() > 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", conf)
+
+
+def test_percentiles_beside_other_columns_read_a_written_table(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tarmac.operators import explore as ex
+
+    joined = spark.range(40).withColumn("k", F.col("id") % 2).join(spark.range(30), "id").withColumn("v", F.col("id").cast("double"))
+    asked = []
+    for name in ("exact_quantiles", "quantile_map"):
+        monkeypatch.setattr(ex, name, lambda df, *a, own=getattr(ex, name): (asked.append(plan(df)), own(df, *a))[1])
+    got = {r["k"]: (r["v_mean"], r["v_median"], r["id_sum"]) for r in ex.mean_median_sum(joined, ["k"], ["v"], ["id"]).collect()}
+    assert got == {0: (14.0, 14.0, 210), 1: (15.0, 15.0, 225)}
+    assert ex.cap_outliers(joined, ["v"], 0.1, 0.9).agg(F.min("v"), F.max("v")).first()[:] == pytest.approx((2.9, 26.1))
+    assert len(asked) == 2 and not any("Join" in text for text in asked)
