@@ -60,3 +60,66 @@ def test_limited_forests_keep_the_place_of_a_row_between_levels():
     from tarmac.ml.models import make_estimator
 
     assert all(make_estimator(name, {}).getOrDefault("cacheNodeIds") for name in ("rf_clf", "rf_reg"))
+
+
+def plain_gains(x, y, w):
+    """Gain by feature of the tree with pure leaves, one node and one cut at a time."""
+    total, waiting = np.zeros(x.shape[1]), [np.arange(len(x))]
+    while waiting:
+        rows = waiting.pop()
+        cuts = [(f, c) for f in range(x.shape[1]) for c in np.unique(x[rows, f])[:-1]]
+        if len(set(y[rows])) < 2 or not cuts:
+            continue
+
+        def square(part):
+            return (w[part] * y[part]).sum() ** 2 / w[part].sum()
+
+        gains = [square(rows[x[rows, f] <= c]) + square(rows[x[rows, f] > c]) - square(rows) for f, c in cuts]
+        f, c = cuts[int(np.argmax(gains))]
+        total[f] += max(gains)
+        waiting += [rows[x[rows, f] <= c], rows[x[rows, f] > c]]
+    return total
+
+
+@pytest.mark.parametrize("tried", [1, 3])
+def test_all_nodes_of_a_level_are_split_at_once(monkeypatch, tried):
+    calls, cuts = [], fo._best_cuts
+    monkeypatch.setattr(fo, "_best_cuts", lambda *a: calls.append(1) or cuts(*a))
+    rng = np.random.default_rng(3)
+    x, y, w = rng.normal(size=(2000, 3)), rng.normal(size=2000), rng.integers(1, 4, 2000).astype(float)
+    piece = fo.grow(x, y, w, tried, rng)
+    assert len(piece[0]) == 3999 and len(calls) < 100
+    assert np.abs(fo.predict(piece[:5], x) - y).max() < 1e-9
+    mean = (w * y).sum() / w.sum()
+    assert piece[4][0] == pytest.approx(mean) and piece[5].sum() == pytest.approx((w * (y - mean) ** 2).sum())
+
+
+def test_level_by_level_growth_finds_the_splits_of_a_plain_loop():
+    rng = np.random.default_rng(4)
+    x, y, w = rng.permutation(240).reshape(60, 4) * 1.0, rng.normal(size=60), rng.integers(1, 4, 60).astype(float)
+    w[:5] = 2
+    x[:20, 0] = x[0, 0]  # long runs of one value
+    x[:, 3] = 1.0  # one value only, looked at by every node
+    gains = fo.grow(x, y, w, 4, np.random.default_rng(0))[5]
+    # in nodes of two rows any feature gains the same, so only the sums over the whole tree and larger nodes agree
+    assert gains.sum() == pytest.approx(plain_gains(x, y, w).sum()) and gains[3] == 0
+    alone = fo.grow(x[:, :1], y, w, 1, np.random.default_rng(0))
+    assert alone[5] == pytest.approx(plain_gains(x[:, :1], y, w))
+    first = [(f, c) for f in range(4) for c in np.unique(x[:, f])[:-1]]
+    scores = [sum((w[m] * y[m]).sum() ** 2 / w[m].sum() for m in (x[:, f] <= c, x[:, f] > c)) for f, c in first]
+    root = fo.grow(x, y, w, 4, np.random.default_rng(0))
+    f, c = first[int(np.argmax(scores))]
+    assert root[0][0] == f and np.array_equal(x[:, f] <= root[1][0], x[:, f] <= c)
+    same = fo.grow(np.ones((6, 2)), np.array([0, 0, 0, 1, 1, 1.0]), np.ones(6), 1, rng)
+    assert len(same[0]) == 1 and same[4][0] == 0.5 and same[2][0] == 0
+    assert len(fo.grow(np.ones((1, 2)), np.ones(1), np.ones(1), 2, rng)[0]) == 1
+
+
+def test_rows_are_sent_in_large_portions(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(fo, "SENT_ROWS", 25)
+    batches = [pd.DataFrame({"x": [[float(i), 1.0]] * 10, "_fid": np.arange(10) + 10 * i}) for i in range(7)] + [pd.DataFrame({"x": [], "_fid": []})]
+    found = list(fo._gathered(iter(batches), 2))
+    assert [len(ids) for _, ids in found] == [30, 30, 10] and np.array_equal(np.concatenate([i for _, i in found]), np.arange(70))
+    assert np.array_equal(np.concatenate([x for x, _ in found])[:, 0], np.arange(70) // 10)
