@@ -101,3 +101,18 @@ def test_percentiles_beside_other_columns_read_a_written_table(spark, monkeypatc
     assert got == {0: (14.0, 14.0, 210), 1: (15.0, 15.0, 225)}
     assert ex.cap_outliers(joined, ["v"], 0.1, 0.9).agg(F.min("v"), F.max("v")).first()[:] == pytest.approx((2.9, 26.1))
     assert len(asked) == 2 and not any("Join" in text for text in asked)
+
+
+def test_the_history_carries_no_columns_that_follow_from_others(spark, monkeypatch):
+    from tarmac.plans import training_table as tt
+
+    carried, own = [], tt.with_history
+
+    def seen(flights, *rest):
+        carried.append(flights.columns)
+        return own(flights, *rest)
+
+    monkeypatch.setattr(tt, "with_history", seen)
+    train = QUERIES["final_train"](spark, SF_DIR)
+    late = {*tt.CYCLICAL, *tt.FLAGS, "DayOfYear"}
+    assert not late & set(carried[0]) and late <= set(train.columns)
