@@ -103,6 +103,17 @@ def test_percentiles_beside_other_columns_read_a_written_table(spark, monkeypatc
     assert len(asked) == 2 and not any("Join" in text for text in asked)
 
 
+def test_routes_are_dealt_over_parts_of_bounded_length(spark, monkeypatch):
+    from tarmac.plans import ordering
+
+    monkeypatch.setattr(ordering, "PART_ROWS", 250)
+    lines = demo.table(spark, SF_DIR, "lineitem", "l_orderkey").count()
+    assert ordering.even_parts(spark, lines) == -(-lines // 250) > 8 == ordering.even_parts(spark, 1)
+    out = QUERIES["avg_snow_route"](spark, SF_DIR)
+    assert f"{-(-lines // 250)}), REPARTITION_BY_NUM" in plan(out)
+    assert out.count() == out.select("FlightDate", "Origin", "Dest").distinct().count() > 0
+
+
 def test_the_history_carries_no_columns_that_follow_from_others(spark, monkeypatch):
     from tarmac.plans import training_table as tt
 
