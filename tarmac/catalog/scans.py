@@ -193,7 +193,7 @@ def flight_history(spark, sf):
     """The flagship: flights with weather at both ends and all trailing history."""
     from tarmac.plans.training_table import with_history
 
-    df = with_history(demo.flights(spark, sf), weather(spark, sf), demo.ROW_ID, airports=arrivals(spark, sf))
+    df = with_history(demo.flights(spark, sf), weather(spark, sf), demo.ROW_ID, airports=arrivals(spark, sf), rows=demo.line_count(spark, sf))
     past = [f"past_{k}_avg_delay" for k in hx.PAST_FLIGHTS]
     cols = [*_ROLLED, *_DELAYS, *past]
     return r6(df.select(*demo.ROW_ID, "FlightDate", *_MEASURES, *cols, "cumulative_flights_before"), *cols)

@@ -127,3 +127,31 @@ def test_the_history_carries_no_columns_that_follow_from_others(spark, monkeypat
     train = QUERIES["final_train"](spark, SF_DIR)
     late = {*tt.CYCLICAL, *tt.FLAGS, "DayOfYear"}
     assert not late & set(carried[0]) and late <= set(train.columns)
+
+
+def test_a_lookup_beyond_the_bound_is_not_broadcast_for_its_small_file(spark, tmp_path):
+    from tarmac.plans.lookup import lookup_join
+
+    spark.range(2_000_000).withColumnRenamed("id", "k").selectExpr("k", "true as found").write.parquet(f"{tmp_path}/right")
+    right = spark.read.parquet(f"{tmp_path}/right").withColumnRenamed("k", "id")
+    joined = lookup_join(spark.range(100), right.select("id", "found"), ["id"], max_bytes=1 << 20)
+    text = plan(joined)
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    assert joined.filter("found").count() == 100
+
+
+def test_flights_are_sorted_in_parts_by_their_number(spark, monkeypatch):
+    from tarmac.catalog.base import weather
+    from tarmac.plans import lookup, training_table
+    from tarmac.plans.ordering import PART_ROWS
+
+    daily = weather(spark, SF_DIR)
+    for function in (lookup.fits_broadcast, lookup.lookup_join):
+        monkeypatch.setattr(function, "__defaults__", tuple(1 if v == lookup.BROADCAST_BYTES else v for v in function.__defaults__))
+    many = training_table.with_history(demo.flights(spark, SF_DIR), daily, demo.ROW_ID, rows=19 * PART_ROWS - 5)
+    text = plan(many)
+    assert "BroadcastHashJoin" not in text
+    assert re.search(r"hashpartitioning\(Origin#\d+, 19\)", text) and re.search(r"hashpartitioning\(Origin#\d+, FlightDate#\d+, 19\)", text)
+    monkeypatch.undo()
+    few = training_table.with_history(demo.flights(spark, SF_DIR), daily, demo.ROW_ID)
+    assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))
