@@ -163,3 +163,18 @@ def test_search_query_draws_the_whole_number(spark, monkeypatch):
     monkeypatch.setattr(cm, "split", lambda *_: (None, None))
     monkeypatch.setattr(cm.se, "random_search", lambda *a, **k: spark.createDataFrame([(0.0, str(k))], "mean_score double, asked string"))
     assert QUERIES["random_search"](spark, "").first()["asked"] == "{}"
+
+
+def test_top_features_are_of_every_regressor(spark, monkeypatch):
+    one = spark.range(1).select(*[F.lit(0.0).alias(c) for c in [*cm.FEATURES, "DepDelayMinutes", "DepDel15"]], *[F.lit(0).alias(c) for c in demo.ROW_ID])
+
+    def found(model, name, data, features, *_):
+        return spark.createDataFrame([(name, f, float(i if name == "mlp_reg" else -i)) for i, f in enumerate(features)], "model string, feature string, importance double")
+
+    monkeypatch.setattr(cm, "split", lambda *_: (one, one))
+    monkeypatch.setattr(md, "train_model", lambda name, *_: (None, cm.FEATURES))
+    monkeypatch.setattr(ev, "permutation_importance", found)
+    table = QUERIES["importance_top5"](spark, "")
+    assert table.columns == ["place", "hgb_reg", "lin_reg", "mlp_reg", "sgd_reg"]
+    rows = table.collect()
+    assert [r["sgd_reg"] for r in rows] == cm.FEATURES[:5] and [r["mlp_reg"] for r in rows] == cm.FEATURES[:-6:-1]
