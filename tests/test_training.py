@@ -337,3 +337,54 @@ def test_a_perceptron_goes_through_the_blocks_of_a_task_in_one_chain(monkeypatch
     monkeypatch.setattr(ep, "SUMMED", 100)
     parts = ep._whole(ask, *made[0][1:4])
     assert parts["grad"] == pytest.approx(once["grad"]) and parts["value"] == pytest.approx(once["value"])
+
+
+@pytest.mark.parametrize("kind", ["reg", "clf"])
+def test_a_task_with_helpers_grows_the_same_trees(monkeypatch, kind):
+    monkeypatch.setattr(bo, "HAND_ROWS", 50)
+    monkeypatch.setattr(bo, "EARLY_ROWS", 100)
+    x, y = table(700)
+    y = (y > 0.5).astype(float) if kind == "clf" else y * np.pi
+    plan = bo.BoostPlan(kind, 8, 0.3, 5, 9, 32, 3, 0.1)
+    edges = [np.unique(np.nanquantile(c, np.arange(1, 32) / 32)) for c in x.T]
+    codes, given = bo.code_rows(x, edges, 32), (y[:, None], np.full(700, -1), np.arange(700))
+    alone, shared = bo._alone(plan, codes, *given), bo._alone(plan, codes, *given, hands=5)
+    assert alone[0] == shared[0] and [vars(t) for t in alone[1]] == [vars(t) for t in shared[1]] and len(alone[1]) == 8
+    monkeypatch.setattr(bo, "JOINT_CELLS", 1)
+    assert [vars(t) for t in bo._alone(plan, codes, *given)[1]] == [vars(t) for t in alone[1]]
+
+
+def test_tables_of_a_few_blocks_are_boosted_without_passes(spark, monkeypatch):
+    x, y = table(600)
+    df = frame(spark, x, y)
+    est = bo.HistBoost(maxIter=5, maxLeaves=6, maxBins=32, leastRows=5)
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 250)
+    monkeypatch.setattr(bl, "SPREAD_ROWS", 100)
+    with monkeypatch.context() as m:
+        m.setattr(bo, "add_up", None)
+        few = est.fit(df)
+    monkeypatch.setattr(bo, "ALONE", 1)
+    passes = est.fit(df)
+    got, expected = (bo._from_json(m.getOrDefault("state")).raw(x) for m in (few, passes))
+    assert got == pytest.approx(expected, abs=1e-9)
+
+
+def test_edges_are_values_at_the_ranks(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    x = np.stack([rng.normal(size=5000), rng.integers(0, 4, 5000), np.full(5000, np.nan)], axis=1)
+    df = frame(spark, x, x[:, 1])
+    exact = bo.bin_edges(df, ["x0", "x1", "x2"], 16)
+    ranks = np.sort(x[:, 0])[[int(np.ceil(5000 * k / 16)) - 1 for k in range(1, 16)]]
+    assert exact[0] == pytest.approx(ranks) and exact[1:] == [[0.0, 1.0, 2.0], []]
+    monkeypatch.setattr(bo, "EDGE_POINTS", 200)
+    near = bo.bin_edges(df, ["x0", "x1", "x2"], 16)
+    assert near[1:] == exact[1:] and np.abs(np.searchsorted(np.sort(x[:, 0]), near[0]) - np.searchsorted(np.sort(x[:, 0]), exact[0])).max() <= 5000 / 200 + 5
+
+
+def test_rows_of_several_batches_go_through_the_trees_together(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(bo, "PREDICTED", 25)
+    batches = [pd.Series([[float(i), 1.0]] * 10) for i in range(7)]
+    found = list(bo._portions(iter(batches), 2))
+    assert [len(x) for x in found] == [30, 30, 10] and np.array_equal(np.concatenate(found)[:, 0], np.arange(70) // 10)
