@@ -1,7 +1,10 @@
 """Unlimited forests beside plain computations."""
 
+import pickle
+
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -123,3 +126,37 @@ def test_rows_are_sent_in_large_portions(monkeypatch):
     found = list(fo._gathered(iter(batches), 2))
     assert [len(ids) for _, ids in found] == [30, 30, 10] and np.array_equal(np.concatenate([i for _, i in found]), np.arange(70))
     assert np.array_equal(np.concatenate([x for x, _ in found])[:, 0], np.arange(70) // 10)
+
+
+@pytest.mark.parametrize("kind", ["clf", "reg"])
+def test_only_splits_of_upper_levels_come_to_the_driver(spark, monkeypatch, kind):
+    monkeypatch.setattr(bl, "MIN_ROWS", 100)
+    monkeypatch.setattr(fo, "SUM_BYTES", 3 * 2 * 4 * 256 * 8)  # three nodes at a time
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 4))
+    y = x[:, 1] + rng.normal(size=900)
+    y = (y > 0).astype(float) if kind == "clf" else y
+    rows, columns = bl.vector_columns(frame(spark, x, y), "features", ["label"])
+    packed = bl.pack(rows, columns, ["label"])
+    sent, collect = [], type(packed.rdd).collect
+
+    def watched(rdd):
+        found = collect(rdd)
+        sent.append(len(pickle.dumps(found)))
+        return found
+
+    monkeypatch.setattr(RDD, "collect", watched)
+    monkeypatch.setattr(type(packed.rdd), "collect", watched)
+    plan = fo.ForestPlan(kind, 6)
+    edges = [np.array(e) for e in fo.bin_edges(rows, columns, fo.BINS)]
+    tops = fo._tops(packed, plan, edges, 60)
+    assert max(sent) < 2 * 4 * 256 * 8 and len(sent) > 10  # less than the sums of one node
+    blocks = collect(packed.rdd)
+    for number, top in enumerate(tops):
+        tree, ends = top.tree.packed(), {}
+        for block in blocks:
+            w = fo._weights(plan, number, block)
+            for node, weight in zip(fo.leaf_of(tree, fo.code_rows(block.x, edges, fo.BINS), fo.BINS), w):
+                ends[int(node)] = ends.get(int(node), 0) + int(weight)
+        leaves = [n for n in range(len(tree[3])) if tree[3][n] == n]
+        assert len(leaves) > 8 and all(top.rows[n] == ends.get(n, 0) and (top.rows[n] <= 60 or n in top.closed) for n in leaves)
