@@ -33,6 +33,8 @@ from tarmac.ml.gradient import GradientModel, GradientParams, forward, gradient,
 LOCAL_EPOCHS, LOCAL_ROWS, BATCH, SUMMED, MEMORY = 4, 1 << 16, 200, 512, 10
 #: Rows of a lane at most, rows of the lanes that step together, and numbers that are prepared at a time.
 LANE_ROWS, TOGETHER, PREPARED = 8_192, 1 << 20, 1 << 20
+#: Lanes of a task, if there are so many: a step of several takes hardly longer than that of one.
+TASK_LANES = 6
 SCHEDULES = ("constant", "optimal", "invscaling", "adaptive")
 _CLIP = 1e12
 
@@ -402,12 +404,20 @@ def _sum(a: dict, b: dict) -> dict:
     return {i: {k: a[i][k] + b[i][k] for k in a[i]} for i in a}
 
 
+def lane_tasks(rows: int) -> int:
+    """Tasks of the linear models: they follow from the rows alone, as the sums of a pass do."""
+    return max(1, -(-rows // (TASK_LANES * LANE_ROWS)))
+
+
 def learn(packed: Packed, plans: list[SgdPlan | MlpPlan]) -> list[tuple[np.ndarray, float | None]]:
     """Weights of every plan, and its score where it leaves a fold out."""
     models = [_sgd(p, packed.width) if isinstance(p, SgdPlan) else _mlp(p, packed.width, packed.rdd.getNumPartitions()) for p in plans]
     asks, done = {i: next(m) for i, m in enumerate(models)}, {}
+    rdd = packed.rdd
+    if all(isinstance(p, SgdPlan) for p in plans) and lane_tasks(packed.rows) < rdd.getNumPartitions():
+        rdd = rdd.coalesce(lane_tasks(packed.rows))
     while asks:
-        got = add_up(packed.rdd, _answers(dict(asks)), _sum, TOGETHER) or {i: None for i in asks}
+        got = add_up(rdd, _answers(dict(asks)), _sum, TOGETHER) or {i: None for i in asks}
         for i, answer in got.items():
             try:
                 asks[i] = models[i].send(answer)

@@ -388,3 +388,21 @@ def test_rows_of_several_batches_go_through_the_trees_together(monkeypatch):
     batches = [pd.Series([[float(i), 1.0]] * 10) for i in range(7)]
     found = list(bo._portions(iter(batches), 2))
     assert [len(x) for x in found] == [30, 30, 10] and np.array_equal(np.concatenate(found)[:, 0], np.arange(70) // 10)
+
+
+def test_linear_models_of_short_tables_share_tasks(spark, monkeypatch):
+    assert [ep.lane_tasks(n) for n in (1, 246_655, 2_466_547)] == [1, 6, 51]
+    monkeypatch.setattr(bl, "MIN_ROWS", 50)
+    monkeypatch.setattr(ep, "LANE_ROWS", 50)
+    x, y = table(600)
+    packed = bl.pack(frame(spark, np.nan_to_num(x), y), ["x0", "x1", "x2"], ["label"])
+    asked, add_up = [], bl.add_up
+    monkeypatch.setattr(ep, "add_up", lambda rdd, *more: asked.append(rdd.getNumPartitions()) or add_up(rdd, *more))
+    plans = [ep.SgdPlan(schedule="constant", eta0=0.02, epochs=3), ep.SgdPlan(loss="squared_epsilon_insensitive", epochs=3)]
+    few = ep.learn(packed, plans)
+    assert set(asked) == {2} and packed.rdd.getNumPartitions() == 12
+    monkeypatch.setattr(ep, "TASK_LANES", 1)
+    asked.clear()
+    for (w, _), (v, _) in zip(few, ep.learn(packed, plans)):
+        assert w == pytest.approx(v, rel=1e-12)
+    assert set(asked) == {12}
